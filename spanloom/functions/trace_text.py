@@ -1,4 +1,8 @@
-"""Patterns and names of the trace text format, and readers of its fields."""
+"""Patterns and names of the trace text format, and readers of its fields.
+
+Field readers are SQL texts. The integer items of a ``key=value`` list are found once per record,
+and every field is a lookup in them: much cheaper than one search of the line per key.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +11,9 @@ from pyspark.sql import functions as F
 
 # The line forms of the trace format.
 CALL = r"^(PARSE|EXEC|FETCH|WAIT|CLOSE|STAT|ERROR|PARSING IN CURSOR|BINDS|PARSE ERROR) (#\d+)(?::| )(.*)"
-STATEMENT_END = r"^END OF STMT"
+STATEMENT_END = "END OF STMT"
 LOB_OR_COMMIT = r"^(LOB[A-Z]+|XCTEND):* (.*)"
-RESET = r"^={21}"
+RESET = "=" * 21
 DATE_STAR = r"^\*{3} (\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}[+-]\d\d:\d\d)"
 NAMED_STAR = (
     r"^\*\*\* (SESSION ID|CLIENT ID|SERVICE NAME|MODULE NAME|ACTION NAME|CLIENT DRIVER"
@@ -23,51 +27,70 @@ HEADER = (
 WAIT_FIELDS = r"^ nam='(.*)' ela= (\d+) (.*) tim=(\d+)"
 PREAMBLE_LINES = 3
 
-_INT = r"\s*([+-]?\d+)\s*"
 
 
-def comma_int(params: Column, key: str) -> Column:
-    """Integer of ``key=…`` in a comma list; the last one if it is repeated; NULL if absent."""
-    return _int(params, rf"^(?:.*,)?{key}={_INT}(?:[,=]|$)")
+def quoted(text: str) -> str:
+    """SQL literal of a text, taken as it is."""
+    return "r'" + text + "'" if "'" not in text else 'r"' + text + '"'
+
 
+def integer_items(params: str, separator: str, group: int) -> str:
+    """SQL: keys (group 1) or digits (group 2) of all ``key=integer`` items, last one first.
 
-def space_int(params: Column, key: str) -> Column:
-    """Integer of ``key=…`` in a list parted by spaces."""
-    return _int(params, rf"^(?:.* )?{key}={_INT}(?:[ =]|$)")
+    The list gets a separator in front, so a match always begins with that character.
+    """
+    pattern = (
+        rf"{separator}([^{separator}=]*)=\s*([+-]?\d{{1,18}})[ \t]*?(?=[{separator}=]|$)"
+    )
+    padded = f"concat('{separator}', {params})"
+    return f"reverse(regexp_extract_all({padded}, r'{pattern}', {group}))"
 
 
-def space_quoted(params: Column, key: str) -> Column:
-    """Text of ``key='…'`` in a list parted by spaces; NULL if absent."""
-    pattern = rf"^(?:.* )?{key}='*([^ =']*)"
-    return F.when(params.rlike(pattern), F.regexp_extract(params, pattern, 1))
+def integer(key: str) -> str:
+    """SQL: integer of ``key=…``, the last one if it is repeated; NULL if absent or no integer."""
+    return f"try_cast(get(digits, cast(array_position(keys, '{key}') as int) - 1) as bigint)"
 
 
-def _int(params: Column, pattern: str) -> Column:
-    return F.regexp_extract(params, pattern, 1).try_cast("bigint")
+def text(params: str, key: str, separator: str) -> str:
+    """SQL: text of ``key=…`` in a list, without quotes around it; '' if absent."""
+    pattern = rf"^(?:.*{separator})?{key}=([^{separator}=]*)"
+    return f"trim(both \"'\" from regexp_extract({params}, r'{pattern}', 1))"
 
 
-def bad_comma_item(params: Column, text_key: str | None = None) -> Column:
-    """True if some item of a comma list is not ``key=integer`` (``text_key`` may have any text)."""
-    text = rf"(?!{text_key}=)" if text_key else ""
-    return params.rlike(rf"(?:^|,)(?=[^,]){text}(?![^,=]*=\s*[+-]?\d{{1,18}}\s*(?:[,=]|$))")
+def broken_list(text_key: str = "") -> str:
+    """SQL: has a comma list an item that is not ``key=integer`` (``text_key`` may have any text)?
 
+    As many integer items as commas and one more: all are fine. Else the items are looked at one by
+    one. The lambda also keeps the wide parse projection out of whole-stage code generation, which
+    would put it into one method, too long for the JIT compiler.
+    """
+    known = f"x = '' or startswith(x, '{text_key}=') or " if text_key else "x = '' or "
+    one = r"rlike(x, r'^[^=]*=\s*[+-]?\d{1,18}[ \t]*(=.*)?$')"
+    items = "length(params) - length(replace(params, ',', '')) + 1"
+    return f"(size(keys) <> {items} and exists(split(params, ','), x -> not ({known}{one})))"
 
-def bad_commit(params: Column) -> Column:
-    """True unless the text is a list of ``key=integer`` parted by comma and space."""
-    return ~params.rlike(r"^[^,=]*=\s*[+-]?\d{1,18}\s*(?:, [^,=]*=\s*[+-]?\d{1,18}\s*)*$")
 
+def broken_commit() -> str:
+    """SQL: is some item, an empty one included, not ``key=integer``?"""
+    one = r"rlike(x, r'^[^=]*=\s*[+-]?\d{1,18}[ \t]*(=.*)?$')"
+    return f"exists(split(params, ', '), x -> not {one})"
 
-def utc_time(text: Column, zone: str = "UTC") -> Column:
-    """Wall clock in UTC of ``2023-05-19T05:28:00.339263+02:00``; NULL if it is no time.
+
+def utc_time(text: str, zone: str = "UTC") -> str:
+    """SQL: wall clock in UTC of ``2023-05-19T05:28:00.339263+02:00``; NULL if it is no time.
 
     The offset is applied as an interval, so the result does not depend on the session time zone.
     Text without an offset is taken as local time of ``zone``.
     """
     pattern = r"^(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{1,6})(?:([+-])(\d\d):(\d\d))?$"
-    part = [F.regexp_extract(text, pattern, i) for i in range(5)]
-    local = part[1].try_cast("timestamp_ntz")
-    minutes = part[3].try_cast("int") * 60 + part[4].try_cast("int")
-    minutes = F.when(part[2] == "-", -minutes).otherwise(minutes)
-    shifted = local - F.make_dt_interval(mins=minutes)
-    named = local if zone == "UTC" else F.convert_timezone(F.lit(zone), F.lit("UTC"), local)
-    return F.when(part[2] == "", named).otherwise(shifted)
+    part = [f"regexp_extract({text}, r'{pattern}', {i})" for i in range(5)]
+    local = f"try_cast({part[1]} as timestamp_ntz)"
+    sign = f"if({part[2]} = '-', -1, 1)"
+    minutes = f"{sign} * (try_cast({part[3]} as int) * 60 + try_cast({part[4]} as int))"
+    named = local if zone == "UTC" else f"convert_timezone('{zone}', 'UTC', {local})"
+    return f"if({part[2]} = '', {named}, {local} - make_dt_interval(0, 0, {minutes}))"
+
+
+def call_op(value: Column) -> Column:
+    """Operation of a call line, '' for other lines."""
+    return F.regexp_extract(value, CALL, 1)

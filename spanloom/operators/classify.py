@@ -5,7 +5,7 @@ Input: ``file_name, line, value``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import trace_text as X
@@ -14,12 +14,8 @@ from spanloom.operators.carry import Mark, carry_forward
 MULTILINE = ["PARSING IN CURSOR", "BINDS", "PARSE ERROR"]
 
 
-def _call(value: Column) -> Column:
-    return F.regexp_extract(value, X.CALL, 1)
-
-
 def classify(lines: DataFrame) -> DataFrame:
-    """Add ``kind`` and ``owner`` (line of the record a text line belongs to).
+    """Add ``kind``, ``call`` (operation of a call line) and ``owner`` (record of a text line).
 
     Kinds: CALL, TEXT (continues the owner), END (of a statement), LOB, XCTEND, RESET, STAR,
     HEADER and ORPHAN. What a line means depends on the latest call line and on whether a statement
@@ -27,14 +23,14 @@ def classify(lines: DataFrame) -> DataFrame:
     """
     rows = lines.where((F.col("line") > X.PREAMBLE_LINES) & (F.length("value") > 0))
     value = F.col("value")
-    called = _call(value)
+    ends = value.startswith(X.STATEMENT_END)
     state = carry_forward(
-        rows.withColumn("_call", called),
+        rows.withColumn("call", X.call_op(value)),
         ["file_name"],
         "line",
         {
-            "_owner": Mark(F.col("_call") != "", F.col("_call")),
-            "_end": Mark(value.rlike(X.STATEMENT_END), F.lit(True), strict=True),
+            "_owner": Mark(F.col("call") != "", F.col("call")),
+            "_end": Mark(ends, F.lit(True), strict=True),
         },
     )
     owner, owner_line = F.col("_owner.value"), F.col("_owner.at")
@@ -42,21 +38,20 @@ def classify(lines: DataFrame) -> DataFrame:
         F.coalesce(F.col("_end.at"), F.lit(0)) < owner_line
     )
     kind = (
-        F.when(F.col("_call") != "", F.lit("CALL"))
+        F.when(F.col("call") != "", F.lit("CALL"))
         .when((owner == "BINDS") & value.startswith(" "), F.lit("TEXT"))
         .when(owner == "PARSE ERROR", F.lit("TEXT"))
-        .when(in_statement & value.rlike(X.STATEMENT_END), F.lit("END"))
+        .when(in_statement & ends, F.lit("END"))
         .when(in_statement, F.lit("TEXT"))
         .when(value.rlike(r"^XCTEND:* "), F.lit("XCTEND"))
         .when(value.rlike(X.LOB_OR_COMMIT), F.lit("LOB"))
-        .when(value.rlike(X.RESET), F.lit("RESET"))
+        .when(value.startswith(X.RESET), F.lit("RESET"))
         .when(value.rlike(X.DATE_STAR) | value.rlike(X.NAMED_STAR), F.lit("STAR"))
         .when(value.rlike(X.HEADER), F.lit("HEADER"))
         .otherwise(F.lit("ORPHAN"))
     )
-    kept = [c for c in lines.columns]
     return state.withColumn("kind", kind).select(
-        *kept, "kind", F.when(F.col("kind") == "TEXT", owner_line).alias("owner")
+        *lines.columns, "call", "kind", F.when(F.col("kind") == "TEXT", owner_line).alias("owner")
     )
 
 
@@ -66,10 +61,8 @@ def assemble(classified: DataFrame) -> DataFrame:
     Only the records that can have more lines, and those lines, are grouped; all other rows pass
     without a shuffle. The state of a group is the text of one record.
     """
-    head = ["file_name", "line", "kind", "value"]
-    many = F.col("kind").isin("TEXT") | (
-        (F.col("kind") == "CALL") & _call(F.col("value")).isin(MULTILINE)
-    )
+    head = ["file_name", "line", "kind", "call", "value"]
+    many = (F.col("kind") == "TEXT") | F.col("call").isin(MULTILINE)
     single = classified.where(~many & (F.col("kind") != "END")).select(
         *head, F.lit(None).cast("string").alias("text")
     )
@@ -79,7 +72,7 @@ def assemble(classified: DataFrame) -> DataFrame:
         .withColumn("_record", F.coalesce("owner", "line"))
         .groupBy("file_name", F.col("_record").alias("line"))
         .agg(
-            F.max(F.when(is_head, F.col("value"))).alias("value"),
+            F.max(F.when(is_head, F.struct("call", "value"))).alias("_head"),
             F.sort_array(
                 F.collect_list(F.when(~is_head, F.struct("line", "value")))
             ).alias("_lines"),
@@ -88,7 +81,8 @@ def assemble(classified: DataFrame) -> DataFrame:
             "file_name",
             "line",
             F.lit("CALL").alias("kind"),
-            "value",
+            "_head.call",
+            "_head.value",
             F.array_join(
                 F.transform("_lines", lambda x: F.concat(x["value"], F.lit("\n"))), ""
             ).alias("text"),

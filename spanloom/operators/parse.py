@@ -1,95 +1,124 @@
 """From records to fact columns.
 
-Each kind of record has its own small set of expressions; ``parse_records`` merges them into one
-projection guarded by the kind, which runs inside the scan stage.
+Each kind of record has its own small set of expressions (SQL texts over ``params``, ``value``,
+``text``, ``keys`` and ``digits``); ``parse_records`` merges them into one projection guarded by the kind. Integers of ``key=value``
+lists have the same keys in all kinds of records and are looked up the same way.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import trace_text as X
 from spanloom.schema import OPS_SCHEMA
 
-# Trace keys and the columns they fill.
-CALL_KEYS = {"c": "cpu_time", "e": "elapsed_time", "p": "ph_reads", "cr": "cr_reads", "cu": "current_reads",
-             "mis": "cursor_missed", "r": "rows_processed", "dep": "rec_call_dp", "og": "opt_goal", "plh": "plh",
-             "tim": "tim", "type": "c_type"}
-PIC_KEYS = {"len": "len", "dep": "rec_call_dp", "uid": "uid", "oct": "oct", "lid": "lid", "tim": "tim", "hv": "hv"}
-ERROR_KEYS = {"err": "error_code", "len": "len", "dep": "rec_call_dp", "uid": "uid", "oct": "oct", "lid": "lid",
-              "tim": "tim"}
-COMMIT_KEYS = {"rlbk": "rlbk", "rd_only": "rd_only", "tim": "tim"}
-LOB_KEYS = {"bytes": "bytes", "c": "cpu_time", "e": "elapsed_time", "p": "ph_reads", "cr": "cr_reads",
-            "cu": "current_reads", "tim": "tim"}
+# Trace keys and the integer columns they fill, in any kind of record.
+KEYS = {"c": "cpu_time", "e": "elapsed_time", "p": "ph_reads", "cr": "cr_reads", "cu": "current_reads",
+        "mis": "cursor_missed", "r": "rows_processed", "dep": "rec_call_dp", "og": "opt_goal", "plh": "plh",
+        "tim": "tim", "type": "c_type", "len": "len", "uid": "uid", "oct": "oct", "lid": "lid", "hv": "hv",
+        "rlbk": "rlbk", "rd_only": "rd_only", "bytes": "bytes", "err": "error_code"}
 
-_KINDS = {f.name: f.dataType for f in OPS_SCHEMA.fields}
-_TEXTS = {"event_name": "", "event_raw": "", "ad": "", "lobtype": ""}
-
-
-def _ints(keys: dict[str, str], read, params: Column) -> dict[str, Column]:
-    return {column: read(params, key) for key, column in keys.items()}
-
-
-def call_fields(params: Column) -> dict[str, Column]:
-    """PARSE, EXEC, FETCH and CLOSE."""
-    return _ints(CALL_KEYS, X.comma_int, params)
+# Filled by other operators (span, context, clock) or taken over unchanged.
+_FROM_ELSEWHERE = {
+    "span_id", "cursor_id", "ops", "file_name", "line", "sid", "client_id", "service_name", "module",
+    "action", "container_id",
+}
+_TEXTS = {"event_name", "event_raw", "ad", "lobtype"}
+_NULLABLE = {"sql_id", "ts"}
 
 
-def wait_fields(params: Column) -> dict[str, Column]:
+def wait_fields() -> dict[str, str]:
     """Name, elapsed time and clock of a WAIT; the text is kept whole in ``event_raw``."""
-    field = [F.regexp_extract(params, X.WAIT_FIELDS, i) for i in range(5)]
+    found = [f"regexp_extract(params, {X.quoted(X.WAIT_FIELDS)}, {i})" for i in range(5)]
     return {
-        "event_name": F.trim(field[1], F.lit("'")),
-        "elapsed_time": field[2].try_cast("bigint"),
-        "tim": field[4].try_cast("bigint"),
-        "event_raw": params,
+        "event_name": f"trim(both \"'\" from {found[1]})",
+        "elapsed_time": f"try_cast({found[2]} as bigint)",
+        "tim": f"try_cast({found[4]} as bigint)",
+        "event_raw": "params",
     }
 
 
-def pic_fields(params: Column, text: Column) -> dict[str, Column]:
-    """PARSING IN CURSOR: broken items are skipped and the record is kept."""
+def star_fields(zone: str = "UTC") -> dict[str, str]:
+    """Wall clock lines, with or without a session attribute."""
+    dated = f"regexp_extract(value, r'{X.DATE_STAR}', 1)"
+    name, inner, at = (f"regexp_extract(value, r'{X.NAMED_STAR}', {i})" for i in (1, 2, 3))
     return {
-        **_ints(PIC_KEYS, X.space_int, params),
-        "ad": X.space_quoted(params, "ad"),
-        "sql_id": F.coalesce(X.space_quoted(params, "sqlid"), F.lit("")),
-        "event_raw": text,
+        "event_name": f"if({dated} != '', 'DATETIME', {name})",
+        "event_raw": f"if({dated} = '', trim(both '()' from {inner}), null)",
+        "ts": X.utc_time(f"if({dated} != '', {dated}, {at})", zone),
     }
 
 
-def error_fields(params: Column, text: Column) -> dict[str, Column]:
-    """ERROR and PARSE ERROR."""
-    return {**_ints(ERROR_KEYS, X.space_int, params), "event_raw": F.coalesce(text, F.lit(""))}
-
-
-def commit_fields(params: Column) -> dict[str, Column]:
-    return _ints(COMMIT_KEYS, X.comma_int, F.replace(params, F.lit(", "), F.lit(",")))
-
-
-def lob_fields(params: Column) -> dict[str, Column]:
-    pattern = r"^(?:.*,)?type=([^,=]*)"
+def header_fields() -> dict[str, str]:
     return {
-        **_ints(LOB_KEYS, X.comma_int, params),
-        "lobtype": F.when(params.rlike(pattern), F.regexp_extract(params, pattern, 1)),
+        "event_name": f"regexp_extract(value, r'{X.HEADER}', 1)",
+        "event_raw": f"regexp_extract(value, r'{X.HEADER}', 2)",
     }
 
 
-def star_fields(value: Column, zone: str) -> dict[str, Column]:
-    """Wall clock lines, with or without a session attribute."""
-    dated = F.regexp_extract(value, X.DATE_STAR, 1)
-    name, inner, at = (F.regexp_extract(value, X.NAMED_STAR, i) for i in (1, 2, 3))
-    return {
-        "event_name": F.when(dated != "", F.lit("DATETIME")).otherwise(name),
-        "event_raw": F.when(dated == "", F.trim(inner, F.lit("()"))),
-        "ts": X.utc_time(F.when(dated != "", dated).otherwise(at), zone),
-    }
+_TIMED_CALL = "ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE')"
 
 
-def header_fields(value: Column) -> dict[str, Column]:
-    return {
-        "event_name": F.regexp_extract(value, X.HEADER, 1),
-        "event_raw": F.regexp_extract(value, X.HEADER, 2),
-    }
+def _rules(zone: str) -> list[tuple[str, dict[str, str]]]:
+    """Fields that are no integers of a list, by kind of record."""
+    return [
+        ("ops = 'WAIT'", wait_fields()),
+        ("ops = 'PIC'", {"ad": X.text("params", "ad", " "), "sql_id": X.text("params", "sqlid", " "), "event_raw": "text"}),
+        ("ops = 'STAT'", {"event_raw": "params"}),
+        ("ops = 'BINDS'", {"event_raw": "concat(params, coalesce(text, ''))"}),
+        ("ops = 'PARSE ERROR'", {"event_raw": "text"}),
+        ("kind = 'LOB'", {"lobtype": X.text("params", "type", ","), "c_type": "0"}),
+        ("kind = 'STAR'", star_fields(zone)),
+        ("kind = 'HEADER'", header_fields()),
+    ]
+
+
+def _merged(column: str, kind: str, rules: list[tuple[str, dict[str, str]]]) -> str:
+    key = next((k for k, c in KEYS.items() if c == column), None)
+    last = X.integer(key) if key else "null"
+    cases = [f"when {when} then {fields[column]}" for when, fields in rules if column in fields]
+    found = f"case {' '.join(cases)} else {last} end" if cases else last
+    typed = found if kind in ("bigint", "string") else f"try_cast({found} as {kind})"
+    if column in _TEXTS:
+        blank = "if(kind = 'STAR', null, '')" if column == "event_raw" else "''"
+        typed = f"coalesce({found}, {blank})"
+    elif column == "tim":
+        typed = f"nullif({typed}, 0)"
+    elif column not in _NULLABLE:
+        typed = f"coalesce({typed}, cast(0 as {kind}))"
+    return f"{typed} as {column}"
+
+
+def split_records(records: DataFrame) -> DataFrame:
+    """Add ``ops``, ``cursor_id``, ``params`` (the line behind them), ``keys`` and ``digits``."""
+    call = F.col("call")
+    cursor = records.withColumn(
+        "cursor_id", F.when(call != "", F.regexp_extract("value", X.CALL, 2))
+    )
+    behind = F.length(call) + F.length("cursor_id") + F.lit(3)
+    outside = F.col("kind").isin("LOB", "XCTEND")
+    split = cursor.withColumns(
+        {
+            "ops": F.when(call == "PARSING IN CURSOR", F.lit("PIC"))
+            .when(call != "", call)
+            .when(outside, F.regexp_extract("value", X.LOB_OR_COMMIT, 1))
+            .otherwise(F.col("kind")),
+            "params": F.when(call != "", F.substr("value", behind)).when(
+                outside, F.regexp_extract("value", X.LOB_OR_COMMIT, 2)
+            ),
+        }
+    )
+    lists = {}
+    for group, name in ((1, "keys"), (2, "digits")):
+        comma, space = (X.integer_items("params", by, group) for by in (",", " "))
+        commit = X.integer_items("replace(params, ', ', ',')", ",", group)
+        lists[name] = F.expr(
+            f"""case when {_TIMED_CALL} or kind = 'LOB' then {comma}
+            when ops in ('PIC', 'ERROR', 'PARSE ERROR') then {space}
+            when ops = 'XCTEND' then {commit} end"""
+        )
+    return split.withColumns(lists)
 
 
 def parse_records(records: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -99,81 +128,19 @@ def parse_records(records: DataFrame, zone: str = "UTC") -> DataFrame:
     needed), ``cursor`` (no valid handle) or ``time``. Missing integers are 0 and missing texts '';
     a missing ``tim`` is NULL. Resets and orphans pass through with an op of that name.
     """
-    kind, value, text = F.col("kind"), F.col("value"), F.col("text")
-    call = F.regexp_extract(value, X.CALL, 1)
-    staged = records.select(
-        "file_name",
-        "line",
-        "kind",
-        "value",
-        "text",
-        F.when(
-            kind == "CALL",
-            F.when(call == "PARSING IN CURSOR", F.lit("PIC")).otherwise(call),
-        )
-        .when(kind.isin("LOB", "XCTEND"), F.regexp_extract(value, X.LOB_OR_COMMIT, 1))
-        .otherwise(kind)
-        .alias("ops"),
-        F.when(kind == "CALL", F.regexp_extract(value, X.CALL, 2)).alias("cursor_id"),
-        F.when(kind == "CALL", F.regexp_extract(value, X.CALL, 3))
-        .when(kind.isin("LOB", "XCTEND"), F.regexp_extract(value, X.LOB_OR_COMMIT, 2))
-        .alias("params"),
-    )
-    op, params = F.col("ops"), F.col("params")
-    timed_call = op.isin("PARSE", "EXEC", "FETCH", "CLOSE")
-    groups: list[tuple[Column, dict[str, Column]]] = [
-        (timed_call, call_fields(params)),
-        (op == "WAIT", wait_fields(params)),
-        (op == "PIC", pic_fields(params, text)),
-        (op == "STAT", {"event_raw": params}),
-        (op == "BINDS", {"event_raw": F.concat(params, F.coalesce(text, F.lit("")))}),
-        (op.isin("ERROR", "PARSE ERROR"), error_fields(params, text)),
-        (op == "XCTEND", commit_fields(params)),
-        (kind == "LOB", lob_fields(params)),
-        (kind == "STAR", star_fields(value, zone)),
-        (kind == "HEADER", header_fields(value)),
+    rules = _rules(zone)
+    reject = f"""case
+        when {_TIMED_CALL} and {X.broken_list()} then 'params'
+        when ops = 'XCTEND' and {X.broken_commit()} then 'params'
+        when kind = 'LOB' and {X.broken_list('type')} then 'params'
+        when cursor_id != '#0' and length(cursor_id) <= 2 then 'cursor'
+        when kind = 'STAR' and {star_fields(zone)['ts']} is null then 'time'
+        end as reject"""
+    fields = [
+        _merged(f.name, f.dataType.simpleString(), rules)
+        for f in OPS_SCHEMA.fields
+        if f.name not in _FROM_ELSEWHERE
     ]
-
-    def merged(column: str) -> Column:
-        out: Column | None = None
-        for condition, fields in groups:
-            if column in fields:
-                part = fields[column]
-                out = F.when(condition, part) if out is None else out.when(condition, part)
-        kind_of = _KINDS[column]
-        if out is None:
-            out = F.lit(None)
-        out = out.try_cast(kind_of)
-        if column in _TEXTS:
-            blank = F.when(kind != "STAR", F.lit("")) if column == "event_raw" else F.lit("")
-            return F.coalesce(out, blank)
-        if column in ("tim", "ts", "sql_id"):
-            return F.nullif(out, F.lit(0).cast("bigint")) if column == "tim" else out
-        return F.coalesce(out, F.lit(0).cast(kind_of))
-
-    short_cursor = (kind == "CALL") & (F.length("cursor_id") <= 2) & (F.col("cursor_id") != "#0")
-    reject = (
-        F.when(timed_call & X.bad_comma_item(params), F.lit("params"))
-        .when((op == "XCTEND") & X.bad_commit(params), F.lit("params"))
-        .when((kind == "LOB") & X.bad_comma_item(params, "type"), F.lit("params"))
-        .when(short_cursor, F.lit("cursor"))
-        .when((kind == "STAR") & star_fields(value, zone)["ts"].isNull(), F.lit("time"))
-    )
-    parsed = [c for c in OPS_SCHEMA.fieldNames() if c not in _FROM_ELSEWHERE]
-    return staged.select(
-        "file_name",
-        "line",
-        "kind",
-        "value",
-        reject.alias("reject"),
-        "ops",
-        "cursor_id",
-        *[merged(c).alias(c) for c in parsed],
+    return split_records(records).selectExpr(
+        "file_name", "line", "kind", "value", reject, "ops", "cursor_id", *fields
     )
-
-
-# Filled by other operators (span, context, clock) or taken over unchanged.
-_FROM_ELSEWHERE = {
-    "span_id", "cursor_id", "ops", "file_name", "line", "sid", "client_id", "service_name", "module",
-    "action", "container_id",
-}

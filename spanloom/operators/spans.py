@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 from spanloom.operators.carry import BLOCK_LINES, Mark, block_of, carry_forward
 from spanloom.schema import SINGLE_OPS, TRACKED_OPS
+from spanloom.sources.stage import stage
 
 _ONCE = [op for op in SINGLE_OPS if op != "PIC"]
 _STATES = 1 << len(_ONCE)
 _LETTERS = "".join(chr(ord("0") + s) for s in range(_STATES))
 WALK_LINES = 1 << 13
-WALK_LEVELS = 2
+WALK_LEVELS = 1
 
 
 def valid_cursor(cursor: Column) -> Column:
@@ -210,10 +211,13 @@ def _dense_ids(cut: DataFrame, resets: DataFrame) -> DataFrame:
     by blocks: a count per block, running totals over blocks and files, ranks inside a block.
     """
     keys = ["file_name", "_cursor"]
-    spans = cut.groupBy(*keys, "_mark").agg(
-        F.min("line").alias("_first"),
-        F.max("line").alias("_last"),
-        F.bool_or(F.col("ops").isin(TRACKED_OPS)).alias("_tracked"),
+    spans = stage(
+        cut.groupBy(*keys, "_mark").agg(
+            F.min("line").alias("_first"),
+            F.max("line").alias("_last"),
+            F.bool_or(F.col("ops").isin(TRACKED_OPS)).alias("_tracked"),
+        ),
+        "spans",
     )
     seen = spans.groupBy(*keys).agg(F.min("_first").alias("_seen"))
     spans = spans.join(seen, keys).withColumn("_back", -F.col("_first"))
@@ -234,7 +238,8 @@ def _dense_ids(cut: DataFrame, resets: DataFrame) -> DataFrame:
     placed = closed.select(*keys, "_mark", "_seen", close.alias("_close")).withColumn(
         "_open", F.col("_close").isNull()
     )
-    placed = placed.withColumn("_part", block_of(F.coalesce("_close", "_seen"), BLOCK_LINES))
+    part_of = block_of(F.coalesce("_close", "_seen"), BLOCK_LINES)
+    placed = stage(placed.withColumn("_part", part_of), "closed_spans")
 
     part = ["file_name", "_open", "_part"]
     counts = placed.groupBy(*part).agg(F.count("*").alias("_n"))
@@ -279,10 +284,11 @@ def assign_spans(ops: DataFrame, ids: str = "hash", attach_lobs: bool = False) -
     """Add ``span_id`` and the resolved ``sql_id`` to the records of trace files.
 
     ``ops`` has ``file_name, line, cursor_id, ops, sql_id`` and rows with op RESET for reset lines.
-    The input is read several times; stage it first if it is expensive.
+    Intermediate tables are staged; the input itself is read a few times, so stage it as well if it
+    is expensive.
     """
-    segmented = segment_calls(ops)
-    cut = cut_spans(segmented, repeated_starts(segmented), attach_lobs)
+    segmented = stage(segment_calls(ops), "segments")
+    cut = cut_spans(segmented, stage(repeated_starts(segmented), "starts"), attach_lobs)
     resets = ops.where(F.col("ops") == "RESET").select("file_name", "line")
     return number_spans(cut, ids, resets).drop("_cursor", "_mark")
 

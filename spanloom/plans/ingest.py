@@ -44,9 +44,9 @@ def ingest(
 ) -> Ingest:
     """Parse trace files (or a DataFrame of numbered lines) into the fact table.
 
-    Two tables are staged: the parsed records, and the records with all running values of their file
-    and cursor. The first lets the block states be read from a few columns, the second feeds the
-    span walk, the clock and the final projection.
+    Staged tables: the parsed records, so that block states can be read from a few columns; the
+    records with all running values of their file and cursor, which feed the span walk, the clock
+    and the final projection; and the few lines where a repeated call starts a span.
     """
     lines = source if isinstance(source, DataFrame) else read_lines(source, paths)
     records = stage(parse_records(assemble(classify(lines)), zone), "records")
@@ -59,7 +59,8 @@ def ingest(
     running = resolve_sql_id(running, base=stored)
     segmented = stage(running.withColumn("_reset", F.col("_reset.at")), "running")
 
-    cut = cut_spans(segmented, repeated_starts(segmented), attach_lobs)
+    starts = stage(repeated_starts(segmented), "starts")
+    cut = cut_spans(segmented, starts, attach_lobs)
     resets = segmented.where(F.col("ops") == "RESET").select("file_name", "line")
     ops = number_spans(finish_clock(cut), ids, resets).select(*OPS_COLUMNS)
     return Ingest(
