@@ -26,24 +26,25 @@ def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
         raise ValueError("no input paths")
     parts = []
     if plain:
-        parts.append(_numbered(spark.read.text(plain)))
+        text = spark.read.text(plain).select(
+            F.col("_metadata.file_path").alias("file_name"),
+            F.col("_metadata.file_block_start").alias("_split"),
+            F.monotonically_increasing_id().alias("_at"),
+            "value",
+        )
+        parts.append(number_lines(text))
     if packed:
         parts.append(_unpacked(spark, packed))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _numbered(text: DataFrame) -> DataFrame:
-    """Line numbers without moving the text.
+def number_lines(raw: DataFrame) -> DataFrame:
+    """Line numbers without moving the text: ``raw`` has ``file_name, _split, _at, value``.
 
-    The lines of one input split are consecutive in one task, so their distance to the first one is
-    known there; the number of lines in earlier splits of the file comes from one row per split.
+    The lines of one input split are consecutive in one task, so their distance ``_at`` to the first
+    one is known there; the number of lines in earlier splits of the file comes from one row per
+    split.
     """
-    raw = text.select(
-        F.col("_metadata.file_path").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_at"),
-        "value",
-    )
     earlier = (
         Window.partitionBy("file_name")
         .orderBy("_split")
