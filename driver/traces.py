@@ -7,14 +7,14 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driver.views import DUCK_TRACE, ops_view, trace_view
+from driver.views import DUCK_OPS, DUCK_TRACE, ops_view, trace_view
 from spanloom.operators.classify import assemble, classify
 from spanloom.operators.clock import assign_clock
 from spanloom.operators.context import fill_context
 from spanloom.operators.parse import parse_records
 from spanloom.operators.render import render_line
 from spanloom.operators.spans import assign_spans, resolve_sql_id, span_op_counts, validate
-from spanloom.plans.export import export_spans
+from spanloom.plans.export import export_events, export_spans
 from spanloom.plans.ingest import ingest, ingest_stats
 from spanloom.sources.stage import stage, stage_path
 from spanloom.sources.store import jdbc_rows, read_ops, write_ops
@@ -220,6 +220,27 @@ def _round_trip(spark, sf_dir: str) -> DataFrame:
     )
 
 
+# The same text cut into files of 8000 line numbers, renumbered; then counted by kind of record.
+_FILES_SQL = (
+    _LINES.replace("with trace as (", "with trace0 as (", 1).replace(
+        "\na as (",
+        """
+trace as (select 'f' || ((line - 4) // 8000) as file_name,
+  row_number() over (partition by (line - 4) // 8000 order by line) as line, value from trace0),
+a as (""",
+        1,
+    )
+    + rf""" select ops, count(*) as n,
+  cast(sum(case when ops = 'WAIT' then coalesce(try_cast(regexp_extract(params, '{_WAIT_SQL}', 2) as bigint), 0)
+    when ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE') or kind = 'LOB' then {_int('e')} else 0 end) as bigint) as elapsed_time,
+  count(case when ops = 'WAIT' then try_cast(regexp_extract(params, '{_WAIT_SQL}', 4) as bigint)
+    when ops in ('PIC', 'ERROR', 'PARSE ERROR') then try_cast(regexp_extract(params, '(?:^| )tim=(\d+)(?: |$)', 1) as bigint)
+    when ops = 'XCTEND' then try_cast(regexp_extract(params, 'tim=(\d+)$', 1) as bigint)
+    when kind in ('CALL', 'LOB') then {_tim()} end) as timed
+  from d where kind not in ('ORPHAN', 'RESET') and {_GOOD} group by ops"""
+)
+
+
 @lru_cache(maxsize=2)
 def _ingested(spark, sf_dir: str):
     return ingest(trace_view(spark, sf_dir))
@@ -387,13 +408,37 @@ TRACE_QUERIES = {
             "span_id", "trace_id", "name", "start_ns", "end_ns", F.size("events").alias("n_events"),
             F.expr("events[0].attributes.line").alias("first_line"),
             F.expr("events[0].name").alias("first_event"),
+            F.array_join(F.col("events.name"), ",").alias("event_names"),
         ),
-        None,
+        f"""with v as ({DUCK_OPS}) select span_id, arg_min(client_id, line) as trace_id, arg_min(coalesce(sql_id, ''), line) as n0,
+        epoch_us(arg_min(ts, line)) * 1000 as start_ns, epoch_us(arg_max(ts, line)) * 1000 as end_ns, cast(count(*) as integer) as n_events,
+        min(line) as first_line, arg_min(case when ops = 'PIC' then 'PARSING IN CURSOR' else ops end, line) as first_event,
+        string_agg(case when ops = 'PIC' then 'PARSING IN CURSOR' else ops end, ',' order by line) as event_names,
+        nullif(n0, '') as name from v group by span_id""".replace(
+            "arg_min(coalesce(sql_id, ''), line) as n0,", ""
+        ).replace("nullif(n0, '') as name", "nullif(arg_min(coalesce(sql_id, ''), line), '') as name"),
+    ),
+    "export_events": (
+        lambda s, d: export_events(ops_view(s, d), "client_id").select(
+            "span_id", "trace_id", "sql_id", "line", "time_ns", "name"
+        ),
+        f"""with v as ({DUCK_OPS}) select span_id, client_id as trace_id, sql_id, line, epoch_us(ts) * 1000 as time_ns,
+        case when ops = 'PIC' then 'PARSING IN CURSOR' else ops end as name from v""",
     ),
     "jdbc_rows": (
-        lambda s, d: jdbc_rows(ops_view(s, d)).select("span_id", "sql_id", "cursor_id", "ops", "wait_name", "wait_raw", "line"),
-        None,
+        lambda s, d: jdbc_rows(
+            ops_view(s, d).withColumn("event_raw", F.repeat("event_raw", 80))
+        ).select("span_id", "sql_id", "cursor_id", "ops", "wait_name", "wait_raw", "line"),
+        f"""with v as ({DUCK_OPS}) select span_id, sql_id, cursor_id, ops, event_name as wait_name,
+        substr(repeat(event_raw, 80), 1, 4000) as wait_raw, line from v""",
+    ),
+    "write_read_parquet": (
+        _round_trip,
+        f"""with v as ({DUCK_OPS}) select span_id, sql_id, cursor_id, ops, elapsed_time, tim, event_name, event_raw, file_name, line, ts from v
+        union all select null, null, null, 'HEADER', null, null, 'PARQUET_SCHEMA', '0.4', null, null, null""",
+    ),
+    "stream_ingest": (
+        _stream,
+        _FILES_SQL,
     ),
-    "write_read_parquet": (_round_trip, None),
-    "stream_ingest": (_stream, None),
 }

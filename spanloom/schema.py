@@ -8,9 +8,15 @@ from pyspark.sql import types as T
 
 # Column names, order and meaning of the stored table, and its version.
 SCHEMA_VERSION = "0.4"
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
 OPS_SCHEMA = T.StructType(
     [
-        T.StructField(name, T._parse_datatype_string(kind))
+        T.StructField(name, _TYPES[kind])
         for name, kind in [
             ("span_id", "bigint"),
             ("sql_id", "string"),
