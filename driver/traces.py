@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -241,9 +239,8 @@ a as (""",
 )
 
 
-@lru_cache(maxsize=2)
-def _ingested(spark, sf_dir: str):
-    return ingest(trace_view(spark, sf_dir))
+def _rejects(spark, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir).where("reject is not null")
 
 
 TRACE_QUERIES = {
@@ -312,7 +309,7 @@ TRACE_QUERIES = {
         from d where kind = 'HEADER'""",
     ),
     "rejects": (
-        lambda s, d: _parsed(s, d).where("reject is not null").select("file_name", "line", "value", "reject"),
+        lambda s, d: _rejects(s, d).select("file_name", "line", "value", "reject"),
         f"""{_LINES} select file_name, line, value, case when {_BAD} then 'params' else 'cursor' end as reject
         from d where kind <> 'ORPHAN' and not ({_GOOD})""",
     ),
@@ -390,11 +387,11 @@ TRACE_QUERIES = {
         + ", count(*) as n_ops from spn group by file_name, span_cursor, first_line",
     ),
     "ingest": (
-        lambda s, d: _per_span(_ingested(s, d).ops),
+        lambda s, d: _per_span(ingest(trace_view(s, d)).ops),
         _SPANS + _SPAN_ROWS.format(src="spn"),
     ),
     "ingest_stats": (
-        lambda s, d: ingest_stats(trace_view(s, d), _ingested(s, d).rejects),
+        lambda s, d: ingest_stats(trace_view(s, d), _rejects(s, d)),
         f"""{_LINES}, e as (select file_name, count(*) as errors from d where kind <> 'ORPHAN' and not ({_GOOD}) group by file_name)
         select trace.file_name, count(*) as lines, coalesce(any_value(errors), 0) as errors from trace left join e on trace.file_name = e.file_name group by trace.file_name""",
     ),

@@ -6,9 +6,6 @@ and every field is a lookup in them: much cheaper than one search of the line pe
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The line forms of the trace format.
 CALL = r"^(PARSE|EXEC|FETCH|WAIT|CLOSE|STAT|ERROR|PARSING IN CURSOR|BINDS|PARSE ERROR) (#\d+)(?::| )(.*)"
 STATEMENT_END = "END OF STMT"
@@ -34,16 +31,15 @@ def quoted(text: str) -> str:
     return "r'" + text + "'" if "'" not in text else 'r"' + text + '"'
 
 
-def integer_items(params: str, separator: str, group: int) -> str:
-    """SQL: keys (group 1) or digits (group 2) of all ``key=integer`` items, last one first.
+def separated(params: str, separator: str) -> str:
+    """SQL: list with one common separator, also in front, so that a match begins with it."""
+    return f"concat(chr(1), replace({params}, '{separator}', chr(1)))"
 
-    The list gets a separator in front, so a match always begins with that character.
-    """
-    pattern = (
-        rf"{separator}([^{separator}=]*)=\s*([+-]?\d{{1,18}})[ \t]*?(?=[{separator}=]|$)"
-    )
-    padded = f"concat('{separator}', {params})"
-    return f"reverse(regexp_extract_all({padded}, r'{pattern}', {group}))"
+
+def integer_items(items: str, group: int) -> str:
+    """SQL: keys (group 1) or digits (group 2) of all ``key=integer`` items, last one first."""
+    pattern = r"\x01([^\x01=]*)=\s*([+-]?\d{1,18})[ \t]*?(?=[\x01=]|$)"
+    return f"reverse(regexp_extract_all({items}, r'{pattern}', {group}))"
 
 
 def integer(key: str) -> str:
@@ -91,6 +87,6 @@ def utc_time(text: str, zone: str = "UTC") -> str:
     return f"if({part[2]} = '', {named}, {local} - make_dt_interval(0, 0, {minutes}))"
 
 
-def call_op(value: Column) -> Column:
-    """Operation of a call line, '' for other lines."""
-    return F.regexp_extract(value, CALL, 1)
+def call_op(value: str) -> str:
+    """SQL: operation of a call line, '' for other lines."""
+    return f"regexp_extract({value}, r'{CALL}', 1)"

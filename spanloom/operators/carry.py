@@ -5,13 +5,16 @@ puts a whole file, or a whole hot cursor, into one task. Here a sequence is cut
 consecutive lines: every block is scanned on its own, the last state of each block (one row) is
 carried over the blocks before it, and the two are combined. Tasks hold one block; the only
 window over a whole sequence runs over one small row per block.
+
+Expressions are SQL texts: they are parsed once on the JVM, while every operator of a Python column
+costs a call.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_LINES = 1 << 16
@@ -21,16 +24,17 @@ BLOCK_LINES = 1 << 16
 class Mark:
     """Rows that set a running value: where ``when`` holds, the value becomes ``value``.
 
-    ``strict`` marks take effect after their own row.
+    Both are SQL texts. ``strict`` marks take effect after their own row.
     """
 
-    when: Column
-    value: Column
+    when: str
+    value: str
     strict: bool = False
 
 
-def block_of(order: Column, size: int = BLOCK_LINES) -> Column:
-    return F.call_function("div", order, F.lit(size).cast("bigint"))
+def block_of(order: str, size: int = BLOCK_LINES) -> str:
+    """SQL: number of the block of consecutive lines."""
+    return f"({order} div {size}L)"
 
 
 def carry_forward(
@@ -47,41 +51,42 @@ def carry_forward(
     ``base`` is a cheaper DataFrame with the same rows to take the block states from (``df`` if not
     given).
     """
-    cut = block_of(F.col(order), size)
+    cut = block_of(order, size)
     source = df if base is None else base
-
-    def struct_of(mark: Mark) -> Column:
-        return F.when(mark.when, F.struct(F.col(order).alias("at"), mark.value.alias("value")))
-
+    states = {
+        n: f"case when {m.when} then named_struct('at', {order}, 'value', {m.value}) end"
+        for n, m in marks.items()
+    }
     key_names = [f"_k{i}" for i in range(len(keys))]
-    states = source.groupBy(
-        *[F.col(k).alias(n) for k, n in zip(keys, key_names)], cut.alias("_carry_block")
-    ).agg(*[F.max(struct_of(m)).alias(f"_in_{n}") for n, m in marks.items()])
-    earlier = (
-        Window.partitionBy(*key_names)
-        .orderBy("_carry_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = states.select(
-        *key_names,
-        "_carry_block",
-        *[F.last(f"_in_{n}", ignorenulls=True).over(earlier).alias(f"_in_{n}") for n in marks],
-    ).where(F.coalesce(*[F.col(f"_in_{n}.at") for n in marks]).isNotNull())
-
-    rows = df.withColumn("_block", cut)
-    same = rows["_block"] == carried["_carry_block"]
-    for k, n in zip(keys, key_names):
-        same = same & (rows[k] == carried[n])
-    joined = rows.join(carried, same, "left")
-
-    in_block = Window.partitionBy(*keys, "_block").orderBy(order)
-    so_far = in_block.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    strictly = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    filled = {
-        n: F.coalesce(
-            F.last(struct_of(m), ignorenulls=True).over(strictly if m.strict else so_far),
-            F.col(f"_in_{n}"),
+    of_key = f"partition by {', '.join(key_names)} order by _carry_block"
+    carried = (
+        source.groupBy(
+            *[F.expr(f"{k} as {n}") for k, n in zip(keys, key_names)], F.expr(f"{cut} as _carry_block")
         )
-        for n, m in marks.items()
+        .agg(*[F.expr(f"max({state}) as _in_{n}") for n, state in states.items()])
+        .selectExpr(
+            *key_names,
+            "_carry_block",
+            *[
+                f"last(_in_{n}, true) over ({of_key} rows between unbounded preceding and 1 preceding)"
+                f" as _in_{n}"
+                for n in marks
+            ],
+        )
+        .where(f"coalesce({', '.join(f'_in_{n}.at' for n in marks)}) is not null")
+    )
+    same = " and ".join(
+        ["_block = _carry_block", *[f"{k} = {n}" for k, n in zip(keys, key_names)]]
+    )
+    joined = df.selectExpr("*", f"{cut} as _block").join(carried, F.expr(same), "left")
+
+    in_block = f"partition by {', '.join(keys)}, _block order by {order}"
+    frames = {
+        False: "range between unbounded preceding and current row",
+        True: "rows between unbounded preceding and 1 preceding",
     }
-    return joined.select(*df.columns, *[c.alias(n) for n, c in filled.items()])
+    filled = [
+        f"coalesce(last({states[n]}, true) over ({in_block} {frames[m.strict]}), _in_{n}) as {n}"
+        for n, m in marks.items()
+    ]
+    return joined.selectExpr(*df.columns, *filled)

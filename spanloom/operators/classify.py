@@ -21,37 +21,31 @@ def classify(lines: DataFrame) -> DataFrame:
     HEADER and ORPHAN. What a line means depends on the latest call line and on whether a statement
     end has passed since, nothing else; both are carried forward. Blank and preamble lines go.
     """
-    rows = lines.where((F.col("line") > X.PREAMBLE_LINES) & (F.length("value") > 0))
-    value = F.col("value")
-    ends = value.startswith(X.STATEMENT_END)
+    rows = lines.where(f"line > {X.PREAMBLE_LINES} and length(value) > 0").selectExpr(
+        "*", f"{X.call_op('value')} as call"
+    )
+    ends = f"startswith(value, '{X.STATEMENT_END}')"
     state = carry_forward(
-        rows.withColumn("call", X.call_op(value)),
+        rows,
         ["file_name"],
         "line",
-        {
-            "_owner": Mark(F.col("call") != "", F.col("call")),
-            "_end": Mark(ends, F.lit(True), strict=True),
-        },
-    )
-    owner, owner_line = F.col("_owner.value"), F.col("_owner.at")
-    in_statement = (owner == "PARSING IN CURSOR") & (
-        F.coalesce(F.col("_end.at"), F.lit(0)) < owner_line
-    )
-    kind = (
-        F.when(F.col("call") != "", F.lit("CALL"))
-        .when((owner == "BINDS") & value.startswith(" "), F.lit("TEXT"))
-        .when(owner == "PARSE ERROR", F.lit("TEXT"))
-        .when(in_statement & ends, F.lit("END"))
-        .when(in_statement, F.lit("TEXT"))
-        .when(value.rlike(r"^XCTEND:* "), F.lit("XCTEND"))
-        .when(value.rlike(X.LOB_OR_COMMIT), F.lit("LOB"))
-        .when(value.startswith(X.RESET), F.lit("RESET"))
-        .when(value.rlike(X.DATE_STAR) | value.rlike(X.NAMED_STAR), F.lit("STAR"))
-        .when(value.rlike(X.HEADER), F.lit("HEADER"))
-        .otherwise(F.lit("ORPHAN"))
+        {"_owner": Mark("call <> ''", "call"), "_end": Mark(ends, "true", strict=True)},
     )
-    return state.withColumn("kind", kind).select(
-        *lines.columns, "call", "kind", F.when(F.col("kind") == "TEXT", owner_line).alias("owner")
+    in_statement = "_owner.value = 'PARSING IN CURSOR' and coalesce(_end.at, 0L) < _owner.at"
+    kind = f"""case
+        when call <> '' then 'CALL'
+        when _owner.value = 'BINDS' and startswith(value, ' ') then 'TEXT'
+        when _owner.value = 'PARSE ERROR' then 'TEXT'
+        when {in_statement} and {ends} then 'END'
+        when {in_statement} then 'TEXT'
+        when startswith(value, 'XCTEND') and rlike(value, r'^XCTEND:* ') then 'XCTEND'
+        when startswith(value, 'LOB') and rlike(value, r'{X.LOB_OR_COMMIT}') then 'LOB'
+        when startswith(value, '{X.RESET}') then 'RESET'
+        when startswith(value, '***') and (rlike(value, r'{X.DATE_STAR}') or rlike(value, r'{X.NAMED_STAR}')) then 'STAR'
+        when rlike(value, r'{X.HEADER}') then 'HEADER'
+        else 'ORPHAN' end as kind"""
+    return state.selectExpr(*lines.columns, "call", kind, "_owner.at as _at").selectExpr(
+        *lines.columns, "call", "kind", "if(kind = 'TEXT', _at, null) as owner"
     )
 
 
@@ -61,31 +55,27 @@ def assemble(classified: DataFrame) -> DataFrame:
     Only the records that can have more lines, and those lines, are grouped; all other rows pass
     without a shuffle. The state of a group is the text of one record.
     """
-    head = ["file_name", "line", "kind", "call", "value"]
-    many = (F.col("kind") == "TEXT") | F.col("call").isin(MULTILINE)
-    single = classified.where(~many & (F.col("kind") != "END")).select(
-        *head, F.lit(None).cast("string").alias("text")
+    many = f"(kind = 'TEXT' or call in ({', '.join(repr(m) for m in MULTILINE)}))"
+    single = classified.where(f"not {many} and kind <> 'END'").selectExpr(
+        "file_name", "line", "kind", "call", "value", "cast(null as string) as text"
     )
-    is_head = F.col("kind") == "CALL"
     grouped = (
         classified.where(many)
-        .withColumn("_record", F.coalesce("owner", "line"))
-        .groupBy("file_name", F.col("_record").alias("line"))
+        .groupBy("file_name", F.expr("coalesce(owner, line) as _record"))
         .agg(
-            F.max(F.when(is_head, F.struct("call", "value"))).alias("_head"),
-            F.sort_array(
-                F.collect_list(F.when(~is_head, F.struct("line", "value")))
-            ).alias("_lines"),
+            F.expr("max(if(kind = 'CALL', named_struct('call', call, 'value', value), null)) as _head"),
+            F.expr(
+                "sort_array(collect_list(if(kind = 'TEXT', named_struct('line', line, 'value', value), null)))"
+                " as _lines"
+            ),
         )
-        .select(
+        .selectExpr(
             "file_name",
-            "line",
-            F.lit("CALL").alias("kind"),
+            "_record as line",
+            "'CALL' as kind",
             "_head.call",
             "_head.value",
-            F.array_join(
-                F.transform("_lines", lambda x: F.concat(x["value"], F.lit("\n"))), ""
-            ).alias("text"),
+            "array_join(transform(_lines, x -> concat(x.value, chr(10))), '') as text",
         )
     )
     return single.unionByName(grouped)

@@ -9,9 +9,10 @@ from spanloom.operators.carry import Mark, carry_forward
 
 
 def clock_marks() -> dict[str, Mark]:
-    star = (F.col("ops") == "STAR") & F.col("ts").isNotNull()
-    timed = F.col("tim").isNotNull() & ~F.col("ops").isin("STAR", "HEADER", "RESET")
-    return {"_anchor": Mark(star, F.col("ts")), "_timed": Mark(timed, F.col("tim"))}
+    return {
+        "_anchor": Mark("ops = 'STAR' and ts is not null", "ts"),
+        "_timed": Mark("tim is not null and ops not in ('STAR', 'HEADER', 'RESET')", "tim"),
+    }
 
 
 def finish_clock(marked: DataFrame) -> DataFrame:
@@ -20,23 +21,19 @@ def finish_clock(marked: DataFrame) -> DataFrame:
     A record without a clock takes the reading of the latest timed record since the wall clock line,
     or the line's own if there is none. Without a wall clock line ``ts`` stays NULL.
     """
-    since = F.col("_anchor.at")
     first = (
-        marked.where((F.col("_timed.at") == F.col("line")) & (F.col("_timed.at") > since))
-        .groupBy(F.col("file_name").alias("_file"), since.alias("_since"))
-        .agg(F.min(F.struct(F.col("line"), F.col("tim"))).alias("_first"))
-        .select("_file", "_since", F.col("_first.tim").alias("_first_tim"))
+        marked.where("_timed.at = line and _timed.at > _anchor.at")
+        .groupBy(F.expr("file_name as _file"), F.expr("_anchor.at as _since"))
+        .agg(F.expr("min(named_struct('line', line, 'tim', tim)) as _first"))
+        .selectExpr("_file", "_since", "_first.tim as _first_tim")
     )
-    rows = marked.withColumn("_at", since)
-    joined = rows.join(
-        first, (rows["file_name"] == first["_file"]) & (rows["_at"] == first["_since"]), "left"
-    )
-    elapsed = F.when(F.col("_timed.at") > since, F.col("_timed.value") - F.col("_first_tim"))
-    reading = F.timestamp_add("MICROSECOND", F.coalesce(elapsed, F.lit(0)), F.col("_anchor.value"))
-    own = F.col("ops").isin("STAR", "HEADER")
-    return joined.withColumn("ts", F.when(own, F.col("ts")).otherwise(reading)).drop(
-        "_file", "_since", "_first_tim", "_at", "_anchor", "_timed"
+    joined = marked.selectExpr("*", "_anchor.at as _at").join(
+        first, F.expr("file_name = _file and _at = _since"), "left"
     )
+    reading = """case when ops in ('STAR', 'HEADER') then ts else timestampadd(MICROSECOND,
+        coalesce(case when _timed.at > _at then _timed.value - _first_tim end, 0L), _anchor.value) end as ts"""
+    kept = [c for c in marked.columns if c not in ("ts", "_anchor", "_timed")]
+    return joined.selectExpr(*kept, reading)
 
 
 def assign_clock(ops: DataFrame) -> DataFrame:

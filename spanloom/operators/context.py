@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spanloom.operators.carry import Mark, carry_forward
 from spanloom.schema import OPS_SCHEMA
@@ -21,19 +20,17 @@ CONTEXT = {
 
 def context_marks() -> dict[str, Mark]:
     return {
-        f"_ctx_{column}": Mark(
-            (F.col("ops") == "STAR") & (F.col("event_name") == name), F.col("event_raw")
-        )
+        f"_ctx_{column}": Mark(f"ops = 'STAR' and event_name = '{name}'", "event_raw")
         for column, name in CONTEXT.items()
     }
 
 
 def finish_context(marked: DataFrame) -> DataFrame:
-    values = {
-        column: F.col(f"_ctx_{column}.value").try_cast(OPS_SCHEMA[column].dataType)
-        for column in CONTEXT
-    }
-    return marked.withColumns(values).drop(*[f"_ctx_{c}" for c in CONTEXT])
+    kept = [c for c in marked.columns if c not in CONTEXT and not c.startswith("_ctx_")]
+    kinds = {c: OPS_SCHEMA[c].dataType.simpleString() for c in CONTEXT}
+    return marked.selectExpr(
+        *kept, *[f"try_cast(_ctx_{c}.value as {kind}) as {c}" for c, kind in kinds.items()]
+    )
 
 
 def fill_context(ops: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ lists have the same keys in all kinds of records and are looked up the same way.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spanloom.functions import trace_text as X
 from spanloom.schema import OPS_SCHEMA
@@ -39,14 +38,13 @@ def wait_fields() -> dict[str, str]:
     }
 
 
-def star_fields(zone: str = "UTC") -> dict[str, str]:
+def star_fields() -> dict[str, str]:
     """Wall clock lines, with or without a session attribute."""
-    dated = f"regexp_extract(value, r'{X.DATE_STAR}', 1)"
-    name, inner, at = (f"regexp_extract(value, r'{X.NAMED_STAR}', {i})" for i in (1, 2, 3))
+    name, inner = (f"regexp_extract(value, r'{X.NAMED_STAR}', {i})" for i in (1, 2))
     return {
-        "event_name": f"if({dated} != '', 'DATETIME', {name})",
-        "event_raw": f"if({dated} = '', trim(both '()' from {inner}), null)",
-        "ts": X.utc_time(f"if({dated} != '', {dated}, {at})", zone),
+        "event_name": f"coalesce(nullif({name}, ''), 'DATETIME')",
+        "event_raw": f"if({name} = '', null, trim(both '()' from {inner}))",
+        "ts": "star_ts",
     }
 
 
@@ -60,24 +58,23 @@ def header_fields() -> dict[str, str]:
 _TIMED_CALL = "ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE')"
 
 
-def _rules(zone: str) -> list[tuple[str, dict[str, str]]]:
-    """Fields that are no integers of a list, by kind of record."""
-    return [
-        ("ops = 'WAIT'", wait_fields()),
-        ("ops = 'PIC'", {"ad": X.text("params", "ad", " "), "sql_id": X.text("params", "sqlid", " "), "event_raw": "text"}),
-        ("ops = 'STAT'", {"event_raw": "params"}),
-        ("ops = 'BINDS'", {"event_raw": "concat(params, coalesce(text, ''))"}),
-        ("ops = 'PARSE ERROR'", {"event_raw": "text"}),
-        ("kind = 'LOB'", {"lobtype": X.text("params", "type", ","), "c_type": "0"}),
-        ("kind = 'STAR'", star_fields(zone)),
-        ("kind = 'HEADER'", header_fields()),
-    ]
+# Fields that are no integers of a list, by kind of record.
+_RULES = [
+    ("ops = 'WAIT'", wait_fields()),
+    ("ops = 'PIC'", {"ad": X.text("params", "ad", " "), "sql_id": X.text("params", "sqlid", " "), "event_raw": "text"}),
+    ("ops = 'STAT'", {"event_raw": "params"}),
+    ("ops = 'BINDS'", {"event_raw": "concat(params, coalesce(text, ''))"}),
+    ("ops = 'PARSE ERROR'", {"event_raw": "text"}),
+    ("kind = 'LOB'", {"lobtype": X.text("params", "type", ","), "c_type": "0"}),
+    ("kind = 'STAR'", star_fields()),
+    ("kind = 'HEADER'", header_fields()),
+]
 
 
-def _merged(column: str, kind: str, rules: list[tuple[str, dict[str, str]]]) -> str:
+def _merged(column: str, kind: str) -> str:
     key = next((k for k, c in KEYS.items() if c == column), None)
     last = X.integer(key) if key else "null"
-    cases = [f"when {when} then {fields[column]}" for when, fields in rules if column in fields]
+    cases = [f"when {when} then {fields[column]}" for when, fields in _RULES if column in fields]
     found = f"case {' '.join(cases)} else {last} end" if cases else last
     typed = found if kind in ("bigint", "string") else f"try_cast({found} as {kind})"
     if column in _TEXTS:
@@ -90,35 +87,32 @@ def _merged(column: str, kind: str, rules: list[tuple[str, dict[str, str]]]) ->
     return f"{typed} as {column}"
 
 
-def split_records(records: DataFrame) -> DataFrame:
-    """Add ``ops``, ``cursor_id``, ``params`` (the line behind them), ``keys`` and ``digits``."""
-    call = F.col("call")
-    cursor = records.withColumn(
-        "cursor_id", F.when(call != "", F.regexp_extract("value", X.CALL, 2))
+def split_records(records: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Add ``ops``, ``cursor_id``, ``params`` (the line behind them), ``keys``, ``digits``, ``star_ts``."""
+    cursor = records.selectExpr(
+        "*", f"if(call <> '', regexp_extract(value, r'{X.CALL}', 2), null) as cursor_id"
+    )
+    outside = [f"regexp_extract(value, r'{X.LOB_OR_COMMIT}', {i})" for i in (0, 1, 2)]
+    split = cursor.selectExpr(
+        "*",
+        f"""case when call = 'PARSING IN CURSOR' then 'PIC' when call <> '' then call
+        when kind in ('LOB', 'XCTEND') then {outside[1]} else kind end as ops""",
+        f"""case when call <> '' then substr(value, length(call) + length(cursor_id) + 3)
+        when kind in ('LOB', 'XCTEND') then {outside[2]} end as params""",
     )
-    behind = F.length(call) + F.length("cursor_id") + F.lit(3)
-    outside = F.col("kind").isin("LOB", "XCTEND")
-    split = cursor.withColumns(
-        {
-            "ops": F.when(call == "PARSING IN CURSOR", F.lit("PIC"))
-            .when(call != "", call)
-            .when(outside, F.regexp_extract("value", X.LOB_OR_COMMIT, 1))
-            .otherwise(F.col("kind")),
-            "params": F.when(call != "", F.substr("value", behind)).when(
-                outside, F.regexp_extract("value", X.LOB_OR_COMMIT, 2)
-            ),
-        }
+    items = f"""case when {_TIMED_CALL} or kind = 'LOB' then {X.separated('params', ',')}
+        when ops in ('PIC', 'ERROR', 'PARSE ERROR') then {X.separated('params', ' ')}
+        when ops = 'XCTEND' then {X.separated('params', ', ')} end as _items"""
+    dated, named = (f"regexp_extract(value, r'{p}', {i})" for p, i in ((X.DATE_STAR, 1), (X.NAMED_STAR, 3)))
+    stamp = f"if(kind = 'STAR', coalesce(nullif({dated}, ''), {named}), null) as stamp"
+    listed = split.selectExpr("*", items, stamp)
+    kept = [c for c in listed.columns if c not in ("_items", "stamp")]
+    return listed.selectExpr(
+        *kept,
+        f"{X.integer_items('_items', 1)} as keys",
+        f"{X.integer_items('_items', 2)} as digits",
+        f"{X.utc_time('stamp', zone)} as star_ts",
     )
-    lists = {}
-    for group, name in ((1, "keys"), (2, "digits")):
-        comma, space = (X.integer_items("params", by, group) for by in (",", " "))
-        commit = X.integer_items("replace(params, ', ', ',')", ",", group)
-        lists[name] = F.expr(
-            f"""case when {_TIMED_CALL} or kind = 'LOB' then {comma}
-            when ops in ('PIC', 'ERROR', 'PARSE ERROR') then {space}
-            when ops = 'XCTEND' then {commit} end"""
-        )
-    return split.withColumns(lists)
 
 
 def parse_records(records: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -128,19 +122,18 @@ def parse_records(records: DataFrame, zone: str = "UTC") -> DataFrame:
     needed), ``cursor`` (no valid handle) or ``time``. Missing integers are 0 and missing texts '';
     a missing ``tim`` is NULL. Resets and orphans pass through with an op of that name.
     """
-    rules = _rules(zone)
     reject = f"""case
         when {_TIMED_CALL} and {X.broken_list()} then 'params'
         when ops = 'XCTEND' and {X.broken_commit()} then 'params'
         when kind = 'LOB' and {X.broken_list('type')} then 'params'
         when cursor_id != '#0' and length(cursor_id) <= 2 then 'cursor'
-        when kind = 'STAR' and {star_fields(zone)['ts']} is null then 'time'
+        when kind = 'STAR' and star_ts is null then 'time'
         end as reject"""
     fields = [
-        _merged(f.name, f.dataType.simpleString(), rules)
+        _merged(f.name, f.dataType.simpleString())
         for f in OPS_SCHEMA.fields
         if f.name not in _FROM_ELSEWHERE
     ]
-    return split_records(records).selectExpr(
+    return split_records(records, zone).selectExpr(
         "file_name", "line", "kind", "value", reject, "ops", "cursor_id", *fields
     )

@@ -12,10 +12,10 @@ never meets in one task; only calls that may occur once take part, the bulk (fet
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.operators.carry import BLOCK_LINES, Mark, block_of, carry_forward
+from spanloom.operators.carry import Mark, block_of, carry_forward
 from spanloom.schema import SINGLE_OPS, TRACKED_OPS
 from spanloom.sources.stage import stage
 
@@ -26,25 +26,30 @@ WALK_LINES = 1 << 13
 WALK_LEVELS = 1
 
 
-def valid_cursor(cursor: Column) -> Column:
-    """Handles are ``#0`` or longer than one digit."""
-    return (cursor == "#0") | (F.length(cursor) > 2)
+_TRACKED = f"ops in ({', '.join(repr(op) for op in TRACKED_OPS)})"
+# Handles are #0 or longer than one digit.
+_VALID_CURSOR = "coalesce(cursor_id = '#0' or length(cursor_id) > 2, false)"
 
 
 def validate(ops: DataFrame) -> DataFrame:
     """Add ``reject``: why a call can not take part in a span, else NULL."""
-    tracked = F.col("ops").isin(TRACKED_OPS)
-    other = F.col("ops").isin("XCTEND", "STAR", "HEADER", "RESET") | F.col("ops").startswith("LOB")
-    return ops.withColumn(
-        "reject",
-        F.when(~tracked & ~other, F.lit("ops"))
-        .when(tracked & ~F.coalesce(valid_cursor(F.col("cursor_id")), F.lit(False)), F.lit("cursor"))
-        .when(F.col("ops").startswith("LOB") & F.col("cursor_id").isNotNull(), F.lit("cursor")),
+    other = "ops in ('XCTEND', 'STAR', 'HEADER', 'RESET') or startswith(ops, 'LOB')"
+    return ops.selectExpr(
+        "*",
+        f"""case when not ({_TRACKED} or {other}) then 'ops'
+        when {_TRACKED} and not {_VALID_CURSOR} then 'cursor'
+        when startswith(ops, 'LOB') and cursor_id is not null then 'cursor' end as reject""",
     )
 
 
 def reset_marks() -> dict[str, Mark]:
-    return {"_reset": Mark(F.col("ops") == "RESET", F.lit(True))}
+    return {"_reset": Mark("ops = 'RESET'", "true")}
+
+
+def only_line(marked: DataFrame, mark: str) -> DataFrame:
+    """Replace a mark by its line."""
+    kept = [c for c in marked.columns if c != mark]
+    return marked.selectExpr(*kept, f"{mark}.at as {mark}")
 
 
 def resolve_sql_id(ops: DataFrame, base: DataFrame | None = None) -> DataFrame:
@@ -53,15 +58,16 @@ def resolve_sql_id(ops: DataFrame, base: DataFrame | None = None) -> DataFrame:
     A parse record always starts a span, so this is also the latest one at the span's start.
     Leaves ``_pic``, the line of that record.
     """
-    marks = {"_pic": Mark(F.col("ops") == "PIC", F.coalesce("sql_id", F.lit("")))}
+    marks = {"_pic": Mark("ops = 'PIC'", "coalesce(sql_id, '')")}
     filled = carry_forward(ops, ["file_name", "cursor_id"], "line", marks, base=base)
-    return filled.withColumn("sql_id", F.col("_pic.value")).withColumn("_pic", F.col("_pic.at"))
+    kept = [c for c in ops.columns if c != "sql_id"]
+    return filled.selectExpr(*kept, "_pic.value as sql_id", "_pic.at as _pic")
 
 
 def segment_calls(ops: DataFrame) -> DataFrame:
     """Add what ``cut_spans`` needs: statement id, and lines of the latest reset and parse."""
-    marked = carry_forward(ops, ["file_name"], "line", reset_marks())
-    return resolve_sql_id(marked, base=ops).withColumn("_reset", F.col("_reset.at"))
+    marked = only_line(carry_forward(ops, ["file_name"], "line", reset_marks()), "_reset")
+    return resolve_sql_id(marked, base=ops)
 
 
 def _step(state: int, op: int) -> int:
@@ -69,50 +75,44 @@ def _step(state: int, op: int) -> int:
     return bit if state & bit else state | bit
 
 
-def _functions() -> Column:
-    """Per call kind, the letters of the states that follow the states ``_LETTERS``."""
-    return F.lit(["".join(_LETTERS[_step(s, op)] for s in range(_STATES)) for op in range(len(_ONCE))])
+# SQL: per call kind, the letters of the states that follow the states ``_LETTERS``. Raw literals,
+# since one of the letters is the backslash.
+_FUNCTIONS = ", ".join(
+    "r'" + "".join(_LETTERS[_step(s, op)] for s in range(_STATES)) + "'" for op in range(len(_ONCE))
+)
+_START = _LETTERS[0]
 
 
-def _translate(acc: Column, function: Column) -> Column:
-    return F.call_function("translate", acc, F.lit(_LETTERS), function)
+def _composed(function: str) -> str:
+    """SQL: state function of ``_items``, whose elements x have the given state function."""
+    return f"aggregate(_items, r'{_LETTERS}', (acc, x) -> translate(acc, r'{_LETTERS}', {function}))"
 
 
 def _collected(rows: DataFrame, keys: list[str], *fields: str) -> DataFrame:
     """Ordered list per key; ``keys`` end with a block number, which bounds the list."""
-    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_items"))
+    return rows.groupBy(*keys).agg(
+        F.expr(f"sort_array(collect_list(struct({', '.join(fields)}))) as _items")
+    )
 
 
 def _entry_states(blocks: DataFrame, keys: list[str], size: int, levels: int) -> DataFrame:
     """Letter of the state each block is entered in: ``keys, _walk, _entry``."""
-    start = F.lit(_LETTERS[0])
-    fold = F.aggregate(
-        "_items", F.lit(_LETTERS), lambda acc, x: _translate(acc, x["_function"])
-    )
     if levels == 0:
-        lists = _collected(blocks, keys, "_walk", "_function").withColumn("_enter", start)
+        lists = _collected(blocks, keys, "_walk", "_function").selectExpr("*", f"'{_START}' as _enter")
     else:
-        upper = block_of(F.col("_walk"), size)
-        lists = _collected(blocks.withColumn("_up", upper), [*keys, "_up"], "_walk", "_function")
-        above = lists.select(*keys, F.col("_up").alias("_walk"), fold.alias("_function"))
-        entries = _entry_states(above, keys, size, levels - 1).select(
-            *keys, F.col("_walk").alias("_up"), F.col("_entry").alias("_enter")
+        upper = blocks.selectExpr("*", f"{block_of('_walk', size)} as _up")
+        lists = _collected(upper, [*keys, "_up"], "_walk", "_function")
+        above = lists.selectExpr(*keys, "_up as _walk", f"{_composed('x._function')} as _function")
+        entries = _entry_states(above, keys, size, levels - 1).selectExpr(
+            *keys, "_walk as _up", "_entry as _enter"
         )
         lists = lists.join(entries, [*keys, "_up"])
-    letter_after = lambda state, f: F.substring(f, F.ascii(state) - F.lit(ord("0") - 1), F.lit(1))
-    path = F.aggregate(
-        "_items",
-        F.struct(F.col("_enter").alias("state"), F.lit("").alias("path")),
-        lambda acc, x: F.struct(
-            letter_after(acc["state"], x["_function"]).alias("state"),
-            F.concat(acc["path"], acc["state"]).alias("path"),
-        ),
-    )["path"]
-    pairs = F.arrays_zip(F.col("_items._walk").alias("w"), F.split(path, "").alias("s"))
+    path = """aggregate(_items, named_struct('state', _enter, 'path', ''), (acc, x) -> named_struct(
+        'state', substring(x._function, ascii(acc.state) - 47, 1), 'path', concat(acc.path, acc.state))).path"""
     return (
-        lists.select(*keys, F.explode(pairs).alias("_pair"))
-        .select(*keys, F.col("_pair.w").alias("_walk"), F.col("_pair.s").alias("_entry"))
-        .where(F.col("_walk").isNotNull())
+        lists.selectExpr(*keys, "_items._walk as _walk", f"split({path}, '') as _entry")
+        .selectExpr(*keys, "inline(arrays_zip(_walk, _entry))")
+        .where("_walk is not null")
     )
 
 
@@ -121,52 +121,34 @@ def repeated_starts(
 ) -> DataFrame:
     """Lines that start a span because their kind is already in the current one."""
     keys = ["file_name", "cursor_id", "_segment"]
-    kind = F.array_position(F.lit(_ONCE), F.col("ops")).cast("int")
-    once = segmented.where(F.col("ops").isin(_ONCE)).select(
+    kinds = ", ".join(repr(op) for op in _ONCE)
+    once = segmented.where(f"ops in ({kinds})").selectExpr(
         "file_name",
         "cursor_id",
-        _segment().alias("_segment"),
-        block_of(F.col("line"), size).alias("_walk"),
+        f"{_SEGMENT} as _segment",
+        f"{block_of('line', size)} as _walk",
         "line",
-        kind.alias("_kind"),
+        f"cast(array_position(array({kinds}), ops) as int) as _kind",
     )
     walks = _collected(once, [*keys, "_walk"], "line", "_kind")
-    functions = walks.select(
-        *keys,
-        "_walk",
-        F.aggregate(
-            "_items",
-            F.lit(_LETTERS),
-            lambda acc, x: _translate(acc, F.element_at(_functions(), x["_kind"])),
-        ).alias("_function"),
+    function = _composed(f"element_at(array({_FUNCTIONS}), x._kind)")
+    entries = _entry_states(
+        walks.selectExpr(*keys, "_walk", f"{function} as _function"), keys, size, levels
     )
-    entries = _entry_states(functions, keys, size, levels)
-
-    def step(acc: Column, x: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1), x["_kind"] - 1)
-        again = acc["seen"].bitwiseAND(bit) != 0
-        return F.struct(
-            F.when(again, bit).otherwise(acc["seen"].bitwiseOR(bit)).alias("seen"),
-            F.concat(acc["path"], F.when(again, F.lit("1")).otherwise(F.lit("0"))).alias("path"),
-        )
-
-    path = F.aggregate(
-        "_items",
-        F.struct((F.ascii("_entry") - F.lit(ord("0"))).alias("seen"), F.lit("").alias("path")),
-        step,
-    )["path"]
-    pairs = F.arrays_zip(F.col("_items.line").alias("line"), F.split(path, "").alias("start"))
+    bit = "shiftleft(1, x._kind - 1)"
+    again = f"(acc.seen & {bit}) <> 0"
+    path = f"""aggregate(_items, named_struct('seen', ascii(_entry) - 48, 'path', ''), (acc, x) -> named_struct(
+        'seen', if({again}, {bit}, acc.seen | {bit}), 'path', concat(acc.path, if({again}, '1', '0')))).path"""
     return (
         walks.join(entries, [*keys, "_walk"])
-        .select("file_name", "cursor_id", F.explode(pairs).alias("_pair"))
-        .where(F.col("_pair.start") == "1")
-        .select("file_name", "cursor_id", F.col("_pair.line").alias("line"))
+        .selectExpr("file_name", "cursor_id", "_items.line as line", f"split({path}, '') as _starts")
+        .selectExpr("file_name", "cursor_id", "inline(arrays_zip(line, _starts))")
+        .where("_starts = '1'")
+        .drop("_starts")
     )
 
 
-def _segment() -> Column:
-    zero = F.lit(0).cast("bigint")
-    return F.greatest(F.coalesce("_reset", zero), F.coalesce("_pic", zero))
+_SEGMENT = "greatest(coalesce(_reset, 0L), coalesce(_pic, 0L))"
 
 
 def cut_spans(segmented: DataFrame, starts: DataFrame, attach_lobs: bool = False) -> DataFrame:
@@ -176,31 +158,30 @@ def cut_spans(segmented: DataFrame, starts: DataFrame, attach_lobs: bool = False
     are spans of one row and have their own line. With ``attach_lobs`` a large-object record joins
     the span of the latest call of its file.
     """
-    started = segmented.withColumn("_start", F.lit(None).cast("bigint")).unionByName(
-        starts.withColumn("_start", F.col("line")), allowMissingColumns=True
+    started = segmented.selectExpr("*", "cast(null as bigint) as _start").unionByName(
+        starts.selectExpr("*", "line as _start"), allowMissingColumns=True
     )
     filled = carry_forward(
         started,
         ["file_name", "cursor_id"],
         "line",
-        {"_started": Mark(F.col("_start").isNotNull(), F.col("_start"))},
-    ).where(F.col("ops").isNotNull() & (F.col("ops") != "RESET"))
-    tracked = F.col("ops").isin(TRACKED_OPS)
-    mark = F.when(
-        tracked, F.greatest(_segment(), F.coalesce("_started.at", F.lit(0).cast("bigint")))
-    ).otherwise(F.col("line"))
-    out = filled.withColumn("_mark", mark).withColumn("_cursor", F.coalesce("cursor_id", F.lit("")))
+        {"_started": Mark("_start is not null", "true")},
+    ).where("ops <> 'RESET'")
+    kept = [c for c in segmented.columns if c not in ("_reset", "_pic")]
+    out = filled.selectExpr(
+        *kept,
+        f"if({_TRACKED}, greatest({_SEGMENT}, coalesce(_started.at, 0L)), line) as _mark",
+        "coalesce(cursor_id, '') as _cursor",
+    )
     if attach_lobs:
-        latest = F.struct("_cursor", "_mark", "sql_id")
-        out = carry_forward(out, ["file_name"], "line", {"_latest": Mark(tracked, latest)})
-        joins = F.col("ops").startswith("LOB") & F.col("_latest").isNotNull()
-        out = out.withColumns(
-            {
-                c: F.when(joins, F.col(f"_latest.value.{c}")).otherwise(F.col(c))
-                for c in ("_cursor", "_mark", "sql_id")
-            }
-        ).drop("_latest")
-    return out.drop("_start", "_started", "_reset", "_pic")
+        latest = {"_latest": Mark(_TRACKED, "struct(_cursor, _mark, sql_id)")}
+        joins = "startswith(ops, 'LOB') and _latest is not null"
+        moved = ("_cursor", "_mark", "sql_id")
+        kept = [c for c in out.columns if c not in moved]
+        out = carry_forward(out, ["file_name"], "line", latest).selectExpr(
+            *kept, *[f"if({joins}, _latest.value.{c}, {c}) as {c}" for c in moved]
+        )
+    return out
 
 
 def _dense_ids(cut: DataFrame, resets: DataFrame) -> DataFrame:
@@ -213,53 +194,47 @@ def _dense_ids(cut: DataFrame, resets: DataFrame) -> DataFrame:
     keys = ["file_name", "_cursor"]
     spans = stage(
         cut.groupBy(*keys, "_mark").agg(
-            F.min("line").alias("_first"),
-            F.max("line").alias("_last"),
-            F.bool_or(F.col("ops").isin(TRACKED_OPS)).alias("_tracked"),
+            F.expr("min(line) as _first"),
+            F.expr("max(line) as _last"),
+            F.expr(f"bool_or({_TRACKED}) as _tracked"),
         ),
         "spans",
     )
-    seen = spans.groupBy(*keys).agg(F.min("_first").alias("_seen"))
-    spans = spans.join(seen, keys).withColumn("_back", -F.col("_first"))
-    spans = carry_forward(
-        spans, keys, "_back", {"_next": Mark(F.lit(True), F.col("_first"), strict=True)}
-    ).withColumn("_back", -F.col("_last"))
-    with_resets = spans.unionByName(
-        resets.select("file_name", (-F.col("line")).alias("_back"), F.col("line").alias("_at_reset")),
+    seen = spans.groupBy(*keys).agg(F.expr("min(_first) as _seen"))
+    spans = spans.join(seen, keys).selectExpr("*", "-_first as _back")
+    spans = carry_forward(spans, keys, "_back", {"_next": Mark("true", "_first", strict=True)})
+    with_resets = spans.selectExpr(
+        *keys, "_mark", "_first", "_tracked", "_seen", "_next.value as _next", "-_last as _back"
+    ).unionByName(
+        resets.selectExpr("file_name", "-line as _back", "line as _at_reset"),
         allowMissingColumns=True,
     )
     closed = carry_forward(
-        with_resets,
-        ["file_name"],
-        "_back",
-        {"_end": Mark(F.col("_at_reset").isNotNull(), F.col("_at_reset"))},
-    ).where(F.col("_mark").isNotNull())
-    close = F.when(F.col("_tracked"), F.least("_next.value", "_end.value")).otherwise(F.col("_first"))
-    placed = closed.select(*keys, "_mark", "_seen", close.alias("_close")).withColumn(
-        "_open", F.col("_close").isNull()
+        with_resets, ["file_name"], "_back", {"_end": Mark("_at_reset is not null", "_at_reset")}
+    ).where("_mark is not null")
+    placed = stage(
+        closed.selectExpr(
+            *keys, "_mark", "_seen", "if(_tracked, least(_next, _end.value), _first) as _close"
+        ).selectExpr(
+            "*", "_close is null as _open", f"{block_of('coalesce(_close, _seen)')} as _part"
+        ),
+        "closed_spans",
     )
-    part_of = block_of(F.coalesce("_close", "_seen"), BLOCK_LINES)
-    placed = stage(placed.withColumn("_part", part_of), "closed_spans")
-
     part = ["file_name", "_open", "_part"]
-    counts = placed.groupBy(*part).agg(F.count("*").alias("_n"))
-    files = counts.groupBy("file_name").agg(F.sum("_n").alias("_n"))
-    before_file = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
-    before_part = (
-        Window.partitionBy("file_name")
-        .orderBy("_open", "_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    files = files.select(
-        "file_name", F.coalesce(F.sum("_n").over(before_file), F.lit(0)).alias("_file_offset")
+    before = "rows between unbounded preceding and 1 preceding"
+    counts = placed.groupBy(*part).agg(F.expr("count(*) as _n"))
+    files = (
+        counts.groupBy("file_name")
+        .agg(F.expr("sum(_n) as _n"))
+        .selectExpr("file_name", f"coalesce(sum(_n) over (order by file_name {before}), 0L) as _earlier")
     )
-    offsets = counts.join(files, "file_name").select(
-        *part,
-        (F.col("_file_offset") + F.coalesce(F.sum("_n").over(before_part), F.lit(0))).alias("_offset"),
+    in_file = f"sum(_n) over (partition by file_name order by _open, _part {before})"
+    offsets = counts.join(files, "file_name").selectExpr(
+        *part, f"_earlier + coalesce({in_file}, 0L) as _offset"
     )
-    rank = F.row_number().over(Window.partitionBy(*part).orderBy("_close", "_seen", "_cursor"))
-    return placed.join(offsets, part).select(
-        *keys, "_mark", (F.col("_offset") + rank).alias("span_id")
+    rank = f"row_number() over (partition by {', '.join(part)} order by _close, _seen, _cursor)"
+    return placed.join(offsets, part).selectExpr(
+        *keys, "_mark", f"_offset + {rank} as span_id"
     )
 
 
@@ -276,8 +251,7 @@ def number_spans(cut: DataFrame, ids: str = "hash", resets: DataFrame | None = N
     if resets is None:
         raise ValueError("dense ids need the reset lines")
     numbers = _dense_ids(cut, resets)
-    base = cut.drop("span_id") if "span_id" in cut.columns else cut
-    return base.join(numbers, ["file_name", "_cursor", "_mark"])
+    return cut.drop("span_id").join(numbers, ["file_name", "_cursor", "_mark"])
 
 
 def assign_spans(ops: DataFrame, ids: str = "hash", attach_lobs: bool = False) -> DataFrame:
@@ -289,15 +263,20 @@ def assign_spans(ops: DataFrame, ids: str = "hash", attach_lobs: bool = False) -
     """
     segmented = stage(segment_calls(ops), "segments")
     cut = cut_spans(segmented, stage(repeated_starts(segmented), "starts"), attach_lobs)
-    resets = ops.where(F.col("ops") == "RESET").select("file_name", "line")
+    resets = ops.where("ops = 'RESET'").select("file_name", "line")
     return number_spans(cut, ids, resets).drop("_cursor", "_mark")
 
 
 def span_op_counts(ops: DataFrame) -> DataFrame:
     """Calls of each kind per span, and their number."""
-    kind = F.when(F.col("ops").startswith("LOB"), F.lit("LOB")).otherwise(F.col("ops"))
     kinds = [*TRACKED_OPS, "LOB", "XCTEND", "STAR", "HEADER"]
     return ops.groupBy("span_id").agg(
-        *[F.count_if(kind == k).alias(f"n_{k.lower().replace(' ', '_')}") for k in kinds],
-        F.count("*").alias("n_ops"),
+        *[
+            F.expr(
+                f"count_if({'startswith(ops, ' + repr(k) + ')' if k == 'LOB' else 'ops = ' + repr(k)})"
+                f" as n_{k.lower().replace(' ', '_')}"
+            )
+            for k in kinds
+        ],
+        F.expr("count(*) as n_ops"),
     )

@@ -16,6 +16,7 @@ from spanloom.operators.parse import parse_records
 from spanloom.operators.spans import (
     cut_spans,
     number_spans,
+    only_line,
     repeated_starts,
     reset_marks,
     resolve_sql_id,
@@ -50,18 +51,18 @@ def ingest(
     """
     lines = source if isinstance(source, DataFrame) else read_lines(source, paths)
     records = stage(parse_records(assemble(classify(lines)), zone), "records")
-    stored = records.where(F.col("reject").isNull() & (F.col("kind") != "ORPHAN")).drop(
+    stored = records.where("reject is null and kind <> 'ORPHAN'").drop(
         "kind", "value", "reject"
     )
 
     of_file = {**context_marks(), **clock_marks(), **reset_marks()}
     running = finish_context(carry_forward(stored, ["file_name"], "line", of_file))
     running = resolve_sql_id(running, base=stored)
-    segmented = stage(running.withColumn("_reset", F.col("_reset.at")), "running")
+    segmented = stage(only_line(running, "_reset"), "running")
 
     starts = stage(repeated_starts(segmented), "starts")
     cut = cut_spans(segmented, starts, attach_lobs)
-    resets = segmented.where(F.col("ops") == "RESET").select("file_name", "line")
+    resets = segmented.where("ops = 'RESET'").select("file_name", "line")
     ops = number_spans(finish_clock(cut), ids, resets).select(*OPS_COLUMNS)
     return Ingest(
         ops=ops,

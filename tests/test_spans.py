@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from spanloom.operators import spans as S
 from spanloom.operators.carry import Mark, carry_forward
@@ -93,8 +92,8 @@ def test_carry_forward_equals_a_loop(spark, size):
     ]
     df = spark.createDataFrame(rows, "k string, i bigint, v int")
     marks = {
-        "now": Mark(F.col("v").isNotNull(), F.col("v")),
-        "before": Mark(F.col("v").isNotNull(), F.col("v"), strict=True),
+        "now": Mark("v is not null", "v"),
+        "before": Mark("v is not null", "v", strict=True),
     }
     found = {
         r["i"]: (r["now"] and r["now"]["value"], r["before"] and r["before"]["value"])
