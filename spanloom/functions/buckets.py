@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def bucket_shift(value: str, bits: int) -> str:
+    """SQL: power of two of the bucket width; 0 while the value fits in ``bits`` bits."""
+    return f"greatest(0, length(bin(abs({value}))) - {bits})"
 
-def bucket_shift(value: Column, bits: int) -> Column:
-    """Power of two of the bucket width: 0 while the value fits in ``bits`` bits."""
-    return F.greatest(F.lit(0), F.length(F.bin(F.abs(value))) - F.lit(bits))
 
-
-def bucket_low(value: Column, bits: int) -> Column:
-    """Lowest value of the bucket that holds ``value`` (a bigint column).
+def bucket_low(value: str, bits: int) -> str:
+    """SQL: lowest value of the bucket that holds ``value``, a bigint.
 
     Values below ``2**bits`` have a bucket of their own; above, every power of two is cut into
     ``2**(bits-1)`` equal buckets. So there are at most ``2**bits + 63 * 2**(bits-1)`` buckets,
     whatever the data, and the order of buckets is the order of values.
     """
     shift = bucket_shift(value, bits)
-    return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
+    return f"shiftleft(shiftright({value}, {shift}), {shift})"
 
 
-def bucket_high(low: Column, bits: int) -> Column:
-    """Highest value of the bucket that starts at ``low`` (not negative)."""
-    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), bucket_shift(low, bits))
-    return low + width - F.lit(1)
+def bucket_high(low: str, bits: int) -> str:
+    """SQL: highest value of the bucket that starts at ``low`` (not negative)."""
+    return f"{low} + shiftleft(1L, {bucket_shift(low, bits)}) - 1"

@@ -14,24 +14,14 @@ values. The join of step 3 is left to adaptive execution: broadcast if the targe
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.buckets import bucket_low
 
 _BITS = 10
-
-
-def _ranks(n: Column) -> dict[str, Column]:
-    """1-based ranks of the two middle values and of the discrete 99th percentile."""
-    return {
-        "mid_lo": F.call_function("div", n + 1, F.lit(2)),
-        "mid_hi": F.call_function("div", n, F.lit(2)) + 1,
-        "p99": n - F.call_function("div", n, F.lit(100)),
-    }
+# SQL: 1-based ranks of the two middle values and of the discrete 99th percentile of _n values.
+_RANKS = {"_low": "((_n + 1) div 2)", "_high": "(_n div 2 + 1)", "_p99": "(_n - _n div 100)"}
 
 
 def grouped_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -40,68 +30,49 @@ def grouped_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     ``median`` interpolates between the two middle values; ``p99`` is the smallest value with at
     least 99 % of the values at or below it. NULL values count in ``n`` only; NULL is a key.
     """
-    rows = df.select(*keys, F.col(value).cast("bigint").alias("_v"))
-    rows = rows.withColumn("_b", bucket_low(F.col("_v"), _BITS))
-
+    rows = df.selectExpr(*keys, f"cast({value} as bigint) as _v").selectExpr(
+        "*", f"{bucket_low('_v', _BITS)} as _b"
+    )
     histogram = rows.groupBy(*keys, "_b").agg(
-        F.count("*").alias("_rows"), F.sum("_v").alias("_sum"), F.max("_v").alias("_max")
+        F.expr("count(*) as _rows"), F.expr("sum(_v) as _sum"), F.expr("max(_v) as _max")
     )
-    of_key = Window.partitionBy(*keys)
-    so_far = of_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    valued = F.when(F.col("_b").isNotNull(), F.col("_rows")).otherwise(F.lit(0))
-    ranked = histogram.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_b").alias("_target"),
-        valued.alias("_here"),
-        F.sum(valued).over(so_far).alias("_upto"),
-        F.sum(valued).over(of_key).alias("_n"),
-        F.sum("_rows").over(of_key).alias("n"),
-        F.sum("_sum").over(of_key).alias("total"),
-        F.max("_max").over(of_key).alias("max"),
+    names = [f"_k{i}" for i in range(len(keys))]
+    of_key = f"partition by {', '.join(keys)}"
+    valued = "if(_b is null, 0L, _rows)"
+    ranked = histogram.selectExpr(
+        *[f"{k} as {n}" for k, n in zip(keys, names)],
+        "_b as _target",
+        f"{valued} as _here",
+        f"sum({valued}) over ({of_key} order by _b rows between unbounded preceding and current row) as _upto",
+        f"sum({valued}) over ({of_key}) as _n",
+        f"sum(_rows) over ({of_key}) as n",
+        f"sum(_sum) over ({of_key}) as total",
+        f"max(_max) over ({of_key}) as max",
     )
-    wanted = _ranks(F.col("_n"))
-    before = F.col("_upto") - F.col("_here")
-    holds = [(before < r) & (r <= F.col("_upto")) for r in wanted.values()]
-    empty = (F.col("_n") == 0) & F.col("_target").isNull()
-    targets = ranked.where(reduce(lambda a, b: a | b, holds) | empty).select(
-        *[f"_k{i}" for i in range(len(keys))],
-        "_target",
-        before.alias("_before"),
-        "_n",
-        "n",
-        "total",
-        "max",
+    holds = " or ".join(f"(_upto - _here < {r} and {r} <= _upto)" for r in _RANKS.values())
+    targets = ranked.where(f"{holds} or (_n = 0 and _target is null)").selectExpr(
+        *names, "_target", "_upto - _here as _before", "_n", "n", "total", "max"
     )
 
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    same.append(F.col("_b").eqNullSafe(F.col("_target")))
+    same = " and ".join(["_b <=> _target", *[f"{k} <=> {n}" for k, n in zip(keys, names)]])
+    carried = ("_before", "_n", "n", "total", "max")
     distinct = (
-        rows.join(targets, reduce(and_, same))
+        rows.join(targets, F.expr(same))
         .groupBy(*keys, "_b", "_v")
-        .agg(
-            F.count("*").alias("_here"),
-            *[F.max(c).alias(c) for c in ("_before", "_n", "n", "total", "max")],
-        )
+        .agg(F.expr("count(*) as _here"), *[F.expr(f"max({c}) as {c}") for c in carried])
     )
-    in_bucket = (
-        Window.partitionBy(*keys, "_b")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_bucket = f"partition by {', '.join(keys)}, _b order by _v"
+    placed = distinct.selectExpr(
+        "*",
+        f"_before + sum(_here) over ({in_bucket} rows between unbounded preceding and current row) as _upto",
     )
-    placed = distinct.withColumn("_upto", F.col("_before") + F.sum("_here").over(in_bucket))
-    picks = {
-        name: F.max(
-            F.when((F.col("_upto") - F.col("_here") < r) & (r <= F.col("_upto")), F.col("_v"))
-        )
-        for name, r in wanted.items()
-    }
     out = placed.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        F.max("total").alias("total"),
-        F.max("max").alias("max"),
-        *[c.alias(f"_{name}") for name, c in picks.items()],
+        *[F.expr(f"max({c}) as {c}") for c in ("n", "total", "max")],
+        *[
+            F.expr(f"max(if(_upto - _here < {r} and {r} <= _upto, _v, null)) as {name}")
+            for name, r in _RANKS.items()
+        ],
     )
-    middle = (F.col("_mid_lo") + F.col("_mid_hi")).cast("double") / F.lit(2.0)
-    return out.select(
-        *keys, "n", "total", middle.alias("median"), F.col("_p99").alias("p99"), "max"
+    return out.selectExpr(
+        *keys, "n", "total", "cast(_low + _high as double) / 2D as median", "_p99 as p99", "max"
     )

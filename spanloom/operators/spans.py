@@ -126,22 +126,28 @@ def repeated_starts(
         "file_name",
         "cursor_id",
         f"{_SEGMENT} as _segment",
-        f"{block_of('line', size)} as _walk",
         "line",
         f"cast(array_position(array({kinds}), ops) as int) as _kind",
     )
+    once = once.selectExpr("*", f"{block_of('(line - _segment)', size)} as _walk")
     walks = _collected(once, [*keys, "_walk"], "line", "_kind")
+
+    # Block 0 of a segment is entered in the start state; only longer segments need composition.
+    long = once.where("_walk > 0").select(*keys).distinct()
     function = _composed(f"element_at(array({_FUNCTIONS}), x._kind)")
-    entries = _entry_states(
-        walks.selectExpr(*keys, "_walk", f"{function} as _function"), keys, size, levels
+    functions = walks.join(long, keys, "left_semi").selectExpr(
+        *keys, "_walk", f"{function} as _function"
     )
+    entries = _entry_states(functions, keys, size, levels)
+    first = walks.where("_walk = 0").selectExpr(*keys, "_items", f"'{_START}' as _entry")
+    later = walks.where("_walk > 0").join(entries, [*keys, "_walk"])
+    entered = first.unionByName(later.select(*keys, "_items", "_entry"))
     bit = "shiftleft(1, x._kind - 1)"
     again = f"(acc.seen & {bit}) <> 0"
     path = f"""aggregate(_items, named_struct('seen', ascii(_entry) - 48, 'path', ''), (acc, x) -> named_struct(
         'seen', if({again}, {bit}, acc.seen | {bit}), 'path', concat(acc.path, if({again}, '1', '0')))).path"""
     return (
-        walks.join(entries, [*keys, "_walk"])
-        .selectExpr("file_name", "cursor_id", "_items.line as line", f"split({path}, '') as _starts")
+        entered.selectExpr("file_name", "cursor_id", "_items.line as line", f"split({path}, '') as _starts")
         .selectExpr("file_name", "cursor_id", "inline(arrays_zip(line, _starts))")
         .where("_starts = '1'")
         .drop("_starts")

@@ -22,18 +22,14 @@ def hdr_histogram(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     At most 432 rows per key, combined map side, whatever the number of values.
     """
-    v = F.col(value).cast("bigint")
-    low = bucket_low(v, SUB_BUCKET_BITS)
+    low = bucket_low("_v", SUB_BUCKET_BITS)
     return (
-        df.where(v.between(0, UNTRACKABLE - 1))
-        .select(*keys, low.alias("value_low"))
-        .groupBy(*keys, "value_low")
-        .agg(F.count("*").alias("count"))
-        .select(
-            *keys,
-            "value_low",
-            bucket_high(F.col("value_low"), SUB_BUCKET_BITS).alias("value_high"),
-            "count",
+        df.selectExpr(*keys, f"cast({value} as bigint) as _v")
+        .where(f"_v between 0 and {UNTRACKABLE - 1}")
+        .groupBy(*keys, F.expr(f"{low} as value_low"))
+        .agg(F.expr("count(*) as count"))
+        .selectExpr(
+            *keys, "value_low", f"{bucket_high('value_low', SUB_BUCKET_BITS)} as value_high", "count"
         )
     )
 
