@@ -132,7 +132,7 @@ from anc left join fst on anc.file_name = fst.file_name and anc.anchor_line = fs
 
 
 def _parsed(spark, sf_dir: str) -> DataFrame:
-    return parse_records(assemble(classify(trace_view(spark, sf_dir))))
+    return parse_records(assemble(stage(classify(trace_view(spark, sf_dir)), "lines")))
 
 
 def _stored(spark, sf_dir: str) -> DataFrame:

@@ -56,10 +56,12 @@ def grouped_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     same = " and ".join(["_b <=> _target", *[f"{k} <=> {n}" for k, n in zip(keys, names)]])
     carried = ("_before", "_n", "n", "total", "max")
+    # Grouped by value, not by bucket: so the join's partitioning does not serve the grouping, rows are
+    # combined before a shuffle of their own, and adaptive execution may split a hot bucket's join.
     distinct = (
         rows.join(targets, F.expr(same))
-        .groupBy(*keys, "_b", "_v")
-        .agg(F.expr("count(*) as _here"), *[F.expr(f"max({c}) as {c}") for c in carried])
+        .groupBy(*keys, "_v")
+        .agg(F.expr("count(*) as _here"), *[F.expr(f"max({c}) as {c}") for c in ("_b", *carried)])
     )
     in_bucket = f"partition by {', '.join(keys)}, _b order by _v"
     placed = distinct.selectExpr(

@@ -11,31 +11,43 @@ from spanloom.plans.reports import shown_op
 TRACE_ID_COLUMNS = {"CLIENT ID": "client_id", "MODULE": "module", "ACTION": "action"}
 
 
-def export_spans(ops: DataFrame, trace_id_col: str = "CLIENT ID") -> DataFrame:
-    """One document per span: ``trace_id, span_id, name, start_ns, end_ns, events``.
+# Lines of a span one document holds at most.
+DOCUMENT_LINES = 1 << 16
+
+
+def export_spans(
+    ops: DataFrame, trace_id_col: str = "CLIENT ID", document_lines: int = DOCUMENT_LINES
+) -> DataFrame:
+    """Span documents: ``trace_id, span_id, part, name, start_ns, end_ns, events``.
 
     The trace id is the named session attribute of the span's first record (a column name also
-    does). Events are the span's records by line, as ``struct(name, time_ns, attributes)``. A document
-    holds one client interaction; wall clock and header records are left out. A span that is too long
-    for one document can be exported with ``export_events``.
+    does). Events are the span's records by line, as ``struct(name, time_ns, attributes)``. Wall clock
+    and header records are left out. A span over more than ``document_lines`` lines of its file, such
+    as idle waits without any cursor, comes in several documents with consecutive ``part`` numbers and
+    the same head, so no document grows without bound.
     """
     events = export_events(ops, trace_id_col)
-    ordered = F.sort_array(
-        F.collect_list(F.struct("line", "trace_id", "sql_id", "time_ns", "name", "attributes"))
+    heads = events.groupBy("span_id").agg(
+        F.expr("min(struct(line, trace_id, sql_id, time_ns)) as _first"),
+        F.expr("max(struct(line, time_ns)) as _last"),
+    )
+    # The document key is one text, so that grouping does not inherit the partitioning by span.
+    parted = events.drop("trace_id", "sql_id").join(heads, "span_id").selectExpr(
+        "*", f"(line - _first.line) div {document_lines}L as part"
+    )
+    keyed = parted.selectExpr("*", "concat_ws('/', span_id, part) as _document")
+    docs = keyed.groupBy("_document").agg(
+        *[F.expr(f"first({c}) as {c}") for c in ("span_id", "part", "_first", "_last")],
+        F.expr("sort_array(collect_list(struct(line, time_ns, name, attributes))) as _e"),
     )
-    docs = events.groupBy("span_id").agg(ordered.alias("_e"))
-    return docs.select(
+    return docs.selectExpr(
         "span_id",
-        F.expr("_e[0].trace_id").alias("trace_id"),
-        F.expr("_e[0].sql_id").alias("name"),
-        F.expr("_e[0].time_ns").alias("start_ns"),
-        F.expr("_e[size(_e) - 1].time_ns").alias("end_ns"),
-        F.transform(
-            "_e",
-            lambda e: F.struct(
-                e["name"].alias("name"), e["time_ns"].alias("time_ns"), e["attributes"].alias("attributes")
-            ),
-        ).alias("events"),
+        "part",
+        "_first.trace_id as trace_id",
+        "_first.sql_id as name",
+        "_first.time_ns as start_ns",
+        "_last.time_ns as end_ns",
+        "transform(_e, e -> struct(e.name as name, e.time_ns as time_ns, e.attributes as attributes)) as events",
     )
 
 

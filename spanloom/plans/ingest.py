@@ -28,7 +28,7 @@ from spanloom.sources.trace import read_lines
 
 @dataclass(frozen=True)
 class Ingest:
-    """Results of one ingest; all lazy reads of two staged tables."""
+    """Results of one ingest: lazy reads of staged tables."""
 
     ops: DataFrame
     rejects: DataFrame
@@ -45,12 +45,14 @@ def ingest(
 ) -> Ingest:
     """Parse trace files (or a DataFrame of numbered lines) into the fact table.
 
-    Staged tables: the parsed records, so that block states can be read from a few columns; the
+    Staged tables: the classified lines, which are read once for records of one line and once for
+    the others; the parsed records, so that block states can be read from a few columns; the
     records with all running values of their file and cursor, which feed the span walk, the clock
     and the final projection; and the few lines where a repeated call starts a span.
     """
     lines = source if isinstance(source, DataFrame) else read_lines(source, paths)
-    records = stage(parse_records(assemble(classify(lines)), zone), "records")
+    classified = stage(classify(lines), "lines")
+    records = stage(parse_records(assemble(classified), zone), "records")
     stored = records.where("reject is null and kind <> 'ORPHAN'").drop(
         "kind", "value", "reject"
     )

@@ -194,6 +194,10 @@ def test_export(spark, tmp_path):
         "c", "q", 2_000_000_000, 3_000_000_000,
     )
     assert [e["name"] for e in doc["events"]] == ["PARSING IN CURSOR", "EXEC"]
+    parts = sorted(export_spans(df, document_lines=1).collect(), key=lambda r: r["part"])
+    assert [(r["part"], r["start_ns"], len(r["events"])) for r in parts] == [
+        (0, 2_000_000_000, 1), (1, 2_000_000_000, 1),
+    ]
     assert export_spans(df, "MODULE").first()["trace_id"] == "m"
     with pytest.raises(ValueError):
         export_spans(df, "ECID")
