@@ -24,12 +24,20 @@ BLOCK_LINES = 1 << 16
 class Mark:
     """Rows that set a running value: where ``when`` holds, the value becomes ``value``.
 
-    Both are SQL texts. ``strict`` marks take effect after their own row.
+    Both are SQL texts. ``strict`` marks take effect after their own row, ``peers`` marks already on
+    all rows of the same order value.
     """
 
     when: str
     value: str
     strict: bool = False
+    peers: bool = False
+
+    @property
+    def frame(self) -> str:
+        if self.peers:
+            return "range between unbounded preceding and current row"
+        return f"rows between unbounded preceding and {'1 preceding' if self.strict else 'current row'}"
 
 
 def block_of(order: str, size: int = BLOCK_LINES) -> str:
@@ -47,7 +55,7 @@ def carry_forward(
 ) -> DataFrame:
     """Add, per mark, the column ``struct(at, value)`` of the latest mark row so far, else NULL.
 
-    ``order`` is a bigint, unique within ``keys`` but for rows that shall see each other's marks.
+    ``order`` is a bigint, unique within ``keys`` unless all marks are strict or for peers.
     ``base`` is a cheaper DataFrame with the same rows to take the block states from (``df`` if not
     given).
     """
@@ -81,12 +89,8 @@ def carry_forward(
     joined = df.selectExpr("*", f"{cut} as _block").join(carried, F.expr(same), "left")
 
     in_block = f"partition by {', '.join(keys)}, _block order by {order}"
-    frames = {
-        False: "range between unbounded preceding and current row",
-        True: "rows between unbounded preceding and 1 preceding",
-    }
     filled = [
-        f"coalesce(last({states[n]}, true) over ({in_block} {frames[m.strict]}), _in_{n}) as {n}"
+        f"coalesce(last({states[n]}, true) over ({in_block} {m.frame}), _in_{n}) as {n}"
         for n, m in marks.items()
     ]
     return joined.selectExpr(*df.columns, *filled)

@@ -171,7 +171,7 @@ def cut_spans(segmented: DataFrame, starts: DataFrame, attach_lobs: bool = False
         started,
         ["file_name", "cursor_id"],
         "line",
-        {"_started": Mark("_start is not null", "true")},
+        {"_started": Mark("_start is not null", "true", peers=True)},
     ).where("ops <> 'RESET'")
     kept = [c for c in segmented.columns if c not in ("_reset", "_pic")]
     out = filled.selectExpr(
