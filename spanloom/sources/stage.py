@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,28 +10,24 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a local session without one gets a scratch folder."""
+    """Folder named by ``spark.checkpoint.dir``, which all executors must share."""
     root = spark.conf.get(_SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise ValueError(f"{_SETTING} must name a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="spanloom-")
-    spark.conf.set(_SETTING, root)
-    return root
+    return root.rstrip("/")
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_root(spark)}/spanloom/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once as a table and read it back.
 
     It cuts the plan where several later branches need the same expensive rows: they read the few
-    columns they want from the table, and lost executors cost no recomputation from the start.
+    columns they want from the table, and lost executors cost no recomputation from the start. ``options`` go to the Parquet writer.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
