@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.bpe import encode_decode
+from spanloom.llm.lines import dedup_lines
+from spanloom.llm.pack import pack
 from spanloom.llm.shard import assign_shards
 
 
@@ -27,6 +29,51 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_dropped").alias("n_dropped"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
+OP2_SQL = """
+with cut as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+line as (select doc_id, unnest(range(1, len(lines) + 1)) as i, unnest(lines) as line from cut),
+keyed as (
+  select doc_id, i, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from line
+),
+repeats as (
+  select k, max(doc_id) as keeper from keyed where length(k) >= 20 group by k having count(distinct doc_id) >= 3
+),
+judged as (
+  select doc_id, i, line, keeper is not null and doc_id <> keeper as gone from keyed left join repeats using (k)
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
+TOKENIZER = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+)
+
+
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"), TOKENIZER)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     put = assign_shards(_table(spark, sf_dir, "documents"))
     return put.select(
@@ -36,5 +83,7 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_bpe": (op1_bpe, None),
+    "op2_lines": (op2_lines, OP2_SQL),
+    "op4_pack": (op4_pack, None),
     "op8_shard": (op8_shard, None),
 }
