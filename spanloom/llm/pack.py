@@ -12,30 +12,22 @@ document, and one join brings each document's place to its tokens.
 from __future__ import annotations
 
 import base64
-from array import array
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spanloom.llm.rows import flat_map, map_rows
+from spanloom.llm.rows import flat_map
 from spanloom.sources.stage import stage
 
 DIMENSIONS = 3
 BITS = 16
-WORDS = 500_000  # words kept in a worker
-LONGEST = 200  # characters of a word that is kept
 
 
 class ByteCoder:
-    """Byte-level BPE as the tokenizer file does it, with the ids of words kept.
-
-    A single space before other than white space always starts a word of its own, so such words are
-    encoded once, by the faster library that has the same vocabulary as ranks. Texts with runs of white
-    space or special tokens are encoded whole.
-    """
+    """Byte-level BPE as the tokenizer file does it, by a faster library that has the same vocabulary as
+    ranks. Texts that hold special tokens go to the tokenizer itself."""
 
     def __init__(self, path: str, ranks: str, pattern: str):
         import tiktoken
@@ -48,34 +40,14 @@ class ByteCoder:
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.words: dict[str, bytes | None] = {}
-
-    def _learn(self, word: str) -> bytes | None:
-        if not word or word[0].isspace() or any(s in word for s in self.special):
-            found = None
-        else:
-            found = array("H", self.fast.encode_ordinary(" " + word)).tobytes()
-        if len(word) <= LONGEST:
-            if len(self.words) > WORDS:
-                self.words.clear()
-            self.words[word] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        """Ids as 16-bit integers."""
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        known = self.words
-        coded = [known[w] if w in known else self._learn(w) for w in rest]
-        if None not in coded and not any(s in first for s in self.special):
-            return array("H", self.fast.encode_ordinary(first)).tobytes() + b"".join(coded)
+
+    def encode(self, text: str) -> np.ndarray:
         if not any(s in text for s in self.special):
             try:
-                return array("H", self.fast.encode_ordinary(text)).tobytes()
+                return self.fast.encode_to_numpy(text)
             except ValueError:  # its pattern engine gives up on very long runs
                 pass
-        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 _CODERS: dict[tuple, ByteCoder] = {}
@@ -121,14 +93,13 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 _DIRECTIONS: dict[int, np.ndarray] = {}
 
 
-def curve_place(ids: np.ndarray, vocabulary: int = 1 << 16, seed: int = 11) -> int:
-    """Hilbert place of a document: its distinct ids as a point, squeezed into the unit cube."""
+def curve_places(documents: list[np.ndarray], vocabulary: int = 1 << 16, seed: int = 11) -> list[int]:
+    """Hilbert places of documents: their distinct ids as points, squeezed into the unit cube."""
     if seed not in _DIRECTIONS:
         _DIRECTIONS[seed] = np.random.default_rng(seed).standard_normal((vocabulary, DIMENSIONS)).astype(np.float32)
-    own = np.unique(ids)
-    point = _DIRECTIONS[seed][own].sum(axis=0) / max(1.0, len(own)) ** 0.5
-    cell = (1 / (1 + np.exp(-1.7 * point)) * ((1 << BITS) - 1)).astype(np.int64)
-    return int(hilbert(cell[None, :])[0])
+    own = [np.unique(ids) for ids in documents]
+    points = np.array([_DIRECTIONS[seed][ids].sum(axis=0) / max(1.0, len(ids)) ** 0.5 for ids in own]).reshape(-1, DIMENSIONS)
+    return hilbert((1 / (1 + np.exp(-1.7 * points)) * ((1 << BITS) - 1)).astype(np.int64)).tolist()
 
 
 def sequence_of(place: int, total: int, size: int) -> tuple[int, int, int]:
@@ -161,19 +132,19 @@ def pack(
     keys are documents like others; other columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    last = np.array([end], "<u2").tobytes()
+    last = np.uint32(end)
 
     def tokenize():
         own = _coder(*tokenizer)
 
-        def one(value):
-            ids = own.encode(value or "") + last
-            return ids, len(ids) // 2, curve_place(np.frombuffer(ids, "<u2"))
+        def some(part: pa.RecordBatch):
+            coded = [np.append(own.encode(value or ""), last).astype("<u2") for value in part.column(1).to_pylist()]
+            return part.column(0).to_pylist(), [c.tobytes() for c in coded], list(map(len, coded)), curve_places(coded)
 
-        return one
+        return some
 
-    slim = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    tokens = map_rows(slim, tokenize, ["_text"], "_ids binary, _n long, _place long").drop("_text")
+    kind = docs.schema[key].dataType.simpleString()
+    tokens = flat_map(docs.select(key, text), tokenize, f"_key {kind}, _ids binary, _n long, _place long")
     tokens = stage(tokens.withColumn("_row", F.monotonically_increasing_id()), "pack_tokens", compression="zstd")
     ordered = stage(
         tokens.select("_row", "_n", "_place")
@@ -192,7 +163,6 @@ def pack(
         .select("_row", (F.col("_base") + F.col("_at")).alias("_first"))
     )
     total = ordered.agg(F.sum("_n")).first()[0] or 0
-    kind = docs.schema[key].dataType.simpleString()
 
     def cut():
         def some(part: pa.RecordBatch):
