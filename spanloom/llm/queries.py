@@ -13,6 +13,8 @@ from spanloom.llm.bpe import encode_decode
 from spanloom.llm.lines import dedup_lines
 from spanloom.llm.pack import pack
 from spanloom.llm.shard import assign_shards
+from spanloom.llm.toxic import fit_toxicity, score_toxicity
+from spanloom.llm.urls import fit_urls, host_and_path, judge_urls, rule_of
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +76,39 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small labelled table: URLs that a rule judges, labelled by its verdict."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    _, verdict = rule_of(RULES, *host_and_path(F.col("url")))
+    model = fit_urls(pages.select("url", F.when(verdict == "block", 1).when(verdict == "allow", 0).alias("label")))
+    return judge_urls(pages, RULES, model)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    scored = score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.col("_toxicity").alias("score"),
+        (F.col("_toxicity") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
+TOXIC = 0.3
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     put = assign_shards(_table(spark, sf_dir, "documents"))
     return put.select(
@@ -85,5 +120,7 @@ LLM_QUERIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_lines": (op2_lines, OP2_SQL),
     "op4_pack": (op4_pack, None),
+    "op3_urls": (op3_urls, None),
     "op8_shard": (op8_shard, None),
+    "op9_toxicity": (op9_toxicity, None),
 }
