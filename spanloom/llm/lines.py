@@ -130,12 +130,13 @@ def repeated_lines(
 
     kind = docs.schema[key].dataType.simpleString()
     suspects = stage(flat_map(docs.select(key, text), suspect, f"_key {kind}, _line binary"), "suspected_lines")
-    repeats = (
+    repeats = stage(
         suspects.groupBy("_line", "_key")
         .agg(F.lit(1).alias("_one"))
         .groupBy("_line")
         .agg(F.count("_key").alias("_documents"), F.max("_key").alias("_keeper"))
-        .where(F.col("_documents") >= least)
+        .where(F.col("_documents") >= least),
+        "repeated_lines",
     )
     return suspects, repeats
 

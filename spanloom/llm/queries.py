@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.bpe import encode_decode
+from spanloom.llm.content import extract_text, fit_tags
+from spanloom.llm.imatch import edited_and_next
 from spanloom.llm.lines import dedup_lines
 from spanloom.llm.pack import pack
 from spanloom.llm.shard import assign_shards
@@ -109,6 +111,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOXIC = 0.3
 
 
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = edited_and_next(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     put = assign_shards(_table(spark, sf_dir, "documents"))
     return put.select(
@@ -116,11 +125,19 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = extract_text(pages, fit_tags(pages))
+    return texts.select("page_id", "url", F.col("_main").alias("text"), F.length("_main").cast("long").alias("n_chars"))
+
+
 LLM_QUERIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_lines": (op2_lines, OP2_SQL),
     "op4_pack": (op4_pack, None),
     "op3_urls": (op3_urls, None),
+    "op7_imatch": (op7_imatch, None),
     "op8_shard": (op8_shard, None),
     "op9_toxicity": (op9_toxicity, None),
+    "op10_html": (op10_html, None),
 }
