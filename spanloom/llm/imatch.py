@@ -13,7 +13,6 @@ size and goes to the executors whole; terms that share a counter count as more f
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from spanloom.llm.rows import map_rows, nullable, slices
+from spanloom.llm.sketch import row_counts
 
 CELLS = 1 << 21
-SLICE = 1 << 15  # counters that travel together
 PARTS = 24  # random parts of the lexicon at each level
 DIGITS = 4  # hexadecimal digits of a hash
 BAND = (2.0, 12.0)  # natural logarithm of documents / document frequency
@@ -59,41 +58,12 @@ class Terms:
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
     """Hashed counters of all terms, and the number of rows."""
-    schema = nullable("slice int, counts binary, n long")
-    arrow = to_arrow_schema(schema)
 
-    def local(batches):
-        terms, counts, rows = Terms(), np.zeros(CELLS, np.int64), 0
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                rows += 1
-                counts[(terms(value or "") % np.uint64(CELLS)).astype(np.int64)] += 1
-        yield pa.RecordBatch.from_pylist([{"slice": -1, "counts": b"", "n": rows}], arrow)
-        for at in range(CELLS // SLICE):
-            own = counts[at * SLICE : (at + 1) * SLICE]
-            if own.any():
-                yield pa.RecordBatch.from_pylist([{"slice": at, "counts": zlib.compress(own.tobytes(), 1), "n": 0}], arrow)
-
-    def merge(batches):
-        sums: dict[int, np.ndarray] = {}
-        rows = 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                rows += row["n"]
-                if row["slice"] >= 0:
-                    sums.setdefault(row["slice"], np.zeros(SLICE, np.int64))
-                    sums[row["slice"]] += np.frombuffer(zlib.decompress(row["counts"]), np.int64)
-        yield pa.RecordBatch.from_pylist([{"slice": -1, "counts": b"", "n": rows}], arrow)
-        for at, own in sums.items():
-            yield pa.RecordBatch.from_pylist([{"slice": at, "counts": zlib.compress(own.tobytes(), 1), "n": 0}], arrow)
-
-    parts = min(CELLS // SLICE, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    counts, rows = np.zeros(CELLS, np.int64), 0
-    for row in docs.select(text).mapInArrow(local, schema).repartition(parts, "slice").mapInArrow(merge, schema).collect():
-        rows += row["n"]
-        if row["slice"] >= 0:
-            counts[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
-    return counts, rows
+    def hashes():
+        terms = Terms()
+        return lambda value: terms(value or "")
+
+    return row_counts(docs.select(text), hashes, CELLS)
 
 
 def lexicon(counts: np.ndarray, rows: int, band: tuple[float, float] = BAND) -> np.ndarray:

@@ -6,28 +6,22 @@ two documents to a second one; filters of two tasks are joined as ``once | once`
 The merged second filter is sent to the executors. Only lines that it knows are shuffled: they are
 counted exactly, and the documents that lose lines learn which.
 
-The filter has about eight bits a line, up to ``MOST_BITS``. With more lines than that more lines are
+The filter has about eight bits a line, up to a fixed size. With more lines than that more lines are
 suspected, which costs shuffling but changes no result.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from spanloom.llm.rows import flat_map, map_rows, nullable
+from spanloom.llm.rows import flat_map, map_rows
+from spanloom.llm.sketch import bloom, contains, slices_for
 from spanloom.sources.stage import stage
 
-SLICE = 1 << 19  # bits of a slice of a filter
-MOST_BITS = 1 << 28  # 32 MB, the largest filter that is sent to the executors
-PROBES = 4
-
 _SPACE = b" \t\n\x0b\x0c\r"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -38,65 +32,6 @@ def line_keys(text: str | None, shortest: int) -> list[bytes]:
     return [k if len(k) >= 4 * shortest or len(k) >= shortest and len(k.decode()) >= shortest else b"" for k in keys]
 
 
-def _places(hashes: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slice of each hash, and its ``PROBES`` bits inside the slice."""
-    own = (hashes >> np.uint64(40)) % np.uint64(slices)
-    step = (hashes >> np.uint64(20)) | np.uint64(1)
-    bits = (hashes[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) % np.uint64(SLICE)
-    return own.astype(np.int64), bits.astype(np.int64)
-
-
-def _filled(bits: np.ndarray) -> bytes:
-    plane = np.zeros(SLICE, bool)
-    plane[bits.ravel()] = True
-    return zlib.compress(np.packbits(plane).tobytes(), 1)
-
-
-def twice_seen(docs: DataFrame, text: str, shortest: int, slices: int) -> np.ndarray:
-    """The second filter of all rows, as bytes of ``slices`` slices."""
-    spark = docs.sparkSession
-    schema = nullable("slice int, once binary, twice binary")
-    arrow = to_arrow_schema(schema)
-
-    def local(batches):
-        found = []
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                keys = set(line_keys(value, shortest)) - {b""}
-                found.append(np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, len(keys)))
-        if not found:
-            return
-        hashes, count = np.unique(np.concatenate(found), return_counts=True)
-        own, bits = _places(hashes, slices)
-        order = np.argsort(own, kind="stable")
-        own, bits, again = own[order], bits[order], count[order] > 1
-        for at in np.unique(own).tolist():
-            start, stop = np.searchsorted(own, [at, at + 1])
-            some, more = bits[start:stop], bits[start:stop][again[start:stop]]
-            yield pa.RecordBatch.from_pylist([{"slice": at, "once": _filled(some), "twice": _filled(more)}], arrow)
-
-    def merge(batches):
-        planes = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                once, twice = (np.frombuffer(zlib.decompress(row[c]), np.uint8) for c in ("once", "twice"))
-                if row["slice"] in planes:
-                    seen, again = planes[row["slice"]]
-                    again |= twice | (seen & once)
-                    seen |= once
-                else:
-                    planes[row["slice"]] = once.copy(), twice.copy()
-        for at, (_, again) in planes.items():
-            yield pa.RecordBatch.from_pylist([{"slice": at, "once": None, "twice": again.tobytes()}], arrow)
-
-    count = min(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    merged = docs.select(text).mapInArrow(local, schema).repartition(count, "slice").mapInArrow(merge, schema)
-    whole = np.zeros((slices, SLICE // 8), np.uint8)
-    for row in merged.select("slice", "twice").collect():  # MOST_BITS at most
-        whole[row["slice"]] = np.frombuffer(row["twice"], np.uint8)
-    return whole
-
-
 def repeated_lines(
     docs: DataFrame, least: int = 3, shortest: int = 20, key: str = "doc_id", text: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
@@ -105,8 +40,15 @@ def repeated_lines(
     spark = docs.sparkSession
     size = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1
     lines = docs.agg(F.sum(size)).first()[0] or 0
-    slices = max(1, min(MOST_BITS, 1 << max(0, 8 * lines - 1).bit_length()) // SLICE)
-    known = spark.sparkContext.broadcast(twice_seen(docs, text, shortest, slices))
+
+    def hashes():
+        def some(part: pa.RecordBatch):
+            keys = [k for value in part.column(0).to_pylist() for k in set(line_keys(value, shortest)) if k]
+            return np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, len(keys))
+
+        return some
+
+    known = spark.sparkContext.broadcast(bloom(docs.select(text), hashes, slices_for(lines), twice=True))
 
     def suspect():
         planes = known.value
@@ -120,9 +62,7 @@ def repeated_lines(
                 hashes += [xxhash.xxh3_64_intdigest(k) for k in own]
             if not keys:
                 return None
-            own, bits = _places(np.array(hashes, np.uint64), slices)
-            hit = ((planes[own[:, None], bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1).all(axis=1)
-            found = np.flatnonzero(hit).tolist()
+            found = np.flatnonzero(contains(planes, np.array(hashes, np.uint64))).tolist()
             names = part.column(0).to_pylist()
             return [names[owners[i]] for i in found], [xxhash.xxh3_128_digest(keys[i]) for i in found]
 
