@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from spanloom.llm.bpe import encode_decode
 from spanloom.llm.content import extract_text, fit_tags
 from spanloom.llm.imatch import edited_and_next
+from spanloom.llm.jaccard import near_groups
 from spanloom.llm.lines import dedup_lines
 from spanloom.llm.pack import pack
 from spanloom.llm.shard import assign_shards
@@ -111,6 +112,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOXIC = 0.3
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = edited_and_next(_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -136,6 +141,7 @@ LLM_QUERIES = {
     "op2_lines": (op2_lines, OP2_SQL),
     "op4_pack": (op4_pack, None),
     "op3_urls": (op3_urls, None),
+    "op6_jaccard": (op6_jaccard, None),
     "op7_imatch": (op7_imatch, None),
     "op8_shard": (op8_shard, None),
     "op9_toxicity": (op9_toxicity, None),
