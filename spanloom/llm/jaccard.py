@@ -6,11 +6,11 @@ similar sets share one of their first ``n - ceil(t n) + 1`` shingles, and the jo
 * Rarity is the number of documents on a hashed counter; any order that all sets share gives whole
   results, a better one only fewer candidates.
 * A Bloom filter of the prefix shingles of two rows or more keeps the others, nearly all, from moving.
-* Candidates are first the pairs of a set with one leader, the smallest set, of each of its prefix shingles.
-  Once these are verified and joined to components, only pairs of different components are left to find:
-  of each prefix shingle's list, the sets outside of its largest component are joined with the whole list
-  under the length and positional filters. A group of copies, however large, is linked through few leaders
-  and never paired with itself.
+* Of each prefix shingle's list, the sets outside of its largest component are paired with ``LEADERS`` sets of that
+  component, under the length and positional filters; verified links make larger components. After
+  ``ROUNDS`` such rounds the sets still outside are joined with all sets of the list that are in another
+  component. So a group of copies, however large, is linked through few leaders and not paired with
+  itself, and every pair that could join two components is verified.
 * A pair is verified once: a suffix filter bounds the common shingles before they are counted.
 
 Sets are named by 64-bit hashes of all their shingles.
@@ -30,6 +30,8 @@ from spanloom.llm.sketch import bloom, contains, row_counts, slices_for
 from spanloom.sources.stage import stage
 
 COUNTERS = 1 << 22
+ROUNDS = 4
+LEADERS = 4
 WORDS = 500_000  # words kept in a worker
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -173,18 +175,17 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
         ),
         "shingle_lists",
     )
-    leaders = stage(
-        lists.groupBy("_token").agg(F.min("_set").alias("_leader"), F.max("_set").alias("_last")).where("_leader < _last").select("_token", "_leader"),
-        "shingle_leaders",
+    shared = stage(
+        lists.groupBy("_token").agg(F.min("_set").alias("_low"), F.max("_set").alias("_high")).where("_low < _high").select("_token"),
+        "shared_shingles",
     )
-    lists = stage(lists.join(leaders, "_token"), "shared_shingles")
-    sizes = lists.groupBy("_set").agg(F.min("_n").alias("_n"))
-    sizes = stage(sizes, "shared_sets")
+    lists = stage(lists.join(shared, "_token"), "shared_lists")
+    sizes = stage(lists.select("_set").distinct(), "shared_sets")
 
     def wanted():
         return lambda part: part.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
 
-    named = context.broadcast(bloom(sizes.select("_set"), wanted, slices_for(sizes.count()), twice=False))
+    named = context.broadcast(bloom(sizes, wanted, slices_for(sizes.count()), twice=False))
 
     def carry():
         make, sent = Shingles(words), set()
@@ -208,35 +209,39 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     found = flat_map(texts, carry, "_set long, _text string")
     bodies = stage(found.groupBy("_set").agg(F.first("_text").alias("_text")), "shared_texts", compression="zstd")
 
-    leader_size = sizes.select(F.col("_set").alias("_leader"), F.col("_n").alias("_m"))
-    pairs = lists.where("_set <> _leader").select("_set", "_n", "_leader").distinct().join(leader_size, "_leader")
-    pairs = pairs.where("5 * least(_n, _m) >= 4 * greatest(_n, _m)").select(F.col("_set").alias("a"), F.col("_leader").alias("b"))
-    tried = stage(pairs, "leader_pairs")
-    links = _verified(tried, bodies, words, "leader_links")
-
-    grouped = components(links)
-    lists = lists.join(grouped.withColumnRenamed("node", "_set"), "_set", "left").select(
-        "_token", "_set", "_n", "_place", F.coalesce("root", "_set").alias("_root")
-    )
-    lists = stage(lists, "grouped_shingles")
-    largest = (
-        lists.groupBy("_token", "_root")
-        .count()
-        .groupBy("_token")
-        .agg(F.max(F.struct("count", "_root")).alias("_most"), F.count("*").alias("_roots"))
-        .where("_roots > 1")
-        .select("_token", F.col("_most._root").alias("_largest"))
-    )
-    open_lists = stage(lists.join(stage(largest, "largest_components"), "_token"), "open_shingles")
-    x = open_lists.where("_root <> _largest").alias("x")
-    y = open_lists.alias("y")
     need = "4 * (x._n + y._n) <= 9 * least(x._n - x._place, y._n - y._place)"
-    once = "(y._root = y._largest or x._set < y._set)"
-    rest = x.join(y, F.expr(f"x._token = y._token and x._root <> y._root and {need} and {once}")).select(
-        F.expr("greatest(x._set, y._set)").alias("a"), F.expr("least(x._set, y._set)").alias("b")
-    )
-    rest = stage(rest.distinct().join(tried, ["a", "b"], "left_anti"), "other_pairs")
-    links = links.unionByName(_verified(rest, bodies, words, "other_links"))
+    pair = [F.expr("greatest(x._set, y._set)").alias("a"), F.expr("least(x._set, y._set)").alias("b")]
+    links = tried = None
+    for turn in range(ROUNDS + 1):
+        if links is None:
+            grouped = lists.withColumn("_root", F.col("_set"))
+        else:
+            roots = components(links).withColumnRenamed("node", "_set")
+            grouped = stage(lists.join(roots, "_set", "left").withColumn("_root", F.coalesce("root", "_set")).drop("root"), "grouped_lists")
+        picks = [F.min(F.struct(F.xxhash64("_set", F.lit(LEADERS * turn + i)), "_set", "_n", "_place")) for i in range(LEADERS)]
+        largest = (
+            grouped.groupBy("_token", "_root")
+            .agg(F.count("*").alias("_sets"), F.array_distinct(F.array(*picks)).alias("_leaders"))
+            .groupBy("_token")
+            .agg(F.max(F.struct("_sets", "_root", "_leaders")).alias("_most"), F.count("*").alias("_roots"))
+            .where("_roots > 1")
+            .select("_token", F.col("_most._root").alias("_largest"), "_most._leaders")
+        )
+        largest = stage(largest, "largest_components")
+        if turn < ROUNDS:
+            leaders = largest.select("_token", "_largest", F.explode("_leaders").alias("_l")).select("_token", "_largest", "_l.*")
+            x, y = grouped.alias("x"), leaders.alias("y")
+            found = x.join(y, F.expr(f"x._token = y._token and x._root <> y._largest and {need}"))
+        else:
+            inside = stage(grouped.join(largest.select("_token", "_largest"), "_token"), "open_lists")
+            x, y = inside.where("_root <> _largest").alias("x"), inside.alias("y")
+            once = "(y._root = y._largest or x._set < y._set)"
+            found = x.join(y, F.expr(f"x._token = y._token and x._root <> y._root and {need} and {once}"))
+        pairs = found.select(pair).distinct()
+        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        new = _verified(pairs, bodies, words, "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = new if links is None else links.unionByName(new)
 
     of_set = rows.where("_set is not null").groupBy("_set").agg(F.min("_key").alias("_first"))
     joined = of_set.join(components(links).withColumnRenamed("node", "_set"), "_set", "left")
