@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm.bpe import encode_decode
 from spanloom.llm.content import extract_text, fit_tags
+from spanloom.llm.embed import near_vectors
 from spanloom.llm.imatch import edited_and_next
 from spanloom.llm.jaccard import near_groups
 from spanloom.llm.lines import dedup_lines
@@ -112,6 +113,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOXIC = 0.3
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents"))
 
@@ -141,6 +146,7 @@ LLM_QUERIES = {
     "op2_lines": (op2_lines, OP2_SQL),
     "op4_pack": (op4_pack, None),
     "op3_urls": (op3_urls, None),
+    "op5_embeddings": (op5_embeddings, None),
     "op6_jaccard": (op6_jaccard, None),
     "op7_imatch": (op7_imatch, None),
     "op8_shard": (op8_shard, None),
