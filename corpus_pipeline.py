@@ -1,11 +1,65 @@
-"""From raw documents to packed sequences: toxicity, line dedup, near duplicates, packing."""
+"""From raw documents to packed sequences: toxic documents, repeated lines and near copies go, the rest is packed.
+
+Each stage takes all that the one before kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
-ORACLE_SQL = None
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanloom.llm.jaccard import near_groups
+from spanloom.llm.lines import dedup_lines
+from spanloom.llm.pack import pack
+from spanloom.llm.toxic import fit_toxicity, score_toxicity
+from spanloom.sources.stage import stage
+
+TOXIC = 0.3
+TOKENIZER = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below ``TOXIC`` with a model of the labelled ones."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(docs, model).where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that a document of a larger id repeats. ``n_chars`` follows the text; a
+    null text stays null, a document that loses all lines stays with an empty text."""
+    kept = dedup_lines(docs)
+    text = F.when(F.col("text").isNotNull(), F.col("_kept"))
+    new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
+    return kept.select([new[c].alias(c) if c in new else c for c in docs.columns])
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near copies. Rows without an id stay if one of them
+    is alone in its group; rows that repeat an id are one document."""
+    kept = near_groups(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+
+
+def pack_rest(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 tokens."""
+    pieces = pack(docs, TOKENIZER)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+STAGES = [("toxicity", drop_toxic), ("line dedup", drop_lines), ("near copies", drop_copies), ("packing", pack_rest)]
+
+ORACLE_SQL = None  # a fitted model and tokens have no SQL
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "_"))
     return docs
