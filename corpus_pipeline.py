@@ -26,16 +26,20 @@ TOKENIZER = (
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC`` with a model of the labelled ones."""
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs, model).where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+    kept = score_toxicity(docs, model).where(F.col("toxicity") < TOXIC)
+    return kept.select([c if c in ("doc_id", "text") else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that a document of a larger id repeats. ``n_chars`` follows the text; a
-    null text stays null, a document that loses all lines stays with an empty text."""
+    null text becomes an empty one, and a document that loses all lines stays with an empty text."""
     kept = dedup_lines(docs)
-    text = F.when(F.col("text").isNotNull(), F.col("_kept"))
-    new = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
-    return kept.select([new[c].alias(c) if c in new else c for c in docs.columns])
+    new = {
+        "doc_id": F.col("doc_id"),
+        "text": F.col("kept"),
+        "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType),
+    }
+    return kept.select([new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,7 +148,8 @@ def fit_tags(pages: DataFrame, key: str = "page_id", text: str = "html", most: i
     """Cost of each tag, from ``most`` labelled pages at most (the first by hash of their key).
 
     It is the log odds that the tag stands outside of the main text times ten, and at least a tenth of a word.
-    Tags not seen cost one word. Without labelled pages all tags do.
+    A tag seen only around other elements costs what it costs there on the whole, but no more than a
+    word, which tags not seen at all cost, too.
     """
     named = F.lower(F.col(text)).rlike("<(article|main)[\\s>]|articlebody")
     chosen = pages.where(named).orderBy(F.xxhash64(key, F.length(text))).limit(most).select(text).repartition(8)
@@ -170,7 +171,17 @@ def fit_tags(pages: DataFrame, key: str = "page_id", text: str = "html", most: i
         .limit(4096)
         .collect()
     )
-    return {(r["around"], r["name"]): max(0.1, 10 * math.log((r["o"] + 0.5) / (r["i"] + 0.5))) for r in rows}
+    whole: dict[str, list[int]] = {}
+    for r in rows:
+        pair = whole.setdefault(r["name"], [0, 0])
+        pair[0] += r["i"]
+        pair[1] += r["o"]
+    costs = {(r["around"], r["name"]): _cost(r["i"], r["o"]) for r in rows}
+    return costs | {("*", name): min(1.0, _cost(*pair)) for name, pair in whole.items() if name not in INLINE}
+
+
+def _cost(inside: int, outside: int) -> float:
+    return max(0.1, 10 * math.log((outside + 0.5) / (inside + 0.5)))
 
 
 def main_text(source: str | None, costs: dict[Tag, float]) -> str:
@@ -180,7 +191,7 @@ def main_text(source: str | None, costs: dict[Tag, float]) -> str:
     start = first = last = 0
     for i, (kind, value, _, _, never) in enumerate(items):
         if kind == "tag":
-            total -= costs.get(value, 1.0)
+            total -= costs.get(value) or costs.get(("*", value[1]), 1.0)
         elif not never:
             total += len(value.split())
         if total <= 0:

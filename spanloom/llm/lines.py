@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.rows import flat_map, map_rows
+from spanloom.llm.rows import flat_map, map_rows, others
 from spanloom.llm.sketch import bloom, contains, slices_for
 from spanloom.sources.stage import stage
 
@@ -84,7 +84,8 @@ def repeated_lines(
 def dedup_lines(
     docs: DataFrame, least: int = 3, shortest: int = 20, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``docs`` with ``_n_lines`` (before), ``_n_dropped`` and ``_kept`` (the text of the lines that stay).
+    """One row per row of ``docs``: key, ``n_lines`` (before), ``n_dropped``, ``kept`` (the text of the lines
+    that stay) and ``row``, a struct of all other columns but the text.
 
     A line's key has white space stripped at both ends and A-Z lower-cased. Keys of ``shortest`` code
     points and more, found in ``least`` documents or more, lose all their lines except in the document
@@ -111,5 +112,7 @@ def dedup_lines(
 
         return one
 
-    joined = docs.join(drops, docs[key].eqNullSafe(drops["_key"]), "left").drop("_key")
-    return map_rows(joined, keep, [text, "_drop"], "_n_lines long, _n_dropped long, _kept string").drop("_drop")
+    slim = docs.select(F.col(key).alias("_own"), F.col(text).alias("_text"), others(docs, key, text).alias("row"))
+    joined = slim.join(drops, F.col("_own").eqNullSafe(F.col("_key")), "left").drop("_key")
+    rows = map_rows(joined, keep, ["_text", "_drop"], "n_lines long, n_dropped long, kept string")
+    return rows.select(F.col("_own").alias(key), "n_lines", "n_dropped", "kept", "row")

@@ -37,12 +37,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return kept.select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
-    )
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 OP2_SQL = """
@@ -105,8 +100,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id",
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        F.col("_toxicity").alias("score"),
-        (F.col("_toxicity") >= TOXIC).cast("int").alias("predicted"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= TOXIC).cast("int").alias("predicted"),
     )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -17,6 +18,11 @@ def nullable(schema: str | T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
 
+def others(df: DataFrame, *taken: str) -> Column:
+    """The columns of ``df`` besides ``taken`` as one struct, whatever their names."""
+    return F.struct([F.col(f"`{c}`") for c in df.columns if c not in taken] or [F.lit(None).cast("string").alias("none")])
+
+
 def slices(batches: Iterable[pa.RecordBatch], step: int = _STEP) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, step):

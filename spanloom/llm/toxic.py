@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm.logistic import fit
-from spanloom.llm.rows import flat_map, map_rows
+from spanloom.llm.rows import flat_map, map_rows, others
 from spanloom.sources.stage import stage
 
 KEPT = 4096
@@ -165,13 +165,16 @@ def fit_toxicity(
     return Model({f: float(weights[i]) for f, i in place.items() if weights[i]}, bias)
 
 
-def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``_toxicity`` (0 to 1) from the whole text alone. Null and empty texts get the score
-    of a text without words. Repeated rows score alike; an empty table gives no rows."""
+def score_toxicity(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: key, text, ``toxicity`` (0 to 1) and ``row``, a struct of all other columns.
+
+    The whole text alone decides. Null and empty texts get the score of a text without words. Repeated
+    rows score alike; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score():
         own = shared.value
         return lambda value: (own.score(value),)
 
-    return map_rows(docs, score, [text], "_toxicity double")
+    slim = docs.select(key, text, others(docs, key, text).alias("row"))
+    return map_rows(slim, score, [text], "toxicity double").select(key, text, "toxicity", "row")

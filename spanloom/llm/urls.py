@@ -33,11 +33,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def rule_of(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Column]:
     """The longest rule that fits (host and path as one string) and its verdict, null if none fits."""
-    name, verdict = F, F
+    name = verdict = F.when(F.lit(False), F.lit(""))
     for v, h, p in sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2])):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         name, verdict = name.when(fits, h + p), verdict.when(fits, v)
-    return name.otherwise(None), verdict.otherwise(None)
+    return name, verdict
 
 
 def features(host: str, path: str) -> np.ndarray:
