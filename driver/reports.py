@@ -31,7 +31,7 @@ def _stats(value: str, suffix: str) -> str:
     )
 
 
-def _summary_sql(where: str, limit: int, idle: bool = False) -> str:
+def _summary_sql(where: str, limit: int | None, idle: bool = False) -> str:
     return f"""{_V}{_ela(idle)},
     s as (select sql_id, count(*) as executions, {_stats('ela', '_us')} from ela {where} group by sql_id),
     t as (select sql_id, arg_min(event_raw, (file_name, line)) as sql_text from v where ops = 'PIC' group by sql_id),
@@ -39,7 +39,7 @@ def _summary_sql(where: str, limit: int, idle: bool = False) -> str:
     select rownum, coalesce(r.sql_id, 'NULL') as sql_id,
       coalesce(regexp_replace(substring(sql_text, 0, 30), '[\\r\\n]', '', 'g'), 'NULL') as sql_text,
       executions, total_us, median_us, p99_us, max_us
-    from r left join t on r.sql_id = t.sql_id order by rownum desc limit {limit}"""
+    from r left join t on r.sql_id = t.sql_id order by rownum desc {limit and f'limit {limit}' or ''}"""
 
 
 def _outliers_sql(where: str, having: str, statistic: str, limit: int) -> str:
@@ -49,7 +49,7 @@ def _outliers_sql(where: str, having: str, statistic: str, limit: int) -> str:
       having sum({statistic}) {having}),
     r as (select row_number() over (order by total asc, cursor_id desc, span_id desc) as rownum, * from g)
     select rownum, cursor_id as cursor, total as {statistic}, ts,
-      case when length(f) > 30 then '<...>' || right(f, 36) else f end as file_name, first_line
+      case when length(f) > 30 then '<...>' || right(f, 36) else f end as file_name, f as file_path, first_line
     from r order by rownum desc limit {limit}"""
 
 
@@ -77,7 +77,7 @@ _OP_STATS = ", ".join(
 
 # Bucket bounds by the length of the binary form; levels of the percentile ladder in closed form.
 _HIST = """, h as (select name, (x >> s) << s as value_low, ((x >> s) << s) + (1::bigint << s) - 1 as value_high, count(*) as count
-  from (select name, x, greatest(0, length(bin(x)) - 5) as s from src where x < 1073741824) group by all)"""
+  from (select name, x, greatest(0, length(bin(x)) - 5) as s from src) group by all)"""
 _DIST = """, c as (select name, value_low, value_high, count, sum(count) over (partition by name order by value_low) as upto, sum(count) over (partition by name) as total from h),
   lad as (select 100.0::double - 100.0::double / (2::double ** (i // 5)) + (i % 5) * 10.0::double / (2::double ** (i // 5)) as level from range(0, 230) t(i)),
   b as (select *, 100.0::double * upto / total as share, case when upto = count then -1.0::double else 100.0::double * (upto - count) / total end as before from c),
@@ -122,6 +122,7 @@ REPORT_QUERIES = {
         f"{_V} select sql_id, arg_min(event_raw, (file_name, line)) as sql_text from v where ops = 'PIC' group by sql_id",
     ),
     "summary": (lambda s, d: R.summary(ops_view(s, d)), _summary_sql("", 30)),
+    "summary_all": (lambda s, d: R.summary(ops_view(s, d), limit=None), _summary_sql("", None)),
     "summary_filtered": (
         lambda s, d: R.summary(
             ops_view(s, d),
@@ -177,7 +178,7 @@ REPORT_QUERIES = {
         lambda s, d: R.db_files(ops_view(s, d)),
         f"""{_V}, g as (select file_name as f, count(*) as rows, min(ts) as a, max(ts) as z, max(tim) - min(tim) as u from v group by file_name)
         select row_number() over (order by rows asc, f desc) as rownum,
-          case when length(f) > 30 then '<...>' || right(f, 21) else f end as file_name, rows,
+          case when length(f) > 30 then '<...>' || right(f, 21) else f end as file_name, f as file_path, rows,
           date_trunc('second', a) as first_timestamp, date_trunc('second', z) as last_timestamp,
           cast(epoch(date_trunc('second', z) - date_trunc('second', a)) as bigint) as wallclock_s,
           cast(round(u / 1000000) as integer) as elapsed_s from g order by rownum desc limit 30""",
@@ -228,7 +229,7 @@ REPORT_QUERIES = {
         union all select name, '' from z
         union all select name, format('#[Mean    = {{:12.1f}}, StdDeviation   = {{:12.1f}}]', mean, sqrt(sq - mean * mean)) from z
         union all select name, format('#[Max     = {{:12.1f}}, Total count    = {{:12d}}]', top::double, n::bigint) from z
-        union all select name, '#[Buckets =           26, SubBuckets     =           32]' from z""",
+        union all select name, format('#[Buckets = {{:12d}}, SubBuckets     =           32]', greatest(26, length(bin(top::bigint)) - 4)) from z""",
     ),
     "histogram_summary": (
         lambda s, d: H.histogram_summary(

@@ -17,9 +17,10 @@ from spanloom.plans.ingest import ingest, ingest_stats
 from spanloom.sources.stage import stage, stage_path
 from spanloom.sources.store import jdbc_rows, read_ops, write_ops
 from spanloom.sources.trace import read_lines
+from spanloom.functions import trace_text as X
 from spanloom.streaming.ingest import stream_ingest
 
-_CALL = r"^(PARSE|EXEC|FETCH|WAIT|CLOSE|STAT|ERROR|PARSING IN CURSOR|BINDS|PARSE ERROR) (#\d+)(?::| )(.*)"
+_CALL = X.CALL
 
 # Lines with their kind and owner, by plain windows over each file.
 _LINES = rf"""with trace as ({DUCK_TRACE}),
@@ -201,15 +202,28 @@ def _read_back_lines(spark, sf_dir: str) -> DataFrame:
     return read_lines(spark, path).select(part.alias("part"), "line", "value")
 
 
-def _stream(spark, sf_dir: str) -> DataFrame:
+def _streamed(spark, sf_dir: str) -> str:
     path, _ = _written_trace(spark, sf_dir)
     out = stage_path(spark, "stream_out")
     stream_ingest(spark, f"{path}/*", out, stage_path(spark, "stream_state")).awaitTermination()
-    return read_ops(spark, out).groupBy("ops").agg(
+    return out
+
+
+def _stream(spark, sf_dir: str) -> DataFrame:
+    return read_ops(spark, _streamed(spark, sf_dir)).groupBy("ops").agg(
         F.count("*").alias("n"), F.sum("elapsed_time").alias("elapsed_time"), F.count("tim").alias("timed")
     )
 
 
+def _stream_rejects(spark, sf_dir: str) -> DataFrame:
+    """Lines that a stream did not store, by the number of their file."""
+    out, file = _streamed(spark, sf_dir), F.regexp_extract("file_name", r"part=(\d+)/", 1).cast("bigint")
+    rejects, orphans = (spark.read.parquet(f"{out}/{table}") for table in ("_rejects", "_orphans"))
+    return rejects.select(file.alias("part"), "line", "value", "reason").unionByName(
+        orphans.select(file.alias("part"), "line", "value", F.lit("orphan").alias("reason"))
+    )
+
+
 def _round_trip(spark, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "ops")
     write_ops(ops_view(spark, sf_dir), path)
@@ -219,15 +233,16 @@ def _round_trip(spark, sf_dir: str) -> DataFrame:
 
 
 # The same text cut into files of 8000 line numbers, renumbered; then counted by kind of record.
-_FILES_SQL = (
-    _LINES.replace("with trace as (", "with trace0 as (", 1).replace(
-        "\na as (",
-        """
+_FILE_LINES = _LINES.replace("with trace as (", "with trace0 as (", 1).replace(
+    "\na as (",
+    """
 trace as (select 'f' || ((line - 4) // 8000) as file_name,
   row_number() over (partition by (line - 4) // 8000 order by line) as line, value from trace0),
 a as (""",
-        1,
-    )
+    1,
+)
+_FILES_SQL = (
+    _FILE_LINES
     + rf""" select ops, count(*) as n,
   cast(sum(case when ops = 'WAIT' then coalesce(try_cast(regexp_extract(params, '{_WAIT_SQL}', 2) as bigint), 0)
     when ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE') or kind = 'LOB' then {_int('e')} else 0 end) as bigint) as elapsed_time,
@@ -239,6 +254,23 @@ a as (""",
 )
 
 
+# Attributes of an event that its row does not name anyway, and a view where some records are no events.
+_ATTRIBUTES = [
+    "cursor_id", "tim", "elapsed_time", "cpu_time", "ph_reads", "cr_reads", "current_reads", "rows_processed",
+    "event_name", "event_raw", "file_name", "client_id",
+]
+_KIND = "case when line % 17 = 0 then 'STAR' when line % 19 = 0 then 'HEADER' else ops end as ops"
+_WITH_STARS = f"with v as ({DUCK_OPS}), w as (select v.* exclude (ops), {_KIND} from v)"
+
+
+_STREAM_REJECTS_SQL = f"""{_FILE_LINES} select case when kind = 'ORPHAN' then 'orphan' when {_BAD} then 'params' else 'cursor' end as reason,
+  value, count(*) as n from d where kind = 'ORPHAN' or not ({_GOOD}) group by all"""
+
+
+def _with_stars(spark, sf_dir: str) -> DataFrame:
+    return ops_view(spark, sf_dir).withColumn("ops", F.expr(_KIND.removesuffix(" as ops")))
+
+
 def _rejects(spark, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir).where("reject is not null")
 
@@ -401,33 +433,26 @@ TRACE_QUERIES = {
         select part, row_number() over (partition by part order by line) as line, value from p""",
     ),
     "export_spans": (
-        lambda s, d: export_spans(ops_view(s, d)).select(
-            "span_id", "trace_id", "name", "start_ns", "end_ns", F.size("events").alias("n_events"),
-            F.expr("events[0].attributes.line").alias("first_line"),
-            F.expr("events[0].name").alias("first_event"),
-            F.array_join(F.col("events.name"), ",").alias("event_names"),
-        ),
-        f"""with v as ({DUCK_OPS}) select span_id, arg_min(client_id, line) as trace_id, arg_min(coalesce(sql_id, ''), line) as n0,
-        epoch_us(arg_min(ts, line)) * 1000 as start_ns, epoch_us(arg_max(ts, line)) * 1000 as end_ns, cast(count(*) as integer) as n_events,
-        min(line) as first_line, arg_min(case when ops = 'PIC' then 'PARSING IN CURSOR' else ops end, line) as first_event,
-        string_agg(case when ops = 'PIC' then 'PARSING IN CURSOR' else ops end, ',' order by line) as event_names,
-        nullif(n0, '') as name from v group by span_id""".replace(
-            "arg_min(coalesce(sql_id, ''), line) as n0,", ""
-        ).replace("nullif(n0, '') as name", "nullif(arg_min(coalesce(sql_id, ''), line), '') as name"),
+        lambda s, d: export_spans(_with_stars(s, d)),
+        f"""{_WITH_STARS} select span_id, arg_min(client_id, line) as trace_id,
+        nullif(arg_min(coalesce(sql_id, ''), line), '') as name, epoch_us(arg_min(ts, line)) * 1000 as start_ns,
+        epoch_us(arg_max(ts, line)) * 1000 as end_ns, min(line) as first_line, count(*) as n_events
+        from w where ops not in ('STAR', 'HEADER') group by span_id""",
     ),
     "export_events": (
-        lambda s, d: export_events(ops_view(s, d), "client_id").select(
-            "span_id", "trace_id", "sql_id", "line", "time_ns", "name"
+        lambda s, d: export_events(_with_stars(s, d), "client_id").select(
+            "span_id", "trace_id", "sql_id", "line", "time_ns", "name", *[f"attributes.{c}" for c in _ATTRIBUTES]
         ),
-        f"""with v as ({DUCK_OPS}) select span_id, client_id as trace_id, sql_id, line, epoch_us(ts) * 1000 as time_ns,
-        case when ops = 'PIC' then 'PARSING IN CURSOR' else ops end as name from v""",
+        f"""{_WITH_STARS} select span_id, client_id as trace_id, sql_id, line, epoch_us(ts) * 1000 as time_ns,
+        case when ops = 'PIC' then 'PARSING IN CURSOR' else ops end as name, {", ".join(_ATTRIBUTES)}
+        from w where ops not in ('STAR', 'HEADER')""",
     ),
     "jdbc_rows": (
         lambda s, d: jdbc_rows(
             ops_view(s, d).withColumn("event_raw", F.repeat("event_raw", 80))
         ).select("span_id", "sql_id", "cursor_id", "ops", "wait_name", "wait_raw", "line"),
         f"""with v as ({DUCK_OPS}) select span_id, sql_id, cursor_id, ops, event_name as wait_name,
-        substr(repeat(event_raw, 80), 1, 4000) as wait_raw, line from v""",
+        repeat(event_raw, 80) as wait_raw, line from v""",
     ),
     "write_read_parquet": (
         _round_trip,
@@ -438,4 +463,8 @@ TRACE_QUERIES = {
         _stream,
         _FILES_SQL,
     ),
+    "stream_rejects": (
+        lambda s, d: _stream_rejects(s, d).groupBy("reason", "value").agg(F.count("*").alias("n")),
+        _STREAM_REJECTS_SQL,
+    ),
 }

@@ -67,22 +67,22 @@ from (
         when event_id % 53 = 6 then concat('XCTEND rlbk=', cast(event_id % 2 as {S}), ', rd_only=', cast(event_id % 3 as {S}), case when event_id % 4 = 0 then ',' else concat(', tim=', tim) end)
         when event_id % 51 = 8 then concat('LOBWRITE: type=TEMPORARY LOB,bytes=', cast(event_id % 4096 as {S}), ',c=', cpu, ',e=', ela, ',p=0,cr=0,cu=', case when event_id % 5 = 0 then '' else concat('7,tim=', tim) end)
         when event_id % 59 = 1 then concat('ERROR ', cur, ':err=', cast(event_id % 30000 as {S}), ' tim=', tim)
-        when event_id % 61 = 1 then concat('PARSE ERROR ', cur, ':len=67 dep=1 uid=112 oct=3 lid=112 tim=', tim, ' err=', cast(900 + event_id % 90 as {S}), chr(10), 'select bad syntax ', cast(user_id as {S}))
+        when event_id % 61 = 1 then concat('PARSE ERROR ', cur, ':len=18 dep=1 uid=', cast(user_id as {S}), ' oct=3 lid=', cast(user_id + 1 as {S}), ' tim=', tim, ' err=', cast(900 + event_id % 90 as {S}), chr(10), 'select bad syntax ', cast(user_id as {S}))
         when event_type = 'signup' then concat(
           case when event_id % 3 = 0 then concat('=====================', chr(10)) else '' end,
           'PARSING IN CURSOR ', cur, ' len=80 dep=', cast(event_id % 2 as {S}), ' uid=', cast(user_id as {S}), ' oct=3 lid=1 tim=', tim, ' hv=', cast(event_id * 31 as {S}), ' ad=''9d', cast(user_id as {S}), '''',
           case when event_id % 97 = 0 then ' sqlid' else concat(' sqlid=''q', cast(user_id % 20 as {S}), '''') end,
           chr(10), 'select /* q', cast(user_id % 20 as {S}), ' */ col', chr(10), '  from some_table', chr(10), 'END OF STMT')
         when event_type = 'view' and event_id % 3 = 0 then concat('BINDS ', cur, ':', chr(10), ' Bind#0', chr(10), '  value=', cast(user_id as {S}))
-        when event_type = 'view' then concat('PARSE ', cur, ':c=', cpu, ',e=', ela, ',p=0,cr=0,cu=0,mis=', cast(event_id % 2 as {S}), ',r=0,dep=0,og=1,plh=2725028981,tim=', tim)
+        when event_type = 'view' then concat('PARSE ', cur, ':c=', cpu, ',e=', ela, ',p=0,cr=0,cu=0,mis=', cast(event_id % 2 as {S}), ',r=0,dep=0,og=1,plh=', cast(user_id * 7919 as {S}), ',tim=', tim)
         when event_type = 'click' and event_id % 7 = 0 then concat('CLOSE ', cur, ':c=', cpu, ',e=', ela, ',dep=0,type=', cast(event_id % 4 as {S}), ',tim=', tim)
         when event_type = 'click' and event_id % 11 = 0 then concat('EXEC ', cur, ':c=', cpu, ',e=', ela, ',ti')
-        when event_type = 'click' then concat('EXEC ', cur, ':c=', cpu, ',e=', ela, ',p=', cast(event_id % 7 as {S}), ',cr=', cast(event_id % 11 as {S}), ',cu=', cast(event_id % 5 as {S}), ',mis=0,r=0,dep=0,og=1,plh=2725028981,tim=', tim)
-        when event_type = 'purchase' and event_id % 5 = 0 then concat('STAT ', cur, ' id=1 cnt=', cast(event_id % 13 as {S}), ' pid=0 pos=1 obj=89440 op=''INDEX RANGE SCAN''')
-        when event_type = 'purchase' then concat('FETCH ', cur, ':c=', cpu, ',e=', ela, ',p=', cast(event_id % 7 as {S}), ',cr=4,cu=0,mis=0,r=', cast(event_id % 13 as {S}), ',dep=0,og=1,plh=2725028981,tim=', tim)
+        when event_type = 'click' then concat('EXEC ', cur, ':c=', cpu, ',e=', ela, ',p=', cast(event_id % 7 as {S}), ',cr=', cast(event_id % 11 as {S}), ',cu=', cast(event_id % 5 as {S}), ',mis=0,r=0,dep=0,og=1,plh=', cast(user_id * 7919 as {S}), ',tim=', tim)
+        when event_type = 'purchase' and event_id % 5 = 0 then concat('STAT ', cur, ' id=1 cnt=', cast(event_id % 13 as {S}), ' pid=0 pos=1 obj=', cast(user_id * 3 as {S}), ' op=''TABLE ACCESS FULL''')
+        when event_type = 'purchase' then concat('FETCH ', cur, ':c=', cpu, ',e=', ela, ',p=', cast(event_id % 7 as {S}), ',cr=4,cu=0,mis=0,r=', cast(event_id % 13 as {S}), ',dep=0,og=1,plh=', cast(user_id * 7919 as {S}), ',tim=', tim)
         when event_id % 13 = 0 then concat('WAIT ', cur, ': broken')
         when user_id % 11 = 0 then concat('WAIT #0: nam=''SQL*Net message from client'' ela= ', ela, ' driver id=1 #bytes=1 p3=0 obj#=-1 tim=', tim)
-        else concat('WAIT ', cur, ': nam=''db file sequential read'' ela= ', ela, ' file#=414 block#=2090520 blocks=1 obj#=89440 tim=', tim)
+        else concat('WAIT ', cur, ': nam=''db file sequential read'' ela= ', ela, ' file#=', cast(user_id as {S}), ' block#=', cast(event_id as {S}), ' blocks=1 obj#=', cast(user_id * 3 as {S}), ' tim=', tim)
       end as body
     from (
       select *, case when user_id % 29 = 0 then '#1' else concat('#', cast(1000 + user_id % 97 as {S})) end as cur,
@@ -107,12 +107,9 @@ def ops_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trace_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trace text of all events.
 
-    Text is many times larger than its events. Where these sit in fewer files than there are cores,
-    they are spread first, so that the text is made by all cores; on many files nothing moves.
+    Text is many times larger than its events, so these are spread first and the text is made by all
+    cores.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if len(events.inputFiles()) < cores:
-        needed = ["event_id", "ts", "user_id", "event_type", "value"]
-        events = events.select(*needed).repartition(cores, "event_id")
+    needed = ["event_id", "ts", "user_id", "event_type", "value"]
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(*needed).repartition("event_id")
     return spark.sql(_TRACE.format(EVENTS="{events}", **_SPARK), events=events)

@@ -38,7 +38,7 @@ def separated(params: str, separator: str) -> str:
 
 def integer_items(items: str, group: int) -> str:
     """SQL: keys (group 1) or digits (group 2) of all ``key=integer`` items, last one first."""
-    pattern = r"\x01([^\x01=]*)=\s*([+-]?\d{1,18})[ \t]*?(?=[\x01=]|$)"
+    pattern = r"\x01([^\x01=]*)=\s*([+-]?\d+)[ \t]*?(?=[\x01=]|$)"
     return f"reverse(regexp_extract_all({items}, r'{pattern}', {group}))"
 
 
@@ -61,17 +61,37 @@ def broken_list(text_key: str = "") -> str:
     would put it into one method, too long for the JIT compiler.
     """
     known = f"x = '' or startswith(x, '{text_key}=') or " if text_key else "x = '' or "
-    one = r"rlike(x, r'^[^=]*=\s*[+-]?\d{1,18}[ \t]*(=.*)?$')"
+    one = r"rlike(x, r'^[^=]*=\s*[+-]?\d+[ \t]*(=.*)?$')"
     items = "length(params) - length(replace(params, ',', '')) + 1"
     return f"(size(keys) <> {items} and exists(split(params, ','), x -> not ({known}{one})))"
 
 
 def broken_commit() -> str:
     """SQL: is some item, an empty one included, not ``key=integer``?"""
-    one = r"rlike(x, r'^[^=]*=\s*[+-]?\d{1,18}[ \t]*(=.*)?$')"
+    one = r"rlike(x, r'^[^=]*=\s*[+-]?\d+[ \t]*(=.*)?$')"
     return f"exists(split(params, ', '), x -> not {one})"
 
 
+def out_of_range(kinds: dict[str, str]) -> str:
+    """SQL: has one of the keys of ``kinds`` (key -> type) an integer that its type does not hold?
+
+    A search of the line for long numbers goes first, so that few records are looked at by item.
+    """
+    small = [k for k, kind in kinds.items() if kind == "int"]
+    long = rf"=\s*[+-]?\d{{19}}|(?:^|[, ])(?:{'|'.join(small)})=\s*[+-]?\d{{10}}"
+    known, ints = (", ".join(repr(k) for k in keys) for keys in (kinds, small))
+    beyond = f"""x.keys in ({known}) and try_cast(x.digits as bigint) is null
+        or x.keys in ({ints}) and try_cast(x.digits as int) is null"""
+    return f"(rlike(params, r'{long}') and exists(arrays_zip(keys, digits), x -> {beyond}))"
+
+
+def wait_out_of_range() -> str:
+    """SQL: has a WAIT a time that a bigint does not hold?"""
+    found = [f"regexp_extract(params, {quoted(WAIT_FIELDS)}, {i})" for i in (2, 4)]
+    beyond = " or ".join(f"({f} <> '' and try_cast({f} as bigint) is null)" for f in found)
+    return rf"(rlike(params, r'\d{{19}}') and ({beyond}))"
+
+
 def utc_time(text: str, zone: str = "UTC") -> str:
     """SQL: wall clock in UTC of ``2023-05-19T05:28:00.339263+02:00``; NULL if it is no time.
 

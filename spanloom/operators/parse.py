@@ -25,6 +25,7 @@ _FROM_ELSEWHERE = {
 }
 _TEXTS = {"event_name", "event_raw", "ad", "lobtype"}
 _NULLABLE = {"sql_id", "ts"}
+_KINDS = {key: OPS_SCHEMA[column].dataType.simpleString() for key, column in KEYS.items()}
 
 
 def wait_fields() -> dict[str, str]:
@@ -119,13 +120,14 @@ def parse_records(records: DataFrame, zone: str = "UTC") -> DataFrame:
     """Fact columns of assembled records, plus ``kind``, ``value`` and ``reject``.
 
     ``reject`` is NULL or says why the record is not stored: ``params`` (a broken item where all are
-    needed), ``cursor`` (no valid handle) or ``time``. Missing integers are 0 and missing texts '';
+    needed), ``range`` (a number that its column does not hold), ``cursor`` (no valid handle) or ``time``. Missing integers are 0 and missing texts '';
     a missing ``tim`` is NULL. Resets and orphans pass through with an op of that name.
     """
     reject = f"""case
         when {_TIMED_CALL} and {X.broken_list()} then 'params'
         when ops = 'XCTEND' and {X.broken_commit()} then 'params'
         when kind = 'LOB' and {X.broken_list('type')} then 'params'
+        when {X.out_of_range(_KINDS)} or ops = 'WAIT' and {X.wait_out_of_range()} then 'range'
         when cursor_id != '#0' and length(cursor_id) <= 2 then 'cursor'
         when kind = 'STAR' and star_ts is null then 'time'
         end as reject"""

@@ -274,9 +274,9 @@ def assign_spans(ops: DataFrame, ids: str = "hash", attach_lobs: bool = False) -
 
 
 def span_op_counts(ops: DataFrame) -> DataFrame:
-    """Calls of each kind per span, and their number."""
+    """Calls of each kind per span, and their number; spans of two files stay apart even if their ids are equal."""
     kinds = [*TRACKED_OPS, "LOB", "XCTEND", "STAR", "HEADER"]
-    return ops.groupBy("span_id").agg(
+    return ops.groupBy("file_name", "span_id").agg(
         *[
             F.expr(
                 f"count_if({'startswith(ops, ' + repr(k) + ')' if k == 'LOB' else 'ops = ' + repr(k)})"
@@ -285,4 +285,4 @@ def span_op_counts(ops: DataFrame) -> DataFrame:
             for k in kinds
         ],
         F.expr("count(*) as n_ops"),
-    )
+    ).drop("file_name")

@@ -1,4 +1,4 @@
-"""Client interactions as nested span documents."""
+"""Client interactions as spans and their events."""
 
 from __future__ import annotations
 
@@ -11,48 +11,32 @@ from spanloom.plans.reports import shown_op
 TRACE_ID_COLUMNS = {"CLIENT ID": "client_id", "MODULE": "module", "ACTION": "action"}
 
 
-# Lines of a span one document holds at most.
-DOCUMENT_LINES = 1 << 16
-
-
-def export_spans(
-    ops: DataFrame, trace_id_col: str = "CLIENT ID", document_lines: int = DOCUMENT_LINES
-) -> DataFrame:
-    """Span documents: ``trace_id, span_id, part, name, start_ns, end_ns, events``.
+def export_spans(ops: DataFrame, trace_id_col: str = "CLIENT ID") -> DataFrame:
+    """One row per span: ``span_id, trace_id, name, start_ns, end_ns, first_line, n_events``.
 
     The trace id is the named session attribute of the span's first record (a column name also
-    does). Events are the span's records by line, as ``struct(name, time_ns, attributes)``. Wall clock
-    and header records are left out. A span over more than ``document_lines`` lines of its file, such
-    as idle waits without any cursor, comes in several documents with consecutive ``part`` numbers and
-    the same head, so no document grows without bound.
+    does). Wall clock and header records are left out. The span's events are the rows of
+    ``export_events`` with its ``span_id``, in order of their lines: a span of any length has this one
+    shape, and nothing is collected.
     """
     events = export_events(ops, trace_id_col)
-    heads = events.groupBy("span_id").agg(
+    return events.groupBy("span_id").agg(
         F.expr("min(struct(line, trace_id, sql_id, time_ns)) as _first"),
         F.expr("max(struct(line, time_ns)) as _last"),
-    )
-    # The document key is one text, so that grouping does not inherit the partitioning by span.
-    parted = events.drop("trace_id", "sql_id").join(heads, "span_id").selectExpr(
-        "*", f"(line - _first.line) div {document_lines}L as part"
-    )
-    keyed = parted.selectExpr("*", "concat_ws('/', span_id, part) as _document")
-    docs = keyed.groupBy("_document").agg(
-        *[F.expr(f"first({c}) as {c}") for c in ("span_id", "part", "_first", "_last")],
-        F.expr("sort_array(collect_list(struct(line, time_ns, name, attributes))) as _e"),
-    )
-    return docs.selectExpr(
+        F.expr("count(*) as n_events"),
+    ).selectExpr(
         "span_id",
-        "part",
         "_first.trace_id as trace_id",
         "_first.sql_id as name",
         "_first.time_ns as start_ns",
         "_last.time_ns as end_ns",
-        "transform(_e, e -> struct(e.name as name, e.time_ns as time_ns, e.attributes as attributes)) as events",
+        "_first.line as first_line",
+        "n_events",
     )
 
 
 def export_events(ops: DataFrame, trace_id_col: str = "CLIENT ID") -> DataFrame:
-    """The events of all spans as flat rows, without any grouping."""
+    """The events of all spans, one row each: ``span_id, trace_id, sql_id, line, time_ns, name, attributes``."""
     column = TRACE_ID_COLUMNS.get(trace_id_col, trace_id_col)
     if column not in ops.columns:
         raise ValueError(f"no column for trace id {trace_id_col!r}")
@@ -71,7 +55,8 @@ def export_events(ops: DataFrame, trace_id_col: str = "CLIENT ID") -> DataFrame:
 
 
 def write_spans(ops: DataFrame, path: str, trace_id_col: str = "CLIENT ID", form: str = "json") -> None:
-    """Write span documents as JSON lines or Parquet."""
+    """Write ``spans`` and ``events`` under ``path`` as JSON lines or Parquet."""
     if form not in ("json", "parquet"):
         raise ValueError(f"form must be 'json' or 'parquet', not {form!r}")
-    export_spans(ops, trace_id_col).write.format(form).save(path)
+    export_spans(ops, trace_id_col).write.format(form).save(f"{path}/spans")
+    export_events(ops, trace_id_col).write.format(form).save(f"{path}/events")

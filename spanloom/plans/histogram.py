@@ -8,28 +8,32 @@ from pyspark.sql import functions as F
 from spanloom.functions.buckets import bucket_high, bucket_low
 from spanloom.plans.views import span_elapsed
 
-# Fixed values of the public histogram format for the range 1 .. 1,000,000,000 at one significant
-# digit: 32 sub-buckets (5 bits), 26 powers of two, so values from 2**30 on are not recorded.
+# Fixed values of the public histogram format at one significant digit: 32 sub-buckets (5 bits), and
+# 26 powers of two for its usual range 1 .. 1,000,000,000. Larger values have powers of two of their own.
 SUB_BUCKET_BITS = 5
 BUCKETS = 26
 SUB_BUCKETS = 32
-UNTRACKABLE = 1 << 30
 TICKS_PER_HALF_DISTANCE = 5
 
 
 def hdr_histogram(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Counts per log-linear bucket: ``keys, value_low, value_high, count``.
 
-    At most 432 rows per key, combined map side, whatever the number of values.
+    All values count, negative ones in the mirror images of the buckets; NULL is no value. At most
+    1,900 rows per key, combined map side, whatever the number of values.
     """
-    low = bucket_low("_v", SUB_BUCKET_BITS)
+    low = bucket_low("abs(_v)", SUB_BUCKET_BITS)
+    high = bucket_high("_low", SUB_BUCKET_BITS)
     return (
         df.selectExpr(*keys, f"cast({value} as bigint) as _v")
-        .where(f"_v between 0 and {UNTRACKABLE - 1}")
-        .groupBy(*keys, F.expr(f"{low} as value_low"))
+        .where("_v is not null")
+        .groupBy(*keys, F.expr(f"{low} as _low"), F.expr("_v < 0 as _below"))
         .agg(F.expr("count(*) as count"))
         .selectExpr(
-            *keys, "value_low", f"{bucket_high('value_low', SUB_BUCKET_BITS)} as value_high", "count"
+            *keys,
+            f"if(_below, -({high}), _low) as value_low",
+            f"if(_below, -_low, {high}) as value_high",
+            "count",
         )
     )
 
@@ -147,7 +151,9 @@ def percentile_lines(histogram: DataFrame, key: str) -> DataFrame:
                     "total_count",
                 ),
                 F.format_string(
-                    "#[Buckets = %12d, SubBuckets     = %12d]", F.lit(BUCKETS), F.lit(SUB_BUCKETS)
+                    "#[Buckets = %12d, SubBuckets     = %12d]",
+                    F.greatest(F.lit(BUCKETS), F.length(F.bin("max")) - SUB_BUCKET_BITS + 1),
+                    F.lit(SUB_BUCKETS),
                 ),
             )
         ).alias("_n", "value"),

@@ -9,6 +9,7 @@ from spanloom.functions.labels import short_path, statement_label, wait_label
 from spanloom.functions.predicates import threshold
 from spanloom.functions.quantiles import grouped_stats
 from spanloom.plans.views import METRICS, cursor_elapsed, span_elapsed, span_metrics, sql_texts
+from spanloom.sources.stage import stage
 
 DEFAULT_LIMIT = 30
 
@@ -17,32 +18,39 @@ def _where(df: DataFrame, condition: Column | None) -> DataFrame:
     return df if condition is None else df.where(condition)
 
 
-def _top(
-    groups: DataFrame, count: DataFrame, metric: str, keys: list[str], limit: int
-) -> DataFrame:
-    """The ``limit`` largest groups with ``rownum``, their ascending rank among all groups.
+def _top(groups: DataFrame, metric: str, keys: list[str], limit: int | None) -> DataFrame:
+    """The ``limit`` largest groups, or all of them, with ``rownum``, their ascending rank among all groups.
 
-    Ranking all groups takes a sort in one task; instead the rank of the k-th largest is the number
-    of groups minus k - 1, with the number from a scalar subquery, so only ``limit`` rows are
-    numbered. Ties go by key.
+    Ties go by key. The groups are a table first, for they are read more than once. Ranking them in one
+    window takes a sort in one task: instead, the rank of the k-th largest is the number of groups minus
+    k - 1, so only ``limit`` rows are numbered; without a limit the groups are range-sorted and numbered
+    by range, from the counts of the ranges before.
     """
+    groups = stage(groups, "groups")
     order = [F.col(metric).desc(), *[F.col(k).asc_nulls_first() for k in keys]]
-    top = groups.orderBy(*order).limit(limit)
-    place = F.row_number().over(Window.orderBy(*order))
-    total = count.agg(F.count("*").alias("groups")).scalar()
-    return top.withColumn("rownum", total + F.lit(1) - place)
+    total = groups.agg(F.count("*").alias("groups"))
+    if limit is not None:
+        place = F.row_number().over(Window.orderBy(*order))
+        return groups.orderBy(*order).limit(limit).withColumn("rownum", total.scalar() + F.lit(1) - place)
+    ranges = stage(groups.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_n"))
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    numbered = ranges.join(starts, "_range").withColumn("rownum", total.scalar() + F.lit(1) - place)
+    return numbered.drop("_range", "_start")
 
 
 def summary(
     ops: DataFrame,
     where: Column | None = None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = DEFAULT_LIMIT,
     remove_idle: bool = False,
 ) -> DataFrame:
     """Executions and latency per statement; ``where`` filters executions (see ``preds``)."""
-    spans = _where(span_elapsed(ops, remove_idle), where)
+    spans = stage(_where(span_elapsed(ops, remove_idle), where).select("sql_id", "ela"), "spans")
     stats = grouped_stats(spans, ["sql_id"], "ela")
-    top = _top(stats, spans.select("sql_id").distinct(), "n", ["sql_id"], limit)
+    top = _top(stats, "n", ["sql_id"], limit)
     texts = sql_texts(ops, "sql_id", statement_label(F.col("event_raw")))
     return (
         top.join(texts, "sql_id", "left")
@@ -62,7 +70,7 @@ def summary(
 
 def cursor_summary(ops: DataFrame) -> DataFrame:
     """Executions and latency per cursor handle, for traces that miss the parse records."""
-    stats = grouped_stats(cursor_elapsed(ops), ["cursor_id"], "ela")
+    stats = grouped_stats(stage(cursor_elapsed(ops).select("cursor_id", "ela"), "cursors"), ["cursor_id"], "ela")
     return (
         stats.join(sql_texts(ops, "cursor_id"), "cursor_id", "left")
         .select("cursor_id", "sql_text", F.col("n").alias("execs"), "median", "p99")
@@ -75,7 +83,7 @@ def outliers(
     limits: str | int | list[int] | None = None,
     where: Column | None = None,
     statistic: str = "elapsed_time",
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Executions by the total of ``statistic`` (any numeric column), largest first.
 
@@ -92,7 +100,7 @@ def outliers(
         .agg(F.sum(statistic).alias("_total"), F.min("line").alias("_line"))
         .where(total != 0 if condition is None else condition)
     )
-    top = _top(groups, groups, "_total", [*keys, "_line"], limit)
+    top = _top(groups, "_total", [*keys, "_line"], limit)
     here = [F.col(f"h.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
     found = rows.alias("h").join(
         top.alias("t"), here[0] & here[1] & (F.col("h.line") == F.col("t._line"))
@@ -106,6 +114,7 @@ def outliers(
             total.alias(statistic),
             F.col("_at.ts").alias("ts"),
             short_path(F.col("_at.file_name"), 36).alias("file_name"),
+            F.col("_at.file_name").alias("file_path"),
             F.col("_line").alias("first_line"),
         )
         .orderBy(F.desc("rownum"))
@@ -116,7 +125,7 @@ def waits(
     ops: DataFrame,
     where: Column | None = None,
     slower_than: int | None = None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = DEFAULT_LIMIT,
     remove_idle: bool = False,
 ) -> DataFrame:
     """Wait events; ``slower_than`` keeps only waits inside executions above that many µs."""
@@ -129,8 +138,8 @@ def waits(
     named = rows.select(
         wait_label(F.col("event_name"), F.col("cursor_id")).alias("wait"), "elapsed_time"
     )
-    stats = grouped_stats(named, ["wait"], "elapsed_time")
-    top = _top(stats, named.select("wait").distinct(), "n", ["wait"], limit)
+    stats = grouped_stats(stage(named, "waits"), ["wait"], "elapsed_time")
+    top = _top(stats, "n", ["wait"], limit)
     return top.select(
         "rownum",
         "wait",
@@ -144,17 +153,19 @@ def waits(
 
 def db_totals(ops: DataFrame) -> DataFrame:
     """Rows, files, statements, cursors and time range of the whole table."""
-    return ops.agg(
-        F.count("*").alias("rows"),
-        F.count_distinct("file_name").alias("files"),
-        F.count_distinct("sql_id").alias("sql_ids"),
-        F.count_distinct("cursor_id").alias("cursors"),
-        F.min("ts").alias("first_timestamp"),
-        F.max("ts").alias("last_timestamp"),
+    keys = ["file_name", "sql_id", "cursor_id"]
+    groups = ops.groupBy(*keys).agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+    groups = stage(groups, "totals")
+    distinct = [groups.where(F.col(k).isNotNull()).groupBy(k).agg(F.lit(1)).agg(F.count("*")).scalar() for k in keys]
+    return groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        *[F.first(d).alias(name) for d, name in zip(distinct, ("files", "sql_ids", "cursors"), strict=True)],
+        F.min("first").alias("first_timestamp"),
+        F.max("last").alias("last_timestamp"),
     )
 
 
-def db_files(ops: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
+def db_files(ops: DataFrame, limit: int | None = DEFAULT_LIMIT) -> DataFrame:
     """Rows and time range per trace file, largest files first."""
     groups = ops.groupBy("file_name").agg(
         F.count("*").alias("rows"),
@@ -164,10 +175,11 @@ def db_files(ops: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     )
     first, last = (F.date_trunc("second", F.col(c)) for c in ("_first", "_last"))
     return (
-        _top(groups, ops.select("file_name").distinct(), "rows", ["file_name"], limit)
+        _top(groups, "rows", ["file_name"], limit)
         .select(
             "rownum",
             short_path(F.col("file_name"), 21).alias("file_name"),
+            F.col("file_name").alias("file_path"),
             "rows",
             first.cast("timestamp_ntz").alias("first_timestamp"),
             last.cast("timestamp_ntz").alias("last_timestamp"),

@@ -44,8 +44,9 @@ def span_wall_elapsed(ops: DataFrame) -> DataFrame:
 
 
 def span_metrics(ops: DataFrame) -> DataFrame:
-    """Totals of the six call metrics per span."""
-    return ops.groupBy("span_id").agg(*[F.sum(m).alias(m) for m in METRICS])
+    """Totals of the six call metrics per span; spans of two files stay apart even if their ids are equal."""
+    totals = ops.groupBy("file_name", "span_id").agg(*[F.sum(m).alias(m) for m in METRICS])
+    return totals.drop("file_name")
 
 
 def sql_texts(ops: DataFrame, key: str, text: Column | None = None) -> DataFrame:

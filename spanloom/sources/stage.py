@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +20,31 @@ def stage_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("spanloom_stage_folder", default=None)
+
+
+@contextmanager
+def stage_folder(spark: SparkSession, name: str) -> Iterator[None]:
+    """Stages made inside share one folder, which ``remove_stages`` removes. What an earlier try of the
+    same name left is removed first."""
+    remove_stages(spark, name)
+    token = _FOLDER.set(name)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(token)
+
+
+def remove_stages(spark: SparkSession, name: str) -> None:
+    """Remove the folder of ``stage_folder``; the tables read from it can't be read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark)}/spanloom/{name}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{stage_root(spark)}/spanloom/{uuid.uuid4().hex}/{name}"
+    own = [_FOLDER.get()] if _FOLDER.get() else []
+    return "/".join([stage_root(spark), "spanloom", *own, uuid.uuid4().hex, name])
 
 
 def stage(df: DataFrame, name: str, **options: str) -> DataFrame:

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from spanloom.schema import OPS_COLUMNS, SCHEMA_VERSION, conform
 
-# Fixed value: how much of the raw text the relational table holds.
-RAW_LENGTH = 4000
 # Columns with another name in the relational table.
 RELATIONAL_NAMES = {"event_name": "wait_name", "event_raw": "wait_raw", "uid": "pic_uid"}
 
@@ -50,16 +48,24 @@ def write_ops(
     )
 
 
-def jdbc_rows(ops: DataFrame) -> DataFrame:
-    """The fact table as the relational table wants it: its column names, raw text cut to 4000."""
-    cut = conform(ops).withColumn("event_raw", F.substring("event_raw", 1, RAW_LENGTH))
-    return cut.withColumnsRenamed(RELATIONAL_NAMES).select(
+def jdbc_rows(ops: DataFrame, raw_length: int | None = None) -> DataFrame:
+    """The fact table with the relational column names; raw text is cut only if the table holds no more
+    than ``raw_length`` characters of it."""
+    rows = conform(ops)
+    if raw_length is not None:
+        rows = rows.withColumn("event_raw", F.substring("event_raw", 1, raw_length))
+    return rows.withColumnsRenamed(RELATIONAL_NAMES).select(
         *[RELATIONAL_NAMES.get(c, c) for c in OPS_COLUMNS]
     )
 
 
 def write_jdbc(
-    ops: DataFrame, url: str, table: str = "dbcall", mode: str = "append", **properties: str
+    ops: DataFrame,
+    url: str,
+    table: str = "dbcall",
+    mode: str = "append",
+    raw_length: int | None = None,
+    **properties: str,
 ) -> None:
     """Insert into a relational table in batches of 1000 rows per connection."""
-    jdbc_rows(ops).write.option("batchsize", 1000).jdbc(url, table, mode, properties)
+    jdbc_rows(ops, raw_length).write.option("batchsize", 1000).jdbc(url, table, mode, properties)

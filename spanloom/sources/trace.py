@@ -6,7 +6,7 @@ import lzma
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _PACKED = (".xz", ".lzma")
@@ -17,7 +17,8 @@ def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """``file_name, line, value`` of trace files, folders or globs; lines count from 1 per file.
 
     Plain text is split, gzip and bzip2 are recognised by their extension. Paths that end in
-    ``.xz`` or ``.lzma`` take a separate reader.
+    ``.xz`` or ``.lzma`` take a separate reader; such a file inside a folder or glob is an error, since it
+    would be read as text. Bytes that are no UTF-8 become replacement characters in all of them.
     """
     every = [paths] if isinstance(paths, str) else list(paths)
     packed = [p for p in every if p.endswith(_PACKED)]
@@ -30,7 +31,7 @@ def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
             F.col("_metadata.file_path").alias("file_name"),
             F.col("_metadata.file_block_start").alias("_split"),
             F.monotonically_increasing_id().alias("_at"),
-            "value",
+            _readable("value").alias("value"),
         )
         parts.append(number_lines(text))
     if packed:
@@ -38,6 +39,12 @@ def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _readable(value: str) -> Column:
+    path = F.col("_metadata.file_path")
+    named = F.concat(F.lit("name packed files themselves: "), path)
+    return F.when(path.rlike(r"\.(xz|lzma)$"), F.raise_error(named)).otherwise(F.col(value))
+
+
 def number_lines(raw: DataFrame) -> DataFrame:
     """Line numbers without moving the text: ``raw`` has ``file_name, _split, _at, value``.
 
@@ -100,6 +107,6 @@ def _frame(path: str, lines: list[bytes], done: int) -> pd.DataFrame:
         {
             "file_name": path,
             "line": range(done + 1, done + len(lines) + 1),
-            "value": [line.rstrip(b"\r").decode("utf-8") for line in lines],
+            "value": [line.rstrip(b"\r").decode("utf-8", "replace") for line in lines],
         }
     )

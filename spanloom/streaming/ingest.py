@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spanloom.plans.ingest import ingest
+from spanloom.sources.stage import remove_stages, stage_folder
 from spanloom.sources.store import write_ops
 from spanloom.sources.trace import number_lines
 
@@ -18,15 +21,24 @@ def stream_ingest(
     checkpoint: str,
     files_per_batch: int | None = None,
     available_now: bool = True,
+    ids: str = "hash",
+    zone: str = "UTC",
+    attach_lobs: bool = False,
     **options: str,
 ) -> StreamingQuery:
-    """Append every new trace file of ``folder`` to the fact table at ``target``.
+    """Append every new trace file of ``folder`` to the fact table at ``target``, and what was not stored to the
+    tables ``_rejects`` and ``_orphans`` in it.
 
     Files are independent of each other, so a batch needs no state of earlier ones: the whole batch
     ingest runs per micro-batch. Files must appear complete (moved into the folder), since the
-    source does not follow growing files. Each batch has its own sub-folder and replaces it when a
-    batch is repeated after a failure, so rows are written once.
+    source does not follow growing files. A batch has a sub-folder of its own in each table, named by
+    the checkpoint and the batch: it replaces what a failed try of the same batch left, and never what
+    another stream wrote to the same target. Staged tables of a batch are removed at its end. Dense
+    ids start anew with every batch and are refused.
     """
+    if ids == "dense":
+        raise ValueError("dense ids number the spans of one ingest; a stream has many")
+    stream = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint.rstrip("/")).hex
     reader = spark.readStream.format("text").options(**options)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -37,10 +49,14 @@ def stream_ingest(
     )
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        lines = number_lines(batch.withColumn("_at", F.monotonically_increasing_id()))
-        write_ops(
-            ingest(lines).ops, f"{target}/batch={batch_id}", mode="overwrite", version_row=False
-        )
+        own = f"stream={stream}/batch={batch_id}"
+        with stage_folder(batch.sparkSession, f"{stream}-{batch_id}"):
+            lines = number_lines(batch.withColumn("_at", F.monotonically_increasing_id()))
+            done = ingest(lines, ids=ids, zone=zone, attach_lobs=attach_lobs)
+            write_ops(done.ops, f"{target}/{own}", mode="overwrite", version_row=False)
+            done.rejects.write.mode("overwrite").parquet(f"{target}/_rejects/{own}")
+            done.orphans.write.mode("overwrite").parquet(f"{target}/_orphans/{own}")
+        remove_stages(batch.sparkSession, f"{stream}-{batch_id}")
 
     writer = text.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     if available_now:

@@ -4,12 +4,15 @@ import bz2
 import datetime as dt
 import gzip
 import lzma
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanloom.plans.ingest import ingest, ingest_stats
+from spanloom.sources.store import read_ops
 from spanloom.sources.trace import read_lines
+from spanloom.streaming.ingest import stream_ingest
 from tests import traces
 
 
@@ -44,6 +47,26 @@ def result(spark, files):
     return done, rows, lines
 
 
+NUMBERS = [
+    "EXEC #10:c=1,e=9223372036854775807,tim=5",
+    "EXEC #10:c=1,e=9223372036854775808,tim=5",
+    "EXEC #10:c=1,e=2,mis=2147483647,tim=5",
+    "EXEC #10:c=1,e=2,mis=2147483648,tim=5",
+    "ERROR #10:err=942 tim=9999999999999999999",
+    "WAIT #10: nam='x' ela= 9223372036854775807 p1=1 tim=5",
+    "WAIT #10: nam='x' ela= 9223372036854775808 p1=1 tim=5",
+    "EXEC #10:c=1,e=0000000000000000000000002,tim=5",
+]
+
+
+def test_large_numbers_are_kept_or_rejected(spark):
+    rows = [("f", i + 4, v) for i, v in enumerate(NUMBERS)]
+    done = ingest(spark.createDataFrame(rows, "file_name string, line bigint, value string"))
+    assert {r["line"]: r["elapsed_time"] for r in done.ops.collect()} == {4: 2**63 - 1, 6: 2, 9: 2**63 - 1, 11: 2}
+    found = {(r["line"], r["reason"]) for r in done.rejects.collect()}
+    assert found == {(line, "range") for line in (5, 7, 8, 10)}
+
+
 def test_every_codec_gives_the_same_rows(result):
     _, rows, _ = result
     plain = [r.asDict() for r in rows["simple.trc"]]
@@ -171,3 +194,19 @@ def test_line_numbers_do_not_depend_on_splits(spark, tmp_path):
         assert lines.count() == 2000 and wrong.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_two_streams_share_a_target(spark, tmp_path):
+    for name, line in (("one", "EXEC #10:c=1,e=2,tim=3"), ("two", "EXEC #11:c=1,e=2,ti")):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.trc").write_text("\n".join(["p"] * 3 + [line, "nothing known"]))
+        for _ in range(2):  # the second run of a stream finds nothing new
+            stream_ingest(spark, str(folder), str(tmp_path / "out"), str(tmp_path / f"state_{name}")).awaitTermination()
+    assert [r["cursor_id"] for r in read_ops(spark, str(tmp_path / "out")).collect()] == ["#10"]
+    assert [r["value"] for r in spark.read.parquet(str(tmp_path / "out/_rejects")).collect()] == ["EXEC #11:c=1,e=2,ti"]
+    assert spark.read.parquet(str(tmp_path / "out/_orphans")).count() == 2
+    left = spark.conf.get("spark.checkpoint.dir") + "/spanloom"
+    assert not [f for f in os.listdir(left) if f.endswith("-0")]
+    with pytest.raises(ValueError):
+        stream_ingest(spark, "f", "t", "c", ids="dense")
