@@ -36,6 +36,8 @@ class ByteCoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids are kept in 16 bits")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
