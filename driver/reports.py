@@ -219,23 +219,25 @@ REPORT_QUERIES = {
     "percentile_lines": (
         lambda s, d: H.percentile_lines(
             H.histogram(ops_view(s, d), wait_name="db file sequential read"), "name"
-        ).select("name", "value"),
+        ).select("name", F.round("position", 9).alias("position"), "value"),
         f"""{_HIST_WAIT}{_DIST}, d as ({_DIST_COLS}),
         z as (select name, sum((value_low + (value_high - value_low + 1) // 2) * count) / sum(count)::double as mean,
           sum((value_low + (value_high - value_low + 1) // 2) ** 2 * count) / sum(count)::double as sq, max(value_high) as top, sum(count) as n from h group by name)
-        select name, case when inverse is null then format('{{:12.1f}} {{:2.12f}} {{:10d}}', value::double, percentile, total_count)
+        select name, round(1 + percentile, 9) as position, case when inverse is null then format('{{:12.1f}} {{:2.12f}} {{:10d}}', value::double, percentile, total_count)
           else format('{{:12.1f}} {{:2.12f}} {{:10d}} {{:14.2f}}', value::double, percentile, total_count, inverse) end as value from d
-        union all select name, '       Value     Percentile TotalCount 1/(1-Percentile)' from z
-        union all select name, '' from z
-        union all select name, format('#[Mean    = {{:12.1f}}, StdDeviation   = {{:12.1f}}]', mean, sqrt(sq - mean * mean)) from z
-        union all select name, format('#[Max     = {{:12.1f}}, Total count    = {{:12d}}]', top::double, n::bigint) from z
-        union all select name, format('#[Buckets = {{:12d}}, SubBuckets     =           32]', greatest(26, length(bin(top::bigint)) - 4)) from z""",
+        union all select name, 0, '       Value     Percentile TotalCount 1/(1-Percentile)' from z
+        union all select name, 0.1, '' from z
+        union all select name, 3, format('#[Mean    = {{:12.1f}}, StdDeviation   = {{:12.1f}}]', mean, sqrt(sq - mean * mean)) from z
+        union all select name, 4, format('#[Max     = {{:12.1f}}, Total count    = {{:12d}}]', top::double, n::bigint) from z
+        union all select name, 5, format('#[Buckets = {{:12d}}, SubBuckets     =           32]', greatest(26, length(bin(top::bigint)) - 4)) from z""",
     ),
     "histogram_summary": (
         lambda s, d: H.histogram_summary(
             H.histogram(ops_view(s, d), wait_name="db file sequential read"), ["name"]
-        ).select("name", F.round("mean", 3).alias("mean"), "max", "total_count"),
-        f"""{_HIST_WAIT} select name, round(sum((value_low + (value_high - value_low + 1) // 2) * count) / sum(count)::double, 3) as mean,
-        max(value_high) as max, cast(sum(count) as bigint) as total_count from h group by name""",
+        ).select("name", F.round("mean", 3).alias("mean"), F.round("std_deviation", 3).alias("std_deviation"), "max", "total_count"),
+        f"""{_HIST_WAIT}, m as (select *, value_low + (value_high - value_low + 1) // 2 as mid from h)
+        select name, round(sum(mid * count) / sum(count)::double, 3) as mean,
+        round(sqrt(sum(mid ** 2 * count) / sum(count)::double - (sum(mid * count) / sum(count)::double) ** 2), 3) as std_deviation,
+        max(value_high) as max, cast(sum(count) as bigint) as total_count from m group by name""",
     ),
 }

@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driver.views import DUCK_OPS, DUCK_TRACE, ops_view, trace_view
+from spanloom.functions import trace_text as X
 from spanloom.operators.classify import assemble, classify
 from spanloom.operators.clock import assign_clock
-from spanloom.operators.context import fill_context
+from spanloom.operators.context import CONTEXT, fill_context
 from spanloom.operators.parse import parse_records
 from spanloom.operators.render import render_line
 from spanloom.operators.spans import assign_spans, resolve_sql_id, span_op_counts, validate
 from spanloom.plans.export import export_events, export_spans
 from spanloom.plans.ingest import ingest, ingest_stats
+from spanloom.schema import OPS_SCHEMA
 from spanloom.sources.stage import stage, stage_path
-from spanloom.sources.store import jdbc_rows, read_ops, write_ops
+from spanloom.sources.store import RELATIONAL_NAMES, jdbc_rows, read_ops, write_ops
 from spanloom.sources.trace import read_lines
-from spanloom.functions import trace_text as X
 from spanloom.streaming.ingest import stream_ingest
 
 _CALL = X.CALL
@@ -41,7 +42,7 @@ c as (select file_name, line, value, call, owner_line, case
   when regexp_matches(value, '^LOB[A-Z]+:* ') then 'LOB'
   when value like '=====================%' then 'RESET'
   when regexp_matches(value, '^\*{{3}} \d{{4}}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{{6}}[+-]\d\d:\d\d') then 'STAR'
-  when regexp_matches(value, '^\*\*\* (CLIENT ID|MODULE NAME|CONTAINER ID):\(.*\) ') then 'STAR'
+  when regexp_matches(value, '^\*\*\* (CLIENT ID|MODULE NAME|ACTION NAME|SERVICE NAME|SESSION ID|CONTAINER ID):\(.*\) ') then 'STAR'
   when regexp_matches(value, '^Node name:\s+') then 'HEADER'
   else 'ORPHAN' end as kind from b),
 d as (select *, case when kind = 'CALL' then replace(call, 'PARSING IN CURSOR', 'PIC')
@@ -227,9 +228,7 @@ def _stream_rejects(spark, sf_dir: str) -> DataFrame:
 def _round_trip(spark, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "ops")
     write_ops(ops_view(spark, sf_dir), path)
-    return read_ops(spark, path).select(
-        "span_id", "sql_id", "cursor_id", "ops", "elapsed_time", "tim", "event_name", "event_raw", "file_name", "line", "ts"
-    )
+    return read_ops(spark, path)
 
 
 # The same text cut into files of 8000 line numbers, renumbered; then counted by kind of record.
@@ -271,6 +270,25 @@ def _with_stars(spark, sf_dir: str) -> DataFrame:
     return ops_view(spark, sf_dir).withColumn("ops", F.expr(_KIND.removesuffix(" as ops")))
 
 
+_CONTEXT_SQL = ", ".join(
+    f"last_value(case when event_name = '{name}' then event_raw{'::integer' if column == 'container_id' else ''} end "
+    f"ignore nulls) over w as {column}"
+    for column, name in CONTEXT.items()
+)
+# All columns of the fact table from the view, NULL where the view has none.
+_DUCK_TYPES = {"bigint": "bigint", "int": "integer", "string": "varchar", "timestamp_ntz": "timestamp"}
+_VIEWED = {
+    "span_id", "sql_id", "cursor_id", "ops", "cpu_time", "elapsed_time", "ph_reads", "cr_reads", "current_reads",
+    "rows_processed", "tim", "event_name", "event_raw", "file_name", "line", "ts", "client_id",
+}
+
+
+def _all_columns(named: dict[str, str], only: set[str], names: dict[str, str]) -> str:
+    kinds = {f.name: _DUCK_TYPES[f.dataType.simpleString()] for f in OPS_SCHEMA.fields}
+    value = {c: named.get(c, c) if c in only else "null" for c in kinds}
+    return ", ".join(f"cast({value[c]} as {kind}) as {names.get(c, c)}" for c, kind in kinds.items())
+
+
 def _rejects(spark, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir).where("reject is not null")
 
@@ -367,13 +385,10 @@ TRACE_QUERIES = {
     ),
     "fill_context": (
         lambda s, d: fill_context(_stored(s, d)).select(
-            "file_name", "line", "ops", "client_id", "module", "container_id", "sid"
+            "file_name", "line", "ops", *CONTEXT
         ),
         f"""{_RECORDS} select file_name, line, ops,
-        last_value(case when event_name = 'CLIENT ID' then event_raw end ignore nulls) over w as client_id,
-        last_value(case when event_name = 'MODULE NAME' then event_raw end ignore nulls) over w as module,
-        last_value(case when event_name = 'CONTAINER ID' then event_raw::integer end ignore nulls) over w as container_id,
-        null::varchar as sid from rec window w as (partition by file_name order by line)""",
+        {_CONTEXT_SQL} from rec window w as (partition by file_name order by line)""",
     ),
     "resolve_sql_id": (
         lambda s, d: resolve_sql_id(_stored(s, d).where("cursor_id is not null")).select(
@@ -450,14 +465,15 @@ TRACE_QUERIES = {
     "jdbc_rows": (
         lambda s, d: jdbc_rows(
             ops_view(s, d).withColumn("event_raw", F.repeat("event_raw", 80))
-        ).select("span_id", "sql_id", "cursor_id", "ops", "wait_name", "wait_raw", "line"),
-        f"""with v as ({DUCK_OPS}) select span_id, sql_id, cursor_id, ops, event_name as wait_name,
-        repeat(event_raw, 80) as wait_raw, line from v""",
+        ),
+        f"""with v as ({DUCK_OPS})
+        select {_all_columns({"event_raw": "repeat(event_raw, 80)"}, _VIEWED, RELATIONAL_NAMES)} from v""",
     ),
     "write_read_parquet": (
         _round_trip,
-        f"""with v as ({DUCK_OPS}) select span_id, sql_id, cursor_id, ops, elapsed_time, tim, event_name, event_raw, file_name, line, ts from v
-        union all select null, null, null, 'HEADER', null, null, 'PARQUET_SCHEMA', '0.4', null, null, null""",
+        f"""with v as ({DUCK_OPS}) select {_all_columns({}, _VIEWED, {})} from v union all select {_all_columns(
+            {"ops": "'HEADER'", "event_name": "'PARQUET_SCHEMA'", "event_raw": "'0.4'"}, {"ops", "event_name", "event_raw"}, {}
+        )}""",
     ),
     "stream_ingest": (
         _stream,

@@ -59,7 +59,7 @@ from (
       case
         when event_id % 67 = 3 then concat('*** ', stamp, '+02:00 (PDB(3))')
         when event_id % 71 = 5 then concat('*** CLIENT ID:(c', cast(user_id % 5 as {S}), ') ', stamp, '-01:30')
-        when event_id % 73 = 7 then concat('*** MODULE NAME:((m', cast(user_id % 3 as {S}), ')) ', stamp)
+        when event_id % 73 = 7 then concat('*** ', case event_id % 4 when 0 then 'MODULE NAME' when 1 then 'ACTION NAME' when 2 then 'SERVICE NAME' else 'SESSION ID' end, ':((m', cast(user_id % 3 as {S}), ')) ', stamp)
         when event_id % 79 = 9 then concat('*** CONTAINER ID:(', cast(user_id % 9 as {S}), ') ', stamp, '+00:00')
         when event_id % 83 = 1 then concat('Node name:   host', cast(user_id % 6 as {S}), '.example.com')
         when event_id % 89 = 2 then '====================='
