@@ -30,7 +30,7 @@ from spanloom.llm.sketch import bloom, contains, row_counts, slices_for
 from spanloom.sources.stage import stage
 
 COUNTERS = 1 << 22
-ROUNDS = 4
+ROUNDS = 2
 LEADERS = 4
 WORDS = 500_000  # words kept in a worker
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -216,7 +216,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
         if links is None:
             grouped = lists.withColumn("_root", F.col("_set"))
         else:
-            roots = components(links).withColumnRenamed("node", "_set")
+            roots = stage(components(links), "roots")
+            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # as good as the links so far
+            roots = roots.withColumnRenamed("node", "_set")
             grouped = stage(lists.join(roots, "_set", "left").withColumn("_root", F.coalesce("root", "_set")).drop("root"), "grouped_lists")
         picks = [F.min(F.struct(F.xxhash64("_set", F.lit(LEADERS * turn + i)), "_set", "_n", "_place")) for i in range(LEADERS)]
         largest = (
