@@ -11,7 +11,9 @@ similar sets share one of their first ``n - ceil(t n) + 1`` shingles, and the jo
   ``ROUNDS`` such rounds the sets still outside are joined with all sets of the list that are in another
   component. So a group of copies, however large, is linked through few leaders and not paired with
   itself, and every pair that could join two components is verified.
-* A pair is verified once: a suffix filter bounds the common shingles before they are counted.
+* Sets carry parity bits: bit i tells whether an odd number of their shingles hash to i. Two sets differ in
+  at least as many shingles as in bits, so most pairs that can't be similar are known by a few words.
+* A pair is verified once, from the texts: a suffix filter bounds the common shingles before they are counted.
 
 Sets are named by 64-bit hashes of all their shingles.
 """
@@ -31,6 +33,7 @@ from spanloom.sources.stage import stage
 
 COUNTERS = 1 << 22
 ROUNDS = 2
+BITS = 1024
 LEADERS = 4
 WORDS = 500_000  # words kept in a worker
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -66,6 +69,12 @@ class Shingles:
         return np.unique(mixed)
 
 
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """``BITS`` parity bits as 64-bit integers."""
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The rare shingles of a set by which a similar one must be found, in the global order."""
     rarity = counts[(shingles % np.uint64(len(counts))).astype(np.int64)]
@@ -95,8 +104,12 @@ def similar(one: np.ndarray, other: np.ndarray) -> bool:
     return len(np.intersect1d(one, other, assume_unique=True)) >= need
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, name: str) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) whose sets are similar, as a table."""
+def _verified(pairs: DataFrame, bits: DataFrame, texts: DataFrame, words: int, name: str) -> DataFrame:
+    """Those of ``pairs`` (``a``, ``b``) whose sets are similar, as a table. The bits of all pairs are
+    compared first, the texts of those that are left are brought together then."""
+    left, right = (bits.select(F.col("_set").alias(c), F.col("_n").alias(f"_n{c}"), F.col("_bits").alias(f"_{c}")) for c in "ab")
+    apart = "aggregate(zip_with(_a, _b, (x, y) -> bit_count(x ^ y)), 0, (sum, n) -> sum + n)"
+    pairs = pairs.join(left, "a").join(right, "b").where(f"9 * {apart} <= _na + _nb").select("a", "b")
 
     def check():
         make = Shingles(words)
@@ -153,11 +166,13 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
         def one(value):
             shingles = make(value)
             if not len(shingles):
-                return 0, None, None, None
+                return 0, None, None, None, None, None
             name = xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
             own = prefix(shingles, counts.value)
             at = np.flatnonzero(contains(known.value, own))
-            return len(shingles), name, own[at].view(np.int64).tolist(), at.tolist()
+            bits = parity_bits(shingles)
+            few = np.bitwise_xor.reduce(bits.reshape(-1, 2), axis=0)  # as if there were 128 bits
+            return len(shingles), name, own[at].view(np.int64).tolist(), at.tolist(), bits.tolist(), few.tolist()
 
         return one
 
@@ -165,15 +180,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
         docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")),
         describe,
         ["_text"],
-        "_n long, _set long, _tokens array<long>, _places array<int>",
+        "_n long, _set long, _tokens array<long>, _places array<int>, _bits array<long>, _few array<long>",
     ).drop("_text")
     rows = stage(rows, "shingle_sets")
-    sets = rows.where("_set is not null").groupBy("_set").agg(F.first("_n").alias("_n"), F.first("_tokens").alias("_tokens"), F.first("_places").alias("_places"))
-    lists = stage(
-        sets.select("_set", "_n", F.explode(F.arrays_zip("_tokens", "_places")).alias("_t")).select(
-            F.col("_t._tokens").alias("_token"), "_set", "_n", F.col("_t._places").alias("_place")
-        ),
-        "shingle_lists",
+    own = ["_n", "_tokens", "_places", "_bits", "_few"]
+    sets = rows.where("size(_tokens) > 0").groupBy("_set").agg(*[F.first(c).alias(c) for c in own])
+    sets = stage(sets, "candidate_sets")
+    lists = sets.select("_set", "_n", "_few", F.explode(F.arrays_zip("_tokens", "_places")).alias("_t")).selectExpr(
+        "_t._tokens as _token", "_set", "_n", "_t._places as _place", "_few[0] as _few0", "_few[1] as _few1"
     )
     shared = stage(
         lists.groupBy("_token").agg(F.min("_set").alias("_low"), F.max("_set").alias("_high")).where("_low < _high").select("_token"),
@@ -181,6 +195,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     )
     lists = stage(lists.join(shared, "_token"), "shared_lists")
     sizes = stage(lists.select("_set").distinct(), "shared_sets")
+    bits = sets.select("_set", "_n", "_bits")
 
     def wanted():
         return lambda part: part.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
@@ -209,7 +224,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     found = flat_map(texts, carry, "_set long, _text string")
     bodies = stage(found.groupBy("_set").agg(F.first("_text").alias("_text")), "shared_texts", compression="zstd")
 
-    need = "4 * (x._n + y._n) <= 9 * least(x._n - x._place, y._n - y._place)"
+    need = """4 * (x._n + y._n) <= 9 * least(x._n - x._place, y._n - y._place)
+        and 9 * (bit_count(x._few0 ^ y._few0) + bit_count(x._few1 ^ y._few1)) <= x._n + y._n"""
     pair = [F.expr("greatest(x._set, y._set)").alias("a"), F.expr("least(x._set, y._set)").alias("b")]
     links = tried = None
     for turn in range(ROUNDS + 1):
@@ -220,7 +236,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
             links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # as good as the links so far
             roots = roots.withColumnRenamed("node", "_set")
             grouped = stage(lists.join(roots, "_set", "left").withColumn("_root", F.coalesce("root", "_set")).drop("root"), "grouped_lists")
-        picks = [F.min(F.struct(F.xxhash64("_set", F.lit(LEADERS * turn + i)), "_set", "_n", "_place")) for i in range(LEADERS)]
+        picks = [F.min(F.struct(F.xxhash64("_set", F.lit(LEADERS * turn + i)), "_set", "_n", "_place", "_few0", "_few1")) for i in range(LEADERS)]
         largest = (
             grouped.groupBy("_token", "_root")
             .agg(F.count("*").alias("_sets"), F.array_distinct(F.array(*picks)).alias("_leaders"))
@@ -241,7 +257,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
             found = x.join(y, F.expr(f"x._token = y._token and x._root <> y._root and {need} and {once}"))
         pairs = found.select(pair).distinct()
         pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        new = _verified(pairs, bodies, words, "links")
+        new = _verified(pairs, bits, bodies, words, "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
 

@@ -7,7 +7,7 @@ import pytest
 
 from spanloom.llm.embed import near_vectors, visits
 from spanloom.llm.graph import components
-from spanloom.llm.jaccard import Shingles, least_common, most_common, near_groups, similar
+from spanloom.llm.jaccard import Shingles, least_common, most_common, near_groups, parity_bits, similar
 from tests.llm.tables import awkward_texts, crowded, documents, words
 
 
@@ -139,3 +139,15 @@ def test_visits_come_nearest_first():
 
     first, second = np.array([0.3, 0.0, 0.1]), np.array([0.2, 0.05, 0.0])
     assert visits(first, second, 0.25) == [(1, [2, 1, 0]), (2, [2, 1])]
+
+
+def test_parity_bits_bound_the_difference():
+    make = Shingles(5)
+    for seed in range(30):
+        one = words(seed, 50 + 20 * seed, 10**5).split()
+        other = one[: 40 + 10 * seed] + words(seed + 900, 3 * seed, 10**5).split()
+        a, b = make(" ".join(one)), make(" ".join(other))
+        pairs = zip(parity_bits(a).tolist(), parity_bits(b).tolist(), strict=True)
+        differ = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in pairs)
+        assert differ <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert not similar(a, b) or 9 * differ <= len(a) + len(b)
