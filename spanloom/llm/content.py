@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.rows import flat_map, map_rows
+from spanloom.llm.rows import flat_map, hashed_sample, map_rows
 
 #: Fixed values of the HTML standard and of common usage.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -152,7 +152,10 @@ def fit_tags(pages: DataFrame, key: str = "page_id", text: str = "html", most: i
     word, which tags not seen at all cost, too.
     """
     named = F.lower(F.col(text)).rlike("<(article|main)[\\s>]|articlebody")
-    chosen = pages.where(named).orderBy(F.xxhash64(key, F.length(text))).limit(most).select(text).repartition(8)
+    keys = pages.where(named).select(F.col(key).alias("_key"), F.length(text).alias("_size"))
+    chosen = hashed_sample(keys.distinct(), most, "_key", "_size")
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.length(text) == F.col("_size"))
+    chosen = pages.join(F.broadcast(chosen), same, "left_semi").select(text)
 
     def count():
         def some(part: pa.RecordBatch):

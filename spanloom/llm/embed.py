@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from spanloom.llm.graph import components
-from spanloom.llm.rows import flat_map, nullable
+from spanloom.llm.rows import flat_map, hashed_sample, nullable
 from spanloom.sources.stage import stage
 
 BLOCK = 4096  # vectors of a block, about
@@ -97,7 +97,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _slack(uniq: DataFrame, grid: Grid, limit: float, recall: float, width: int) -> float:
     """Squared slack at which the sample's links to all rows are found."""
     least = 16 * (2 - 2 * limit) / width
-    rows = uniq.orderBy(F.xxhash64("_node", F.lit(3)), "_node").limit(QUERIES).collect()
+    rows = hashed_sample(uniq, QUERIES, "_node", seed=3).collect()
     queries = unit(np.array([r["_vector"] for r in rows], np.float64))
     names = np.array([r["_node"] for r in rows])
     (_, first), (_, second) = grid.places(queries)
@@ -172,7 +172,7 @@ def _links(same: DataFrame, most: dict, limit: float, recall: float) -> DataFram
     ``n`` 0 join vectors of the block that share a visitor."""
     spark = same.sparkSession
     context = spark.sparkContext
-    sample = same.orderBy(F.xxhash64("_node", F.lit(2)), "_node").limit(SAMPLE).select("_vector").collect()
+    sample = hashed_sample(same, SAMPLE, "_node", seed=2).select("_vector").collect()
     per_half = int(max(2, min(1024, round(most["count"] ** 0.5 / 4))))
     grid = Grid(unit(np.array([r[0] for r in sample], np.float64)), per_half)
     slack = _slack(same, grid, limit, recall, most["_size"])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm.logistic import fit
-from spanloom.llm.rows import flat_map, map_rows, others
+from spanloom.llm.rows import flat_map, hashed_sample, map_rows, others
 from spanloom.sources.stage import stage
 
 KEPT = 4096
@@ -108,13 +108,10 @@ def fit_toxicity(
     """A model from the labelled texts (label 1: toxic). Rows with a null key or label are left out; a
     key labelled more than once counts once for each label. Without rows of both labels every text gets
     the share of label 1."""
-    chosen = (
-        labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
-        .select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
-        .distinct()
-        .orderBy(F.xxhash64("_key"), "_key", "_label")
-        .limit(most)
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).select(
+        F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")
     )
+    chosen = hashed_sample(known.distinct(), most, "_key", "_label")
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
 
     def extract():

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm.logistic import fit
-from spanloom.llm.rows import map_rows
+from spanloom.llm.rows import hashed_sample, map_rows
 
 SIZE = 1 << 16
 GRAMS = (3, 4, 5)
@@ -53,14 +53,10 @@ def fit_urls(labelled: DataFrame, url: str = "url", label: str = "label", most:
     """Weights and bias from rows (url, label 1: block, 0: allow). Null labels are left out; at most
     ``most`` distinct rows are used. Without rows of both labels no URL gets a reason to be blocked."""
     host, path = host_and_path(F.col(url))
-    rows = (
-        labelled.where(F.col(label).isNotNull())
-        .select(host.alias("host"), path.alias("path"), F.col(label).cast("int").alias("label"))
-        .distinct()
-        .orderBy(F.xxhash64("host", "path"), "label")
-        .limit(most)
-        .collect()
+    known = labelled.where(F.col(label).isNotNull()).select(
+        host.alias("host"), path.alias("path"), F.col(label).cast("int").alias("label")
     )
+    rows = hashed_sample(known.distinct(), most, "host", "path", "label").collect()
     return fit([features(r["host"], r["path"]) for r in rows], np.array([r["label"] for r in rows]), SIZE, ridge=0.5)
 
 

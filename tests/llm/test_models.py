@@ -53,10 +53,10 @@ def test_model_without_both_labels(spark):
     assert fit([np.array([1])] * 3, np.zeros(3), 4)[1] < 0
 
 
-def _labelled():
+def _labelled(count=240):
     pick = random.Random(2)
     rows = []
-    for i in range(240):
+    for i in range(count):
         toxic = i % 6 == 0
         text = words(i, 40).split()
         if toxic:
@@ -67,12 +67,12 @@ def _labelled():
 
 
 def test_toxicity(spark):
-    rows = _labelled()
+    rows = _labelled(720)
     docs = documents(spark, [r[:2] for r in rows])
-    labels = spark.createDataFrame([(r[0], 0, r[2]) for r in rows[:200]] + [(None, 0, 1), (1, 0, None)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(r[0], 0, r[2]) for r in rows[:600]] + [(None, 0, 1), (1, 0, None)], "doc_id long, quality int, toxic int")
     model = fit_toxicity(crowded(docs), labels)
     scored = {r["doc_id"]: r["toxicity"] for r in score_toxicity(crowded(docs), model).collect()}
-    assert sum((scored[r[0]] >= 0.3) != bool(r[2]) for r in rows[200:]) <= 2  # these were not labelled
+    assert sum((scored[r[0]] >= 0.3) != bool(r[2]) for r in rows[600:]) <= 6  # these were not labelled
     odd = [(1, None), (2, ""), (3, "A vermin!"), (4, "vermin " * 3000), (5, "VERMIN"), (5, "VERMIN")]
     got = {r["doc_id"]: r["toxicity"] for r in score_toxicity(documents(spark, odd), model).collect()}
     assert got[1] == got[2] < min(0.3, got[3]) and got[4] == got[5] > 0.3
