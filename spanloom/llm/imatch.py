@@ -1,13 +1,16 @@
 """I-Match fingerprints with randomised lexicons.
 
-Terms whose inverse document frequency lies in a band form the lexicon. A fingerprint is made of hashes
-of the sorted distinct terms that a document has in each of several random parts of the lexicon. A part
-keeps one term of ``2**level``; the level follows the number of terms, so that a part holds about one
-term of the document, and a changed passage changes some hashes but not all. Two neighbouring levels
-are kept, so that texts of somewhat different length can still be compared.
-
-Document frequencies are counted over all rows in a table of ``CELLS`` hashed counters, which has a fixed
-size and goes to the executors whole; terms that share a counter count as more frequent than they are.
+Terms whose inverse document frequency lies in a band form the lexicon. A text with few of them also
+takes its rarest other terms, until it has two thirds of its distinct terms: near copies then share
+terms however common their words are. A fingerprint is made of hashes of the sorted terms taken that lie in
+each of several random parts of all terms. A part keeps one term of ``2**level``; the level follows the
+number of terms, so that a part holds about one term of the document, and a changed passage changes some
+hashes but not all. Two neighbouring levels are kept, so that texts of somewhat different length can
+still be compared.
+
+Document frequencies are exact and count distinct texts, so copies of one text don't make its words
+common. Each task adds up its terms before they are shuffled. Executors get the terms that are in the
+band or more common, and the number of copies of each repeated text.
 """
 
 from __future__ import annotations
@@ -22,13 +25,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from spanloom.llm.rows import map_rows, nullable, slices
-from spanloom.llm.sketch import row_counts
+from spanloom.sources.stage import stage
 
-CELLS = 1 << 21
 PARTS = 24  # random parts of the lexicon at each level
 DIGITS = 4  # hexadecimal digits of a hash
 BAND = (2.0, 12.0)  # natural logarithm of documents / document frequency
+LEAST = 8  # terms that a fingerprint takes at least, and two thirds of the text's terms
 WORDS = 400_000  # terms kept in a worker
+PENDING = 1 << 20  # terms that a task holds before it adds them up
+SENT = 100_000  # rows of a batch of added-up terms
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _MIX = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1) for k in range(PARTS)], np.uint64)
@@ -56,28 +61,86 @@ class Terms:
         return np.array(sorted(found), np.uint64)
 
 
-def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
-    """Hashed counters of all terms, and the number of rows."""
-
-    def hashes():
-        terms = Terms()
-        return lambda value: terms(value or "")
-
-    return row_counts(docs.select(text), hashes, CELLS)
-
-
-def lexicon(counts: np.ndarray, rows: int, band: tuple[float, float] = BAND) -> np.ndarray:
-    """Which counters lie in the band, as packed bits. A term of one document alone is never in."""
-    idf = np.log(max(1, rows) / np.maximum(counts, 1))
-    return np.packbits((counts > 1) & (idf >= band[0]) & (idf <= band[1]))
+class Lexicon:
+    """Terms (ascending) in the band, and those more common than the band, these with their frequencies."""
+
+    def __init__(self, inside: np.ndarray, common: np.ndarray, counts: np.ndarray):
+        self.inside, self.common, self.counts = inside, common, counts
+
+    def take(self, terms: np.ndarray) -> np.ndarray:
+        """All terms in the band, and the rarest others as long as there are fewer than ``LEAST``, or than
+        two thirds of the terms; terms rarer than the band are alike."""
+        held = _places(self.inside, terms) >= 0
+        missing = max(LEAST, (2 * len(terms) + 2) // 3) - int(held.sum())
+        if missing > 0:
+            others = np.flatnonzero(~held)
+            at = _places(self.common, terms[others])
+            rarity = np.zeros(len(others), np.int64)
+            rarity[at >= 0] = self.counts[at[at >= 0]]
+            held[others[np.lexsort((terms[others], rarity))[:missing]]] = True
+        return terms[held]
+
+
+def _places(known: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Where terms are in an ascending array, -1 for those that are not."""
+    if not len(known):
+        return np.full(len(terms), -1)
+    at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+    return np.where(known[at] == terms, at, -1)
+
+
+def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
+    """``(term, n)``: in how many distinct texts (null: empty) a term is, and the number of distinct texts.
+
+    Each of ``m`` copies of a text counts ``1 / m``; the sums are rounded to whole numbers."""
+    value = F.coalesce(F.col(text), F.lit(""))
+    slim = docs.select(value.alias("_text"), F.xxhash64(value).alias("_hash"))
+    texts = slim.groupBy("_hash").agg(F.count("*").alias("_copies"))
+    texts = stage(texts, "text_copies")
+    copies = texts.where("_copies > 1").orderBy("_hash").toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(copies.column(i).to_numpy() for i in (0, 1)))
+    schema = nullable("term long, n double")
+    arrow = to_arrow_schema(schema)
 
+    def summed(found, weights):
+        names, own = np.unique(np.concatenate(found), return_inverse=True)
+        sums = np.bincount(own, np.repeat(weights, [len(f) for f in found]))
+        for at in range(0, len(names), SENT):
+            columns = names[at : at + SENT].view(np.int64), sums[at : at + SENT]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-def fingerprint(terms: np.ndarray, inside: np.ndarray) -> str:
+    def local(batches):
+        terms, (repeated, times) = Terms(), shared.value
+        found, weights, held = [], [], 0
+        for part in slices(batches):
+            at = _places(repeated, part.column("_hash").to_numpy())
+            for value, i in zip(part.column("_text").to_pylist(), at.tolist(), strict=True):
+                found.append(terms(value))
+                weights.append(1.0 if i < 0 else 1 / int(times[i]))
+                held += len(found[-1])
+            if held > PENDING:
+                yield from summed(found, weights)
+                found, weights, held = [], [], 0
+        if held:
+            yield from summed(found, weights)
+
+    counts = slim.mapInArrow(local, schema).groupBy("term").agg(F.round(F.sum("n")).cast("long").alias("n"))
+    return counts, texts.count()
+
+
+def lexicon(counts: DataFrame, texts: int, band: tuple[float, float] = BAND) -> Lexicon:
+    """The lexicon of a band. A term of one text alone is never in."""
+    least, most = (texts / np.exp(b) for b in band[::-1])
+    found = counts.where((F.col("n") > 1) & (F.col("n") >= float(least))).toArrow()
+    names, n = found.column("term").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(names)
+    names, n = names[order], n[order]
+    return Lexicon(names[n <= most], names[n > most], n[n > most])
+
+
+def fingerprint(terms: np.ndarray, known: Lexicon) -> str:
     """``level:hashes;level:hashes``, a hash of dots for a part without terms; ``-`` without any term."""
-    cell = (terms % np.uint64(CELLS)).astype(np.int64)
-    own = terms[(inside[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1]
-    if not len(own):
-        own = terms  # texts of common or unique words alone: all of them
+    own = known.take(terms)
     if not len(own):
         return "-"
     with np.errstate(over="ignore"):
@@ -115,8 +178,8 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(lexicon(*document_frequencies(docs, text)))
 
     def one():
-        inside, terms = shared.value, Terms()
-        return lambda value: (fingerprint(terms(value or ""), inside),)
+        known, terms = shared.value, Terms()
+        return lambda value: (fingerprint(terms(value or ""), known),)
 
     return map_rows(docs, one, [text], "_fingerprint string")
 
@@ -180,19 +243,19 @@ def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     arrow = to_arrow_schema(schema)
 
     def stream(batches):
-        inside, terms = shared.value, Terms()
+        known, terms = shared.value, Terms()
         last = None  # key, text, and fingerprint of the row before, still without its next
         for part in slices(batches):
             out = []
             for row_key, value, extra in zip(*(part.column(c).to_pylist() for c in ("_key", "_text", "_extra")), strict=True):
                 if extra and last is None:
                     continue  # another copy of a block's first row
-                own = fingerprint(terms(value), inside)
+                own = fingerprint(terms(value), known)
                 if last is not None:
                     old_key, old, old_print = last
                     cut = len(old) // 3
                     edited = old[: len(old) - cut] + value[:cut]
-                    print_ = fingerprint(terms(edited), inside)
+                    print_ = fingerprint(terms(edited), known)
                     out.append((old_key, len(old), edited, old_print, print_, likeness(old_print, print_), likeness(old_print, own)))
                 last = None if extra else (row_key, value, own)
             if out:

@@ -153,6 +153,23 @@ def test_edited_texts_and_fingerprints(spark):
     assert np.mean([r["near_edited"] for r in got.values()]) > np.mean([r["near_next"] for r in got.values()]) + 0.2
 
 
+@pytest.mark.parametrize("near", [False, True])
+def test_copies_of_a_third_of_the_rows_stay_alike(spark, near):
+    base = words(77, 120, 10**6).split()
+    rows = [(i, words(900 + i, 100, 3000)) for i in range(120)]
+    for i in range(120, 180):  # copies, or every one with a word of its own; some rows with words of other texts
+        own = list(base)
+        if near:
+            own[i % 100] = f"own{i}"
+        if i % 10 == 0:
+            own[i % 7 : i % 7 + 4] = rows[i - 120][1].split()[:4]
+        rows.append((i, " ".join(own)))
+    got = {r["doc_id"]: r for r in edited_and_next(documents(spark, rows)).collect()}
+    assert all(got[i]["near_edited"] > (0.2 if i > 120 else 0) for i in range(120, 180))
+    assert all(got[i]["near_next"] > 0.5 for i in range(121, 180))
+    assert max(got[i]["near_next"] for i in range(121)) < 0.5
+
+
 def test_one_document_follows_itself(spark):
     row = edited_and_next(documents(spark, [(7, "abcdef")])).first()
     assert row["edited"] == "abcdab" and row["near_next"] == 1.0
