@@ -135,8 +135,8 @@ def near_vectors(
     """One row per row of ``table``: key, ``n_links``, ``component_id``, ``kept``.
 
     Linked are other rows of a cosine of ``limit`` or more. Null and zero vectors, and those with a null
-    or non-finite component, link with nothing. Vectors whose length is not the most common one link
-    with equal ones alone. A row with a null key counts as a link of others, but gives no component its
+    or non-finite component, link with nothing. Vectors of different lengths don't link; each length is
+    searched on its own. A row with a null key counts as a link of others, but gives no component its
     name. Rows that repeat a key are rows of their own. Other columns are not read.
     """
     spark = table.sparkSession
@@ -147,11 +147,17 @@ def near_vectors(
     )
     same = rows.where("_node is not null").groupBy("_node").agg(F.first("_vector").alias("_vector"), F.count("*").alias("_weight"), F.min("_key").alias("_first"))
     same = stage(same, "vectors")
-    lengths = same.groupBy(F.size("_vector").alias("_size")).count().orderBy(F.desc("count"), "_size").limit(1).collect()
-    if lengths and lengths[0]["_size"] > 1:
-        found = stage(_links(same.where(F.size("_vector") == lengths[0]["_size"]), lengths[0], limit, recall), "vector_links")
-    else:
-        found = spark.createDataFrame([], "a long, b long, n long")
+    lengths = same.groupBy(F.size("_vector").alias("_size")).count().where("count > 1").orderBy(F.desc("count"), "_size").collect()
+    wide = [r for r in lengths if r["_size"] > 1]
+    large = [r for i, r in enumerate(wide) if not i or r["count"] > BLOCK]
+    parts = [_links(same.where(F.size("_vector") == r["_size"]), r, limit, recall) for r in large]
+    if len(wide) > len(large):
+        parts.append(_all_pairs(same.where(~F.size("_vector").isin(1, *(r["_size"] for r in large))), limit))
+    if len(wide) < len(lengths):
+        parts.append(_signs(same.where(F.size("_vector") == 1)))
+    found = spark.createDataFrame([], "a long, b long, n long")
+    for part in parts:
+        found = found.unionByName(stage(part, "vector_links"))
     counts = found.groupBy("a").agg(F.sum("n").alias("_others")).withColumnRenamed("a", "_node")
     roots = components(found.where("b is not null").select("a", "b"), "vector_components").withColumnRenamed("node", "_node")
     known = same.select("_node", "_weight", "_first").join(counts, "_node", "left").join(roots, "_node", "left")
@@ -211,6 +217,27 @@ def _links(same: DataFrame, most: dict, limit: float, recall: float) -> DataFram
         return some
 
     dealt = flat_map(same.select("_node", "_weight", "_vector"), deal, "_block long, _role int, _node long, _weight long, _vector array<double>, _cells array<int>")
+    return _compared(dealt, limit)
+
+
+def _all_pairs(same: DataFrame, limit: float) -> DataFrame:
+    """Links as ``_links`` gives them, of lengths with few vectors: a block holds all of a length."""
+    role = F.explode(F.array(F.lit(0), F.lit(1))).alias("_role")
+    return _compared(
+        same.select(F.size("_vector").cast("long").alias("_block"), role, "_node", "_weight", "_vector", F.array(F.lit(0)).alias("_cells")), limit
+    )
+
+
+def _signs(same: DataFrame) -> DataFrame:
+    """Links as ``_links`` gives them, of vectors of length 1: those of the same sign link."""
+    signed = same.select("_node", "_weight", (F.col("_vector")[0] > 0).alias("_sign"))
+    groups = signed.groupBy("_sign").agg(F.sum("_weight").alias("_all"), F.min("_node").alias("_low"), F.max("_node").alias("_high"))
+    return signed.join(F.broadcast(groups.where("_low < _high")), "_sign").select(
+        F.col("_node").alias("a"), F.when(F.col("_node") == F.col("_low"), F.col("_high")).otherwise(F.col("_low")).alias("b"), (F.col("_all") - F.col("_weight")).alias("n")
+    )
+
+
+def _compared(dealt: DataFrame, limit: float) -> DataFrame:
     dealt = dealt.repartition("_block").sortWithinPartitions("_block", "_role")
     schema = nullable("a long, b long, n long")
     arrow = to_arrow_schema(schema)

@@ -127,6 +127,28 @@ def test_near_vectors(spark):
     assert all(r["kept"] == (r["vec_id"] is not None and r["vec_id"] == r["component_id"]) for r in got)
 
 
+def test_vectors_of_every_length_are_searched(spark):
+    pick = random.Random(4)
+    rows = []
+    for width, count in ((16, 30), (7, 12), (5, 12), (1, 6)):
+        base = [pick.gauss(0, 1) for _ in range(width)]
+        for i in range(count):
+            away = base if i % 3 else [-x for x in base]
+            rows.append((len(rows), [(1 + i) * x + (0 if i % 2 else pick.gauss(0, 0.01)) for x in away]))
+
+    def linked(a, b):
+        sizes = math.sqrt(sum(x * x for x in a) * sum(x * x for x in b))
+        return len(a) == len(b) and sum(x * y for x, y in zip(a, b, strict=True)) / sizes >= 0.95
+
+    links = [(i, j) for i, a in rows for j, b in rows if i < j and linked(a, b)]
+    roots = _roots(range(len(rows)), links)
+    want = {i: (sum(i in p for p in links), roots[i]) for i in roots}
+    for some in (rows, rows[-6:]):  # the second table has vectors of length 1 alone
+        table = spark.createDataFrame(some, "vec_id long, embedding array<double>").repartition(3)
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(table).collect()}
+        assert got == {i: want[i] for i, _ in some}
+
+
 def test_no_vectors(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors(table).collect() == []
