@@ -4,7 +4,8 @@ Two codebooks, one for each half of the vectors, form a grid of cells. A vector'
 nearest centroids. For another cell there is a bound of how near its vectors can be: the distances of
 the two halves to the planes between centroids. Cells are visited nearest first, up to a slack, and all
 vectors in them are compared. The slack is the least at which brute force over all rows, for a sample of
-queries, finds ``recall`` of the links, and not less than four deviations of what a vector on the very
+queries, finds ``recall`` of the links in every band of similarity, each query with the same say however
+many links it has, and not less than four deviations of what a vector on the very
 limit of the similarity is shifted by, in any one direction.
 
 * Equal vectors are one vector with a weight from the start.
@@ -31,6 +32,7 @@ BLOCK = 4096  # vectors of a block, about
 SAMPLE = 20_000  # vectors that the codebooks are fitted on
 QUERIES = 256  # vectors that the slack is measured with
 BINS = 256
+BANDS = 5  # of similarity, from the limit to 1
 NORMAL = 1e-12
 
 
@@ -106,7 +108,8 @@ def _slack(uniq: DataFrame, grid: Grid, limit: float, recall: float, width: int)
     def measure():
         def some(part: pa.RecordBatch):
             vectors = unit(_matrix(part.column(1)))
-            near = queries @ vectors.T >= limit
+            alike = queries @ vectors.T
+            near = alike >= limit
             near &= names[:, None] != part.column(0).to_numpy()[None, :]
             q, v = np.nonzero(near)
             if not len(q):
@@ -114,18 +117,19 @@ def _slack(uniq: DataFrame, grid: Grid, limit: float, recall: float, width: int)
             (own_first, _), (own_second, _) = grid.places(vectors)
             need = first[q, own_first[v]] + second[q, own_second[v]]
             bins = np.minimum(np.ceil(need / top * BINS), BINS).astype(np.int64)
-            found, count = np.unique(bins, return_counts=True)
+            band = np.clip((alike[q, v] - limit) / max(1 - limit, NORMAL) * BANDS, 0, BANDS - 1).astype(np.int64)
+            found, count = np.unique((q * BANDS + band) * (BINS + 1) + bins, return_counts=True)
             return found.tolist(), count.tolist()
 
         return some
 
-    found = flat_map(uniq.select("_node", "_vector"), measure, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(BINS + 1, np.int64)
+    found = flat_map(uniq.select("_node", "_vector"), measure, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros((len(rows), BANDS, BINS + 1))
     for row in found:
-        counts[row["b"]] = row["n"]
-    if not counts.sum():
-        return least
-    enough = int(np.searchsorted(np.cumsum(counts), recall * counts.sum()))
+        counts.flat[row["b"]] = row["n"]
+    shares = (counts / np.maximum(counts.sum(axis=2, keepdims=True), 1)).sum(axis=0)  # of each query's links
+    reached = np.cumsum(shares, axis=1)
+    enough = max(int(np.searchsorted(band, recall * band[-1])) for band in reached)
     return max(least, top * enough / BINS)
 
 

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from spanloom.llm.embed import near_vectors, visits
+from spanloom.llm.embed import Grid, _slack, near_vectors, unit, visits
 from spanloom.llm.graph import components
 from spanloom.llm.jaccard import Shingles, least_common, most_common, near_groups, parity_bits, similar
 from tests.llm.tables import awkward_texts, crowded, documents, words
@@ -149,6 +149,30 @@ def test_vectors_of_every_length_are_searched(spark):
         assert got == {i: want[i] for i, _ in some}
 
 
+def test_slack_heeds_small_groups(spark):
+    import numpy as np
+
+    pick = np.random.default_rng(6)
+    hot = pick.normal(size=64)
+    rows = [hot + pick.normal(size=64) * 0.001 for _ in range(900)]  # links by the hundred thousand
+    for _ in range(100):  # pairs at the limit that differ in two dimensions alone
+        one = np.zeros(64)
+        one[[0, 40]] = pick.normal(size=2)
+        side = np.zeros(64)
+        side[[0, 40]] = -one[40], one[0]
+        rows += [one + 0.01 * pick.normal(size=64), one + 0.3 * side]
+    points = unit(np.array(rows))
+    grid = Grid(points, 16)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rows)], "_node long, _vector array<double>").repartition(3)
+    slack = _slack(table, grid, 0.95, 0.999, 64)
+    (own_first, first), (own_second, second) = grid.places(points)
+    a, b = np.nonzero(points @ points.T >= 0.95)
+    a, b = a[a != b], b[a != b]
+    far = first[a, own_first[b]] + second[a, own_second[b]] > slack
+    small = a >= 900
+    assert far[small].mean() < 0.01
+
+
 def test_no_vectors(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors(table).collect() == []
