@@ -289,6 +289,35 @@ def _all_columns(named: dict[str, str], only: set[str], names: dict[str, str]) -
     return ", ".join(f"cast({value[c]} as {kind}) as {names.get(c, c)}" for c, kind in kinds.items())
 
 
+def _key_values(columns, sep: str, tim_sep: str | None = None, **more: str) -> str:
+    """SQL of ``key=value`` pairs: integers of the record, its clock, and further values by key."""
+    parts = [f"'{key}=' || {_int(key, tim_sep or sep, kind)}" for _, key, kind in columns]
+    parts += [f"'{key}=' || {value}" for key, value in more.items()]
+    return f" || '{sep}' || ".join(parts)
+
+
+_AD, _SQLID = (f"regexp_extract(params, '{key}=''([^'']*)''', 1)" for key in (" ad", "sqlid"))
+_TIM0, _TIM0_SPACE = f"coalesce({_tim()}, 0)", f"coalesce({_tim(' ')}, 0)"
+# The kinds that render_line's query leaves out, from the column lists of their parse queries.
+_RENDERED_OTHERS = rf"""case when d.ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE') then cursor_id || ': ' || d.ops || ' '
+    || {_key_values(_CALL_INTS[:-1], ",", tim=_TIM0, fname="d.file_name", line="d.line")}
+  when d.ops = 'PIC' then 'PARSING IN CURSOR ' || {_key_values(_PIC_INTS[:5], " ", tim=_TIM0_SPACE)} || ' '
+    || {_key_values(_PIC_INTS[5:], " ", ad=_AD, sqlid=_SQLID)}
+    || chr(10) || coalesce(text, '') || chr(10) || 'END OF STMT'
+  when d.ops = 'PARSE ERROR' then 'PARSE ERROR ' || cursor_id || ':'
+    || {_key_values(_ERR_INTS[1:], " ", tim=_TIM0_SPACE, err=_int("err", " ", "integer"))}
+  when kind = 'STAR' then '*** ' || stars.event_name || ':(' || coalesce(stars.event_raw, '') || ') '
+    || coalesce(regexp_replace(strftime(stars.ts, '%Y-%m-%d %H:%M:%S.%f'), '\.?0*$', ''), '')
+  when kind = 'LOB' then d.ops || ': type=' || regexp_extract(params, '^type=([^,]*)', 1) || ','
+    || {_key_values(_LOB_INTS, ",", tim=_TIM0)} end"""
+_OTHERS = "(d.ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE', 'PIC', 'PARSE ERROR') or kind in ('STAR', 'LOB'))"
+
+
+def _dense(ops: DataFrame) -> DataFrame:
+    """Each span with its dense number."""
+    return ops.groupBy("file_name", "span_id").agg(F.min("line").alias("first_line"), F.max("line").alias("last_line"))
+
+
 def _rejects(spark, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir).where("reject is not null")
 
@@ -383,6 +412,14 @@ TRACE_QUERIES = {
         f"""{_LINES} select d.file_name, d.line, {_RENDERED} as rendered from d left join t on d.file_name = t.file_name and d.line = t.line
         where ops in ('WAIT', 'STAT', 'BINDS', 'ERROR', 'XCTEND', 'HEADER') and {_GOOD}""",
     ),
+    "render_line_others": (
+        lambda s, d: render_line(
+            _parsed(s, d).where("reject is null and (ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE', 'PIC', 'PARSE ERROR') or kind in ('STAR', 'LOB'))")
+        ).select("file_name", "line", "rendered"),
+        f"""{_LINES}, {_STARS} select d.file_name, d.line, {_RENDERED_OTHERS} as rendered from d
+        left join t on d.file_name = t.file_name and d.line = t.line
+        left join stars on d.file_name = stars.file_name and d.line = stars.line where {_OTHERS} and {_GOOD}""",
+    ),
     "fill_context": (
         lambda s, d: fill_context(_stored(s, d)).select(
             "file_name", "line", "ops", *CONTEXT
@@ -437,6 +474,19 @@ TRACE_QUERIES = {
         lambda s, d: _per_span(ingest(trace_view(s, d)).ops),
         _SPANS + _SPAN_ROWS.format(src="spn"),
     ),
+    "assign_spans_dense_ids": (
+        lambda s, d: _dense(assign_spans(_stored(s, d), ids="dense")),
+        f"""{_SPANS}, sp as (select file_name, span_cursor, min(line) as lo, max(line) as hi, bool_or(cursor_id is not null) as tracked
+            from spn group by file_name, span_cursor, first_line),
+          nx as (select *, min(lo) over w as seen, lead(lo) over (w order by lo) as nxt from sp window w as (partition by file_name, span_cursor)),
+          cl as (select nx.*, case when tracked then least(nxt, r.line) else lo end as closed from nx
+            asof left join (select file_name, line from rec where ops = 'RESET') r on nx.file_name = r.file_name and nx.hi < r.line)
+        select row_number() over (order by file_name, closed is null, closed, seen, span_cursor) as span_id, file_name, lo as first_line, hi as last_line from cl""",
+    ),
+    "ingest_rows": (
+        lambda s, d: ingest(trace_view(s, d)).ops,
+        None,
+    ),
     "ingest_stats": (
         lambda s, d: ingest_stats(trace_view(s, d), _rejects(s, d)),
         f"""{_LINES}, e as (select file_name, count(*) as errors from d where kind <> 'ORPHAN' and not ({_GOOD}) group by file_name)
