@@ -16,6 +16,7 @@ from spanloom.llm.toxic import fit_toxicity, score_toxicity
 from spanloom.sources.stage import stage
 
 TOXIC = 0.3
+_ROW = "_document_row"
 TOKENIZER = (
     public_tokenizers.path("byte_bpe_50k.json"),
     public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -43,10 +44,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies. Rows without an id stay if one of them
-    is alone in its group; rows that repeat an id are one document."""
-    kept = near_groups(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """The row of the smallest id of each group of near copies; of rows with that id, or of rows without an
+    id where no other is in the group, one row. A row without words is a group of its own."""
+    rows = stage(docs.withColumn(_ROW, F.monotonically_increasing_id()), "numbered_documents")
+    groups = near_groups(rows.select(_ROW, "text"), key=_ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", _ROW))
+    kept = groups.join(rows.select(_ROW, "doc_id"), _ROW).groupBy("component_id").agg(first[_ROW].alias(_ROW))
+    return rows.join(kept, _ROW, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_rest(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

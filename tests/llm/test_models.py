@@ -154,3 +154,11 @@ def test_pipeline(spark, corpus):
     pieces = corpus_pipeline.run(spark, corpus)
     assert {r["doc_id"] for r in pieces.collect()} == clean - set(range(1001, 1006))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near copies", "packing"]
+
+
+def test_one_row_of_each_group_of_copies_stays(spark):
+    one, two, three, four = (words(i, 40, 10**5) for i in range(4))
+    texts = [(None, one), (None, one), (7, two), (None, two), (None, two), (5, three), (5, three), (9, three), (5, four), (None, "alone here"), (None, None)]
+    docs = documents(spark, texts)
+    kept = corpus_pipeline.drop_copies(spark, docs, "").collect()
+    assert Counter(map(tuple, kept)) == Counter([(None, one), (7, two), (5, three), (5, four), (None, "alone here"), (None, None)])
