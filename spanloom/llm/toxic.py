@@ -106,13 +106,16 @@ def fit_toxicity(
     even: float = 10.0,
 ) -> Model:
     """A model from the labelled texts (label 1: toxic). Rows with a null key or label are left out; a
-    key labelled more than once counts once for each label. Without rows of both labels every text gets
+    key labelled more than once counts once for each label, and of the texts of a repeated key the one of
+    the smallest hash counts. Without rows of both labels every text gets
     the share of label 1."""
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).select(
         F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")
     )
     chosen = hashed_sample(known.distinct(), most, "_key", "_label")
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
+    least = F.min_by("_text", F.xxhash64("_text")).alias("_text")
+    texts = texts.withColumn("_text", F.coalesce("_text", F.lit(""))).groupBy("_key", "_label").agg(least)
 
     def extract():
         def some(part: pa.RecordBatch):

@@ -162,3 +162,14 @@ def test_one_row_of_each_group_of_copies_stays(spark):
     docs = documents(spark, texts)
     kept = corpus_pipeline.drop_copies(spark, docs, "").collect()
     assert Counter(map(tuple, kept)) == Counter([(None, one), (7, two), (5, three), (5, four), (None, "alone here"), (None, None)])
+
+
+def test_a_repeated_label_is_one_row(spark, monkeypatch):
+    import spanloom.llm.toxic as toxic
+
+    sizes, real = [], toxic.fit
+    monkeypatch.setattr(toxic, "fit", lambda found, *a, **b: sizes.append(len(found)) or real(found, *a, **b))
+    rows = _labelled(60)
+    docs = documents(spark, [r[:2] for r in rows] + [(3, f"copy {i}") for i in range(200)])
+    model = fit_toxicity(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"), most=50)
+    assert model.weights and len(sizes) == 1 and sizes[0] <= 50
