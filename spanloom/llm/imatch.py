@@ -16,6 +16,7 @@ band or more common, and the number of copies of each repeated text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from spanloom.llm.rows import map_rows, nullable, slices
+from spanloom.llm.rows import hashed_sample, map_rows, nullable, slices
 from spanloom.sources.stage import stage
 
 PARTS = 24  # random parts of the lexicon at each level
@@ -184,24 +185,25 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_rows(docs, one, [text], "_fingerprint string")
 
 
-def _blocks(keys: DataFrame) -> tuple[np.ndarray, dict[int, tuple]]:
-    """Ascending bounds that cut the keys into blocks of like size, and for each block with rows the first
-    row (key, hash) of the block that follows it, in descending order of the key and with a wrap-around."""
+def _blocks(keys: DataFrame) -> tuple[list[tuple], dict[int, tuple]]:
+    """Ascending bounds that cut the rows into blocks of like size, and for each block with rows the first
+    row (key, hash) of the block that follows it, with a wrap-around."""
     spark = keys.sparkSession
     rows = keys.count()
     count = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 2_000_000)
-    steps = ",".join(str(i / count) for i in range(1, count))
-    found = keys.selectExpr(f"percentile_approx(_key, array({steps}), 100000)").first()[0] or []
-    bounds = np.unique(np.array(found, np.int64))
-    numbered = map_rows(keys, lambda: lambda key: (_block(key, bounds),), ["_key"], "_block int")
-    firsts = numbered.groupBy("_block").agg(F.min(F.struct(-F.col("_key"), F.col("_hash"))).alias("f")).orderBy("_block").collect()
-    heads = [(None if f["f"][0] is None else -f["f"][0], f["f"][1]) for f in firsts]
+    sample = hashed_sample(keys.withColumn("_id", F.monotonically_increasing_id()), 50 * count, "_id").select("_key", "_hash").collect()
+    found = sorted(_place(*row) for row in sample)
+    bounds = sorted({found[i * len(found) // count] for i in range(1, count)}) if found else []
+    numbered = map_rows(keys, lambda: lambda key, hash_: (bisect_right(bounds, _place(key, hash_)),), ["_key", "_hash"], "_block int")
+    first = F.struct(F.col("_key").isNull().alias("none"), F.bitwise_not("_key").alias("down"), "_hash")
+    firsts = numbered.groupBy("_block").agg(F.min(first).alias("f")).orderBy("_block").collect()
+    heads = [(None if f["f"]["none"] else ~f["f"]["down"], f["f"]["_hash"]) for f in firsts]
     return bounds, {f["_block"]: head for f, head in zip(firsts, heads[1:] + heads[:1], strict=True)}
 
 
-def _block(key: int | None, bounds: np.ndarray) -> int:
-    """Blocks count up as keys go down; rows without a key come last."""
-    return len(bounds) + 1 if key is None else len(bounds) - int(np.searchsorted(bounds, key, side="left"))
+def _place(key: int | None, hash_: int) -> tuple[bool, int, int]:
+    """Places count up as keys go down, and up with the hashes of one key; rows without a key come last."""
+    return (True, 0, hash_) if key is None else (False, ~key, hash_)
 
 
 def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -214,7 +216,7 @@ def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     the first one after the last. Null texts count as empty; a sole document follows itself; other columns are not
     read; an empty table gives no rows.
 
-    The keys are cut into blocks. The row that begins a block is also sent to the block before it, so the
+    The rows are cut into blocks by key and hash of the text, so rows of one key are dealt out too. The row that begins a block is also sent to the block before it, so the
     texts are shuffled once; a block is sorted by Spark and read as a stream.
     """
     slim = docs.select(F.col(key).cast("long").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
@@ -227,7 +229,7 @@ def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def places():
         def one(key, hash_):
-            own = _block(key, bounds)
+            own = bisect_right(bounds, _place(key, hash_))
             return ([own, *(-1 - b for b in before.get((key, hash_), ()))],)
 
         return one

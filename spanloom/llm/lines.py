@@ -35,8 +35,8 @@ def line_keys(text: str | None, shortest: int) -> list[bytes]:
 def repeated_lines(
     docs: DataFrame, least: int = 3, shortest: int = 20, key: str = "doc_id", text: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
-    """``(suspects, repeats)``: a row per (``_key``, ``_line``) whose line the filter knows, and a row per
-    ``_line`` found in at least ``least`` documents with its largest key ``_keeper``. Lines are 128-bit hashes."""
+    """``(suspects, repeats)``: a row per (``_key``, ``_hash`` of the text, ``_line``) whose line the filter knows,
+    and a row per ``_line`` found in at least ``least`` documents with its largest key ``_keeper``. Lines are 128-bit hashes."""
     spark = docs.sparkSession
     size = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1
     lines = docs.agg(F.sum(size)).first()[0] or 0
@@ -63,13 +63,13 @@ def repeated_lines(
             if not keys:
                 return None
             found = np.flatnonzero(contains(planes, np.array(hashes, np.uint64))).tolist()
-            names = part.column(0).to_pylist()
-            return [names[owners[i]] for i in found], [xxhash.xxh3_128_digest(keys[i]) for i in found]
+            names, texts = part.column(0).to_pylist(), part.column(2).to_pylist()
+            return [names[owners[i]] for i in found], [texts[owners[i]] for i in found], [xxhash.xxh3_128_digest(keys[i]) for i in found]
 
         return some
 
     kind = docs.schema[key].dataType.simpleString()
-    suspects = stage(flat_map(docs.select(key, text), suspect, f"_key {kind}, _line binary"), "suspected_lines")
+    suspects = stage(flat_map(docs.select(key, text, F.xxhash64(text)), suspect, f"_key {kind}, _hash long, _line binary"), "suspected_lines")
     repeats = stage(
         suspects.groupBy("_line", "_key")
         .agg(F.lit(1).alias("_one"))
@@ -91,12 +91,14 @@ def dedup_lines(
     points and more, found in ``least`` documents or more, lose all their lines except in the document
     of the largest key. A document is a key; rows that repeat one decide as one. A row with a null key
     counts as no document and keeps no repeated line. A null or empty text is one empty line.
+
+    Rows learn their own lines alone, by key and hash of the text, so the rows of one key are no group.
     """
     suspects, repeats = repeated_lines(docs, least, shortest, key, text)
     drops = (
         suspects.join(repeats.select("_line", "_keeper"), "_line")
         .where(~F.col("_key").eqNullSafe(F.col("_keeper")))
-        .groupBy("_key")
+        .groupBy("_key", "_hash")
         .agg(F.collect_set("_line").alias("_drop"))
     )
 
@@ -112,7 +114,8 @@ def dedup_lines(
 
         return one
 
-    slim = docs.select(F.col(key).alias("_own"), F.col(text).alias("_text"), others(docs, key, text).alias("row"))
-    joined = slim.join(drops, F.col("_own").eqNullSafe(F.col("_key")), "left").drop("_key")
+    slim = docs.select(F.col(key).alias("_own"), F.col(text).alias("_text"), F.xxhash64(text).alias("_of"), others(docs, key, text).alias("row"))
+    same = F.col("_own").eqNullSafe(F.col("_key")) & (F.col("_of") == F.col("_hash"))
+    joined = slim.join(drops, same, "left").drop("_key", "_hash", "_of")
     rows = map_rows(joined, keep, ["_text", "_drop"], "n_lines long, n_dropped long, kept string")
     return rows.select(F.col("_own").alias(key), "n_lines", "n_dropped", "kept", "row")

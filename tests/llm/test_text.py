@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from spanloom.llm.bpe import ChunkCoder, cuts, encode_decode
-from spanloom.llm.imatch import edited_and_next, likeness
+from spanloom.llm.imatch import _blocks, edited_and_next, likeness
 from spanloom.llm.lines import dedup_lines
 from spanloom.llm.pack import hilbert, pack, sequence_of
 from spanloom.llm.queries import TOKENIZER
@@ -78,6 +78,19 @@ def test_lines(spark):
     assert _sorted(got) == _sorted(_plain_lines(rows))
 
 
+def test_rows_of_one_key_are_no_group(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    import spanloom.llm.lines as lines
+
+    seen, real = [], lines.map_rows
+    monkeypatch.setattr(lines, "map_rows", lambda df, *a: seen.append(df) or real(df, *a))
+    rows = [(key, f"this line of {i % 60} is repeated") for i in range(180) for key in (None, i)]
+    got = [tuple(r)[:4] for r in dedup_lines(documents(spark, rows)).collect()]
+    assert _sorted(got) == _sorted(_plain_lines(rows))
+    assert seen[0].agg(F.max(F.size("_drop"))).first()[0] == 1
+
+
 def test_lines_keep_the_other_columns(spark):
     row = dedup_lines(crowded(documents(spark, [(1, "a")]))).first()
     assert row["kept"] == "a" and row["row"]["kept"] == "x9"
@@ -170,6 +183,21 @@ def test_copies_of_a_third_of_the_rows_stay_alike(spark, near):
     assert max(got[i]["near_next"] for i in range(121)) < 0.5
 
 
+def test_rows_of_one_key_are_several_blocks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(None, f"t{i}") for i in range(300)] + [(5, f"u{i}") for i in range(300)] + [(i, f"v{i}") for i in range(6, 9)] + [(-(2**63), "low")]
+    docs = documents(spark, rows)
+    keys = docs.select(F.col("doc_id").alias("_key"), F.xxhash64("text").alias("_hash"))
+    _, following = _blocks(keys)
+    heads = [key for key, _ in following.values()]
+    assert heads.count(None) > 2 and heads.count(5) > 2
+    hashed = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashed[r[1]]))
+    want = [(d, t[: len(t) - len(t) // 3] + n[: len(t) // 3]) for (d, t), (_, n) in zip(ordered, ordered[1:] + ordered[:1], strict=True)]
+    assert _sorted((r["doc_id"], r["edited"]) for r in edited_and_next(docs).collect()) == _sorted(want)
+
+
 def test_one_document_follows_itself(spark):
     row = edited_and_next(documents(spark, [(7, "abcdef")])).first()
     assert row["edited"] == "abcdab" and row["near_next"] == 1.0
