@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from spanloom.llm.bpe import ChunkCoder, cuts, encode_decode
-from spanloom.llm.imatch import _blocks, edited_and_next, likeness
+from spanloom.llm.imatch import _blocks, document_frequencies, edited_and_next, likeness
 from spanloom.llm.lines import dedup_lines
 from spanloom.llm.pack import hilbert, pack, sequence_of
 from spanloom.llm.queries import TOKENIZER
@@ -198,6 +198,13 @@ def test_rows_of_one_key_are_several_blocks(spark):
     assert _sorted((r["doc_id"], r["edited"]) for r in edited_and_next(docs).collect()) == _sorted(want)
 
 
+def test_document_frequencies_are_exact(spark):
+    rows = [(i, words(i % 50, 2000, 10**7)) for i in range(100)]
+    counts, texts = document_frequencies(documents(spark, rows))
+    want = Counter(w for text in {t for _, t in rows} for w in set(text.split()))
+    assert texts == 50 and Counter(r["n"] for r in counts.collect()) == Counter(want.values())
+
+
 def test_one_document_follows_itself(spark):
     row = edited_and_next(documents(spark, [(7, "abcdef")])).first()
     assert row["edited"] == "abcdab" and row["near_next"] == 1.0
