@@ -10,11 +10,18 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_unset: list[str] = []
+
+
+def use_where_unset(folder: str) -> None:
+    """Stage in ``folder`` where a session names none. The setting is a static one, so a running session can't
+    be given it any more; ``folder`` must be shared by all executors as well."""
+    _unset[:] = [folder]
 
 
 def stage_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``, which all executors must share."""
-    root = spark.conf.get(_SETTING, None)
+    root = spark.conf.get(_SETTING, None) or next(iter(_unset), None)
     if not root:
         raise ValueError(f"{_SETTING} must name a folder that all executors share")
     return root.rstrip("/")

@@ -1,12 +1,14 @@
-"""Every registered query against DuckDB on the smallest test data."""
+"""Every registered query of the core against DuckDB on the smallest test data."""
 
-import math
 import os
+import subprocess
+import sys
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from driver.catalog import CATALOG
+from tests.compare import assert_same, connect
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -14,36 +16,29 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
 @pytest.fixture(scope="module")
 def duck():
-    con = duckdb.connect()
-    con.execute("set timezone = 'UTC'")
-    con.execute(f"create view events as select * from '{DATA}/events.parquet'")
-    return con
+    return connect(DATA)
 
 
-def _norm(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(round(value, 9))
-    return repr(value)
+@pytest.mark.parametrize("name", sorted(CATALOG))
+def test_query(spark, duck, name):
+    assert_same(entry.queries()[name](spark, DATA), duck, entry.oracle_sql().get(name))
 
 
-def _rows(columns, rows):
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, DATA)
-    got = _rows(df.columns, df.collect())
-    sql = entry.oracle_sql().get(name)
-    if sql is None:
-        assert got
-        return
-    cursor = duck.execute(sql)
-    columns = [c[0] for c in cursor.description]
-    assert sorted(columns) == sorted(df.columns)
-    assert got == _rows(columns, cursor.fetchall())
+_ALONE = f"""
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert not spark.conf.get("spark.checkpoint.dir", None)
+assert entry.queries()["db_totals"](spark, "{DATA}").count() == 1
+"""
 
 
-def test_entry(spark):
-    assert entry.entry(spark).count() > 0
+def test_entry_without_a_staging_folder(tmp_path):
+    """A local session whose configuration names no folder, started apart from the one of the tests."""
+    env = {k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"}
+    env |= {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": entry.REPO}
+    subprocess.run([sys.executable, "-c", _ALONE], env=env, cwd=tmp_path, check=True, timeout=300)
