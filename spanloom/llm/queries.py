@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.bpe import encode_decode
+from spanloom.llm.centroid import cluster
 from spanloom.llm.content import extract_text, fit_tags
 from spanloom.llm.embed import near_vectors
 from spanloom.llm.imatch import edited_and_next
@@ -136,6 +137,41 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", "url", F.col("_main").alias("text"), F.length("_main").cast("long").alias("n_chars"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = cluster(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    digest = F.sha2(F.array_join("centroid", ",").cast("binary"), 256)
+    return placed.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def _op11_sql(rounds: int = 10) -> str:
+    """Rounds one after the other: all distances of a vector, the least of them, exact sums by component."""
+    parts = [
+        """x as materialized (select vec_id, list_transform(embedding, e -> floor(1024 * e::double)::bigint) as v from embeddings
+          where len(embedding) = 64 and len(list_filter(embedding, e -> e is not null and isfinite(e::double))) = 64),
+        c0 as materialized (select (row_number() over (order by h) - 1)::int as c, v
+          from (select sha256('3:' || vec_id) as h, v from x order by h limit 8))"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} as materialized (select vec_id, x.v, min(struct_pack(d := list_sum(list_transform(list_zip(x.v, c{r}.v),
+              p -> (p[1] - p[2]) * (p[1] - p[2])))::bigint, c := c)) as near from x cross join c{r} group by all)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""m{r} as materialized (select c, list((s - ((s % n) + n) % n) // n order by i)::bigint[] as v from (
+                  select near.c as c, i, sum(v[i])::bigint as s, count(*) as n from a{r}, range(1, 65) t(i) group by all) group by c),
+                c{r + 1} as materialized (select c, coalesce(m{r}.v, c{r}.v) as v from c{r} left join m{r} using (c))"""
+            )
+    return (
+        f"with {', '.join(parts)} select vec_id, near.c as cluster, near.d as distance, "
+        "(sum(near.d) over (partition by near.c))::bigint as cluster_inertia, (sum(near.d) over ())::bigint as inertia, "
+        f"sha256(array_to_string(c.v, ',')) as centroid_sha256 from a{rounds} a join c{rounds} c on a.near.c = c.c"
+    )
+
+
+OP11_SQL = _op11_sql()
+
+
 LLM_QUERIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_lines": (op2_lines, OP2_SQL),
@@ -147,4 +183,5 @@ LLM_QUERIES = {
     "op8_shard": (op8_shard, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_html": (op10_html, None),
+    "op11_centroids": (op11_centroids, OP11_SQL),
 }
