@@ -5,6 +5,8 @@ Each applies its operator to the whole of its table and derives what is compared
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from spanloom.llm.imatch import edited_and_next
 from spanloom.llm.jaccard import near_groups
 from spanloom.llm.lines import dedup_lines
 from spanloom.llm.pack import pack
+from spanloom.llm.periodic import periodic_runs
+from spanloom.llm.rows import map_rows
 from spanloom.llm.shard import assign_shards
 from spanloom.llm.toxic import fit_toxicity, score_toxicity
 from spanloom.llm.urls import fit_urls, host_and_path, judge_urls, rule_of
@@ -146,15 +150,15 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op11_sql(rounds: int = 10) -> str:
     """Rounds one after the other: all distances of a vector, the least of them, exact sums by component."""
     parts = [
-        """x as materialized (select vec_id, list_transform(embedding, e -> floor(1024 * e::double)::bigint) as v from embeddings
-          where len(embedding) = 64 and len(list_filter(embedding, e -> e is not null and isfinite(e::double))) = 64),
+        """x as materialized (select vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as v from embeddings
+          where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e::double))) = 64),
         c0 as materialized (select (row_number() over (order by h) - 1)::int as c, v
           from (select sha256('3:' || vec_id) as h, v from x order by h limit 8))"""
     ]
     for r in range(rounds + 1):
         parts.append(
             f"""a{r} as materialized (select vec_id, x.v, min(struct_pack(d := list_sum(list_transform(list_zip(x.v, c{r}.v),
-              p -> (p[1] - p[2]) * (p[1] - p[2])))::bigint, c := c)) as near from x cross join c{r} group by all)"""
+              lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint, c := c)) as near from x cross join c{r} group by all)"""
         )
         if r < rounds:
             parts.append(
@@ -172,6 +176,42 @@ def _op11_sql(rounds: int = 10) -> str:
 OP11_SQL = _op11_sql()
 
 
+def _with_echoes(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by a hash of the id, repeat a passage from some word on to their end."""
+
+    def echo():
+        def one(doc_id, text):
+            h = -1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+            words = (text or "").encode().split() if h % 10 == 0 else None
+            if not words:
+                return (text,)
+            g, n = h // 10, len(words)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            said = words[a : a + p]
+            return (b" ".join(words[:a] + (said * ((n - a) // p + 1))[: n - a]).decode(),)
+
+        return one
+
+    return map_rows(docs, echo, ["doc_id", "text"], "_echoed string").select("doc_id", F.col("_echoed").alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_with_echoes(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = "array_max(transform(runs, r -> struct(r.length as length, -r.start as back, -r.period as minus)))"
+    said = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return found.selectExpr("*", f"{longest} as _top").selectExpr(
+        "doc_id",
+        "cast(size(runs) as long) as n_runs",
+        "-_top.back as start",
+        "_top.length as length",
+        "-_top.minus as period",
+        "1000 * _top.length div -_top.minus as exponent_milli",
+        f"sha2(cast({said} as binary), 256) as runs_sha256",
+        "sha2(cast(collapsed as binary), 256) as collapsed_sha256",
+    )
+
+
 LLM_QUERIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_lines": (op2_lines, OP2_SQL),
@@ -184,4 +224,5 @@ LLM_QUERIES = {
     "op9_toxicity": (op9_toxicity, None),
     "op10_html": (op10_html, None),
     "op11_centroids": (op11_centroids, OP11_SQL),
+    "op12_periodic": (op12_periodic, None),
 }
