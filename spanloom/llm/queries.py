@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from spanloom.llm.bpe import encode_decode
 from spanloom.llm.centroid import cluster
 from spanloom.llm.content import extract_text, fit_tags
+from spanloom.llm.disguise import KINDS, find_identifiers
 from spanloom.llm.embed import near_vectors
 from spanloom.llm.imatch import edited_and_next
 from spanloom.llm.jaccard import near_groups
@@ -212,6 +213,22 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts, like the digest, are those of the plain identifiers; ``spans`` holds the hidden ones as well."""
+    found = find_identifiers(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    plain = "filter(spans, s -> not s.hidden)"
+
+    def said(spans: str) -> str:
+        return f"array_join(transform({spans}, s -> concat(s.kind, ':', s.start, ':', s.stop)), ',')"
+
+    return found.selectExpr(
+        "doc_id",
+        *[f"cast(size(filter(spans, s -> s.kind = '{kind}' and not s.hidden)) as long) as n_{kind}" for kind in KINDS],
+        f"sha2(cast({said(plain)} as binary), 256) as base_sha256",
+        f"{said('spans')} as spans",
+    )
+
+
 LLM_QUERIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_lines": (op2_lines, OP2_SQL),
@@ -225,4 +242,5 @@ LLM_QUERIES = {
     "op10_html": (op10_html, None),
     "op11_centroids": (op11_centroids, OP11_SQL),
     "op12_periodic": (op12_periodic, None),
+    "op13_pii": (op13_pii, None),
 }
