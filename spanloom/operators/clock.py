@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spanloom.operators.carry import Mark, carry_forward
 
+_TIMED = "(tim is not null and ops not in ('STAR', 'HEADER', 'RESET'))"
+
 
 def clock_marks() -> dict[str, Mark]:
+    """The latest wall clock line, the latest timed record, and the first timed one since that line."""
     return {
         "_anchor": Mark("ops = 'STAR' and ts is not null", "ts"),
-        "_timed": Mark("tim is not null and ops not in ('STAR', 'HEADER', 'RESET')", "tim"),
+        "_timed": Mark(_TIMED, "tim"),
+        "_first": Mark(_TIMED, "tim", since="_anchor"),
     }
 
 
@@ -21,19 +24,10 @@ def finish_clock(marked: DataFrame) -> DataFrame:
     A record without a clock takes the reading of the latest timed record since the wall clock line,
     or the line's own if there is none. Without a wall clock line ``ts`` stays NULL.
     """
-    first = (
-        marked.where("_timed.at = line and _timed.at > _anchor.at")
-        .groupBy(F.expr("file_name as _file"), F.expr("_anchor.at as _since"))
-        .agg(F.expr("min(named_struct('line', line, 'tim', tim)) as _first"))
-        .selectExpr("_file", "_since", "_first.tim as _first_tim")
-    )
-    joined = marked.selectExpr("*", "_anchor.at as _at").join(
-        first, F.expr("file_name = _file and _at = _since"), "left"
-    )
     reading = """case when ops in ('STAR', 'HEADER') then ts else timestampadd(MICROSECOND,
-        coalesce(case when _timed.at > _at then _timed.value - _first_tim end, 0L), _anchor.value) end as ts"""
-    kept = [c for c in marked.columns if c not in ("ts", "_anchor", "_timed")]
-    return joined.selectExpr(*kept, reading)
+        coalesce(case when _timed.at > _anchor.at then _timed.value - _first.value end, 0L), _anchor.value) end as ts"""
+    kept = [c for c in marked.columns if c not in ("ts", *clock_marks())]
+    return marked.selectExpr(*kept, reading)
 
 
 def assign_clock(ops: DataFrame) -> DataFrame:

@@ -108,6 +108,29 @@ def test_carry_forward_equals_a_loop(spark, size):
     assert found == want
 
 
+@pytest.mark.parametrize("size,often", [(1, 0.2), (4, 0.1), (7, 0.5), (1 << 16, 0.1)])
+def test_first_row_since_a_mark_equals_a_loop(spark, size, often):
+    rng = random.Random(size)
+    rows = []
+    for i in range(0, 900, 2):
+        kind = rng.choice(["mark", "row", "row"]) if rng.random() < often else "none"
+        rows.append((rng.choice("ab"), i, kind, rng.randrange(100)))
+    df = spark.createDataFrame(rows, "k string, i bigint, kind string, v int")
+    marks = {"mark": Mark("kind = 'mark'", "v"), "first": Mark("kind = 'row'", "v", since="mark")}
+    found = {
+        r["i"]: (r["mark"] and r["mark"]["at"], r["first"] and (r["first"]["at"], r["first"]["value"]))
+        for r in carry_forward(df, ["k"], "i", marks, size=size).collect()
+    }
+    state, want = {}, {}
+    for k, i, kind, v in rows:
+        if kind == "mark":
+            state[k] = (i, None)
+        elif kind == "row" and k in state and state[k][1] is None:
+            state[k] = (state[k][0], (i, v))
+        want[i] = state.get(k, (None, None))
+    assert found == want
+
+
 def test_lobs_join_the_latest_call(spark):
     rows = [
         ("f", 1, None, "LOBREAD", None),
