@@ -74,7 +74,7 @@ _TOP = re.compile(r"[A-Za-z]{2,}\Z")
 _MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9._%+-])[A-Za-z0-9].*[A-Za-z0-9]\Z", re.S)
 
 _WORD = "|".join(sorted(_SPELLED, key=len, reverse=True))
-_ITEM = rf"(?>(?:(?:{'|'.join(_TIMES)})[ -])?(?:{_WORD})(?!\w)|[0-9OoIl]++(?!\w))"
+_ITEM = rf"(?>(?:(?:{'|'.join(_TIMES)})[ -])?(?:{_WORD})(?!\w)|(?-i:[0-9OoIl]++)(?!\w))"
 _BETWEEN = rf"(?>{_STRONG_DOT}|[ ]{{1,3}}(?:{_DOT_WORDS})[ ]{{1,3}}|[ .,()-]{{1,3}})"
 _CHAIN = re.compile(rf"(?<!\w)(?:plus[ -]{{1,3}}(?=[\w(]))?{_ITEM}(?:{_BETWEEN}{_ITEM}){{3,}}+", re.I)
 _STEP = re.compile(rf"(?P<item>{_ITEM})|(?P<plus>plus[ -]{{1,3}})|(?P<dot>{_STRONG_DOT}|[ ]{{1,3}}(?:{_DOT_WORDS})[ ]{{1,3}})|(?P<other>[ .,()-]{{1,3}})", re.I)
@@ -233,6 +233,8 @@ def digits(text: str) -> Written:
 
 def _digits_of(value: str) -> str:
     times, _, word = value.lower().replace("-", " ").rpartition(" ")
+    if word not in _SPELLED or times and times not in _TIMES:  # letters that only match when case is ignored
+        return value
     return str(_SPELLED[word]) * _TIMES.get(times, 1)
 
 

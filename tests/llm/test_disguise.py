@@ -90,13 +90,27 @@ def test_disguises_are_found_where_they_stand(kind, hidden, value):
     [
         "meet me at example.com at noon", "look at dot com firms", "one plus one is two and two plus two is four",
         "He came at nine. One two three four five.", "the radio радио@ and привет", "We sat at home . then left",
-        "una o dos o tres o cuatro veces", "see (at) the end", "at at at and dot dot", "I, I, I, I, I said", "a@b.c.d@e.f", "",
+        "una o dos o tres o cuatro veces", "see (at) the end", "at at at and dot dot", "I, I, I, I, I said", "oi oi oi 1 oi", "SİX sıx ſix six Oi 1 2 3", "a@b.c.d@e.f", "",
     ],
 )
 def test_prose_is_left_alone(text):
     assert list(hidden_spans(text, list(plain_spans(text)))) == []
 
 
+_PIECES = ["one", "Oi", "oh", "plus", "dot", "at", "double", "İ", "ſ", "I", "l0", "4111", "+49", "@", ".", "(", ")", "[", "]", " ", " ", "-", "_", "a.b", "\u200b", "é", "\n"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(_PIECES), max_size=24))
+def test_any_text_has_spans_in_order(pieces):
+    text = "".join(pieces)
+    plain = list(plain_spans(text))
+    assert plain == _by_pattern(text)
+    for kind, start, stop, value in hidden_spans(text, plain):
+        assert 0 <= start < stop <= len(text) and _holds(kind, value)
+        assert not any(k == kind and s < stop and start < e for k, s, e in plain)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=30), st.lists(st.tuples(st.integers(0, 30), st.integers(0, 4), st.text(max_size=4)), max_size=6))
 def test_ways_back(source, wanted):
