@@ -318,6 +318,44 @@ def _dense(ops: DataFrame) -> DataFrame:
     return ops.groupBy("file_name", "span_id").agg(F.min("line").alias("first_line"), F.max("line").alias("last_line"))
 
 
+# Trace files of 800 line numbers each; all files of a server are written by one process.
+_PIECE_NAME = "concat(file_name, '.', cast((line - 4) {div} 800 as {S})) as file_name"
+_PIECE_LINE = "(line - 4) % 800 + 4 as line"
+_PROCESS = "regexp_extract(file_name, '(.*)[.]', 1)"
+_PIECE_RECORDS = _RECORDS.replace("with trace as (", "with recursive trace0 as (", 1).replace(
+    "\na as (", f"\ntrace as (select {_PIECE_NAME.format(div='//', S='varchar')}, {_PIECE_LINE}, value from trace0),\na as (", 1
+).replace("\nrec as (", "\nrec0 as (", 1)
+# The records of a process as one file: files by their first wall clock, then name.
+_OF_PROCESS = _PROCESS.replace("file_name", "rec0.file_name")
+_SEQUENCE_SQL = f"""{_PIECE_RECORDS},
+pl as (select file_name, arg_min(ts, line) filter (where ops = 'STAR' and ts is not null) as since from rec0 group by file_name),
+rec as (select {_OF_PROCESS} as file_name, rec0.* exclude (file_name, line), rec0.file_name as own_file, line as own_line,
+    row_number() over (partition by {_OF_PROCESS} order by since is null, since, rec0.file_name, line) as line
+  from rec0 join pl on rec0.file_name = pl.file_name),
+res as ({_SPANS.split("res as (", 1)[1]}, clk as (with anc as {_CLOCK.split("anc as", 1)[1]})
+select count(*) as n_ops, count(distinct own_file) as files, min(own_file) as first_file, max(own_file) as last_file,
+  cast(sum(own_line) as bigint) as lines, max(spn.sql_id) as sql_id, min(clk.ts) as first_ts, max(clk.ts) as last_ts
+from spn join clk on spn.file_name = clk.file_name and spn.line = clk.line
+  join rec on spn.file_name = rec.file_name and spn.line = rec.line
+group by spn.file_name, span_cursor, first_line"""
+
+
+def _sequence(spark, sf_dir: str) -> DataFrame:
+    """Spans of processes whose trace is cut into many files; what they hold, without their ids."""
+    pieces = trace_view(spark, sf_dir).selectExpr(_PIECE_NAME.format(div="div", S="string"), _PIECE_LINE, "value")
+    ops = ingest(pieces, ids="unique", stream_key=_PROCESS).ops
+    return ops.groupBy("span_id").agg(
+        F.count("*").alias("n_ops"),
+        F.count_distinct("file_name").alias("files"),
+        F.min("file_name").alias("first_file"),
+        F.max("file_name").alias("last_file"),
+        F.sum("line").alias("lines"),
+        F.max("sql_id").alias("sql_id"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
+    ).drop("span_id")
+
+
 def _rejects(spark, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir).where("reject is not null")
 
@@ -483,6 +521,16 @@ TRACE_QUERIES = {
             asof left join (select file_name, line from rec where ops = 'RESET') r on nx.file_name = r.file_name and nx.hi < r.line)
         select row_number() over (order by file_name, closed is null, closed, seen, span_cursor) as span_id, file_name, lo as first_line, hi as last_line from cl""",
     ),
+    "ingest_sequence": (
+        _sequence,
+        _SEQUENCE_SQL,
+    ),
+    "assign_spans_unique_ids": (
+        lambda s, d: _dense(assign_spans(_stored(s, d), ids="unique")),
+        f"""{_SPANS}, numbered as (select *, dense_rank() over (order by file_name) - 1 as number from spn)
+        select number * (1::bigint << 36) + min(line) as span_id, file_name, min(line) as first_line, max(line) as last_line
+        from numbered group by file_name, number, span_cursor, first_line""",
+    ),
     "ingest_rows": (
         lambda s, d: ingest(trace_view(s, d)).ops,
         None,
@@ -499,10 +547,10 @@ TRACE_QUERIES = {
     ),
     "export_spans": (
         lambda s, d: export_spans(_with_stars(s, d)),
-        f"""{_WITH_STARS} select span_id, arg_min(client_id, line) as trace_id,
+        f"""{_WITH_STARS} select span_id, file_name, arg_min(client_id, line) as trace_id,
         nullif(arg_min(coalesce(sql_id, ''), line), '') as name, epoch_us(arg_min(ts, line)) * 1000 as start_ns,
         epoch_us(arg_max(ts, line)) * 1000 as end_ns, min(line) as first_line, count(*) as n_events
-        from w where ops not in ('STAR', 'HEADER') group by span_id""",
+        from w where ops not in ('STAR', 'HEADER') group by span_id, file_name""",
     ),
     "export_events": (
         lambda s, d: export_events(_with_stars(s, d), "client_id").select(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from spanloom.operators.carry import Mark, block_of, carry_forward
 from spanloom.schema import SINGLE_OPS, TRACKED_OPS
+from spanloom.sources.files import number_files
 from spanloom.sources.stage import stage
 
 _ONCE = [op for op in SINGLE_OPS if op != "PIC"]
@@ -244,23 +245,63 @@ def _dense_ids(cut: DataFrame, resets: DataFrame) -> DataFrame:
     )
 
 
-def number_spans(cut: DataFrame, ids: str = "hash", resets: DataFrame | None = None) -> DataFrame:
+LINE_BITS = 36  # of 63; the others number files
+
+
+def first_lines(segmented: DataFrame) -> DataFrame:
+    """``file_name, _cursor, _mark, _first_line``: the first call of spans whose mark is no call of their own.
+
+    All cursors that go on after a reset line have that line as their mark, and those at the start of a file
+    have none; every other mark is the span's first call itself.
+    """
+    shared = segmented.where(f"{_TRACKED} and coalesce(_reset, 0L) > coalesce(_pic, -1L)")
+    return shared.groupBy(
+        "file_name", F.expr("coalesce(cursor_id, '') as _cursor"), F.expr("coalesce(_reset, 0L) as _mark")
+    ).agg(F.expr("min(line) as _first_line"))
+
+
+def _unique_ids(cut: DataFrame, segmented: DataFrame, numbers: DataFrame) -> DataFrame:
+    """File number in the high bits, line of the span's first call in the low ones."""
+    keys = ["file_name", "_cursor", "_mark"]
+    line = "coalesce(_first_line, _mark)"
+    fits = f"file_number < {1 << 63 - LINE_BITS}L and {line} < {1 << LINE_BITS}L"
+    made = f"""if({fits}, shiftleft(file_number, {LINE_BITS}) | {line},
+        raise_error('too many files or lines for unique ids')) as span_id"""
+    kept = [c for c in cut.columns if c != "span_id"]
+    return cut.join(first_lines(segmented), keys, "left").join(numbers, "file_name").selectExpr(*kept, made)
+
+
+def number_spans(
+    cut: DataFrame,
+    ids: str = "hash",
+    resets: DataFrame | None = None,
+    segmented: DataFrame | None = None,
+    numbers: DataFrame | None = None,
+) -> DataFrame:
     """Turn (file, cursor, mark) into ``span_id``.
 
-    ``hash``: a 64-bit hash, stable over runs and independent of other files. ``dense``: numbers
-    from 1 in the order of closing; needs the reset lines.
+    ``hash``: a 64-bit hash, stable over runs and independent of other files; two spans may share one.
+    ``unique``: number of the file and line of the span's first call; ``segmented`` are the rows that
+    ``cut`` was made from, ``numbers`` those of the files. ``dense``: numbers from 1 in the order of
+    closing; needs the reset lines.
     """
     if ids == "hash":
         return cut.withColumn("span_id", F.xxhash64("file_name", "_cursor", "_mark"))
+    if ids == "unique":
+        if segmented is None or numbers is None:
+            raise ValueError("unique ids need the segmented rows and the numbers of the files")
+        return _unique_ids(cut, segmented, numbers)
     if ids != "dense":
-        raise ValueError(f"ids must be 'hash' or 'dense', not {ids!r}")
+        raise ValueError(f"ids must be 'hash', 'unique' or 'dense', not {ids!r}")
     if resets is None:
         raise ValueError("dense ids need the reset lines")
-    numbers = _dense_ids(cut, resets)
-    return cut.drop("span_id").join(numbers, ["file_name", "_cursor", "_mark"])
+    numbered = _dense_ids(cut, resets)
+    return cut.drop("span_id").join(numbered, ["file_name", "_cursor", "_mark"])
 
 
-def assign_spans(ops: DataFrame, ids: str = "hash", attach_lobs: bool = False) -> DataFrame:
+def assign_spans(
+    ops: DataFrame, ids: str = "hash", attach_lobs: bool = False, numbers: DataFrame | None = None
+) -> DataFrame:
     """Add ``span_id`` and the resolved ``sql_id`` to the records of trace files.
 
     ``ops`` has ``file_name, line, cursor_id, ops, sql_id`` and rows with op RESET for reset lines.
@@ -270,13 +311,16 @@ def assign_spans(ops: DataFrame, ids: str = "hash", attach_lobs: bool = False) -
     segmented = stage(segment_calls(ops), "segments")
     cut = cut_spans(segmented, stage(repeated_starts(segmented), "starts"), attach_lobs)
     resets = ops.where("ops = 'RESET'").select("file_name", "line")
-    return number_spans(cut, ids, resets).drop("_cursor", "_mark")
+    if ids == "unique" and numbers is None:
+        numbers = number_files(segmented)
+    return number_spans(cut, ids, resets, segmented, numbers).drop("_cursor", "_mark")
 
 
-def span_op_counts(ops: DataFrame) -> DataFrame:
-    """Calls of each kind per span, and their number; spans of two files stay apart even if their ids are equal."""
+def span_op_counts(ops: DataFrame, across_files: bool = False) -> DataFrame:
+    """Calls of each kind per span, and their number. Unless spans go ``across_files``, those of two files
+    stay apart even if their ids are equal."""
     kinds = [*TRACKED_OPS, "LOB", "XCTEND", "STAR", "HEADER"]
-    return ops.groupBy("file_name", "span_id").agg(
+    return ops.groupBy(*(["span_id"] if across_files else ["file_name", "span_id"])).agg(
         *[
             F.expr(
                 f"count_if({'startswith(ops, ' + repr(k) + ')' if k == 'LOB' else 'ops = ' + repr(k)})"

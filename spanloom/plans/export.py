@@ -11,25 +11,31 @@ from spanloom.plans.reports import shown_op
 TRACE_ID_COLUMNS = {"CLIENT ID": "client_id", "MODULE": "module", "ACTION": "action"}
 
 
-def export_spans(ops: DataFrame, trace_id_col: str = "CLIENT ID") -> DataFrame:
-    """One row per span: ``span_id, trace_id, name, start_ns, end_ns, first_line, n_events``.
+def export_spans(ops: DataFrame, trace_id_col: str = "CLIENT ID", across_files: bool = False) -> DataFrame:
+    """One row per span: ``span_id, file_name, trace_id, name, start_ns, end_ns, first_line, n_events``.
 
     The trace id is the named session attribute of the span's first record (a column name also
     does). Wall clock and header records are left out. The span's events are the rows of
-    ``export_events`` with its ``span_id``, in order of their lines: a span of any length has this one
-    shape, and nothing is collected.
+    ``export_events`` with its ``span_id`` and file, in order of their lines: a span of any length has this one
+    shape, and nothing is collected. Spans that go ``across_files`` are named by their id alone, ordered by
+    time first, and have the file of their first record.
     """
     events = export_events(ops, trace_id_col)
-    return events.groupBy("span_id").agg(
-        F.expr("min(struct(line, trace_id, sql_id, time_ns)) as _first"),
-        F.expr("max(struct(line, time_ns)) as _last"),
+    order = "time_ns, file_name, line" if across_files else "line"
+    file = F.col("attributes.file_name") if "file_name" in ops.columns else F.lit(None).cast("string")
+    return events.select("*", file.alias("file_name")).groupBy(
+        "span_id", *([] if across_files else ["file_name"])
+    ).agg(
+        F.expr(f"min_by(struct(trace_id, sql_id, time_ns, line{', file_name' if across_files else ''}), struct({order})) as _first"),
+        F.expr(f"max_by(time_ns, struct({order})) as _last"),
         F.expr("count(*) as n_events"),
     ).selectExpr(
         "span_id",
+        "_first.file_name as file_name" if across_files else "file_name",
         "_first.trace_id as trace_id",
         "_first.sql_id as name",
         "_first.time_ns as start_ns",
-        "_last.time_ns as end_ns",
+        "_last as end_ns",
         "_first.line as first_line",
         "n_events",
     )
@@ -54,9 +60,11 @@ def export_events(ops: DataFrame, trace_id_col: str = "CLIENT ID") -> DataFrame:
     )
 
 
-def write_spans(ops: DataFrame, path: str, trace_id_col: str = "CLIENT ID", form: str = "json") -> None:
+def write_spans(
+    ops: DataFrame, path: str, trace_id_col: str = "CLIENT ID", form: str = "json", across_files: bool = False
+) -> None:
     """Write ``spans`` and ``events`` under ``path`` as JSON lines or Parquet."""
     if form not in ("json", "parquet"):
         raise ValueError(f"form must be 'json' or 'parquet', not {form!r}")
-    export_spans(ops, trace_id_col).write.format(form).save(f"{path}/spans")
+    export_spans(ops, trace_id_col, across_files).write.format(form).save(f"{path}/spans")
     export_events(ops, trace_id_col).write.format(form).save(f"{path}/events")

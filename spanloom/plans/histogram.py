@@ -102,6 +102,7 @@ def histogram(
     wait_name: str | None = None,
     where: Column | None = None,
     remove_idle: bool = False,
+    across_files: bool = False,
 ) -> DataFrame:
     """Histogram of execution times per statement, or of one wait event (column ``name``)."""
     if (sql_ids is None) == (wait_name is None):
@@ -112,7 +113,7 @@ def histogram(
         )
     else:
         ids = sql_ids.split(",") if isinstance(sql_ids, str) else list(sql_ids)
-        spans = span_elapsed(ops.where(F.col("sql_id").isin(ids)), remove_idle)
+        spans = span_elapsed(ops.where(F.col("sql_id").isin(ids)), remove_idle, across_files)
         if where is not None:
             spans = spans.where(where)
         rows = spans.select(F.col("sql_id").alias("name"), F.col("ela").alias("_value"))

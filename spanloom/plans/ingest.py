@@ -13,6 +13,7 @@ from spanloom.operators.classify import assemble, classify
 from spanloom.operators.clock import clock_marks, finish_clock
 from spanloom.operators.context import context_marks, finish_context
 from spanloom.operators.parse import parse_records
+from spanloom.operators.sequence import in_sequence, out_of_sequence, place_files
 from spanloom.operators.spans import (
     cut_spans,
     number_spans,
@@ -22,6 +23,7 @@ from spanloom.operators.spans import (
     resolve_sql_id,
 )
 from spanloom.schema import OPS_COLUMNS
+from spanloom.sources.files import file_dictionary, number_files
 from spanloom.sources.stage import stage
 from spanloom.sources.trace import read_lines
 
@@ -42,9 +44,18 @@ def ingest(
     ids: str = "hash",
     zone: str = "UTC",
     attach_lobs: bool = False,
+    stream_key: str | None = None,
+    dictionary: str | None = None,
 ) -> Ingest:
     """Parse trace files (or a DataFrame of numbered lines) into the fact table.
 
+    ``stream_key``, SQL over ``file_name``, names the process that wrote a file: its files, in the order of their
+    first wall clock, go on with each other's cursors, statement ids and clock (see ``operators.sequence``).
+    Session attributes and text records end with their file. Without it every file stands alone.
+    ``ids`` is as in ``number_spans``; ``dictionary`` is the path of the file numbers of unique ids, which keeps them
+    apart from those of other ingests into the same table. Spans of a sequence are numbered by it, not by
+    file.
+
     Staged tables: the classified lines, which are read once for records of one line and once for
     the others; the parsed records, so that block states can be read from a few columns; the
     records with all running values of their file and cursor, which feed the span walk, the clock
@@ -57,15 +68,27 @@ def ingest(
         "kind", "value", "reject"
     )
 
-    of_file = {**context_marks(), **clock_marks(), **reset_marks()}
-    running = finish_context(carry_forward(stored, ["file_name"], "line", of_file))
-    running = resolve_sql_id(running, base=stored)
+    of_process = {**clock_marks(), **reset_marks()}
+    if stream_key is None:
+        base = stored
+        running = finish_context(carry_forward(stored, ["file_name"], "line", {**context_marks(), **of_process}))
+    else:
+        places = stage(place_files(stored, stream_key), "file_places")
+        base = in_sequence(stored, places)
+        with_context = finish_context(carry_forward(stored, ["file_name"], "line", context_marks()))
+        running = carry_forward(in_sequence(with_context, places), ["file_name"], "line", of_process, base=base)
+    running = resolve_sql_id(running, base=base)
     segmented = stage(only_line(running, "_reset"), "running")
 
     starts = stage(repeated_starts(segmented), "starts")
     cut = cut_spans(segmented, starts, attach_lobs)
     resets = segmented.where("ops = 'RESET'").select("file_name", "line")
-    ops = number_spans(finish_clock(cut), ids, resets).select(*OPS_COLUMNS)
+    numbers = None
+    if ids == "unique":
+        names = segmented.select("file_name")
+        numbers = number_files(names) if dictionary is None else file_dictionary(names, dictionary)
+    ops = number_spans(finish_clock(cut), ids, resets, segmented, numbers)
+    ops = (ops if stream_key is None else out_of_sequence(ops)).select(*OPS_COLUMNS)
     return Ingest(
         ops=ops,
         rejects=records.where(F.col("reject").isNotNull()).select(

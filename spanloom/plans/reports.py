@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.functions.filters import semi_join
 from spanloom.functions.labels import short_path, statement_label, wait_label
 from spanloom.functions.predicates import threshold
 from spanloom.functions.quantiles import grouped_stats
-from spanloom.plans.views import METRICS, cursor_elapsed, span_elapsed, span_metrics, sql_texts
+from spanloom.plans.views import METRICS, cursor_elapsed, slow_spans, span_elapsed, span_key, span_metrics, sql_texts
 from spanloom.sources.stage import stage
 
 DEFAULT_LIMIT = 30
@@ -46,9 +47,10 @@ def summary(
     where: Column | None = None,
     limit: int | None = DEFAULT_LIMIT,
     remove_idle: bool = False,
+    across_files: bool = False,
 ) -> DataFrame:
     """Executions and latency per statement; ``where`` filters executions (see ``preds``)."""
-    spans = stage(_where(span_elapsed(ops, remove_idle), where).select("sql_id", "ela"), "spans")
+    spans = stage(_where(span_elapsed(ops, remove_idle, across_files), where).select("sql_id", "ela"), "spans")
     stats = grouped_stats(spans, ["sql_id"], "ela")
     top = _top(stats, "n", ["sql_id"], limit)
     texts = sql_texts(ops, "sql_id", statement_label(F.col("event_raw")))
@@ -68,9 +70,10 @@ def summary(
     )
 
 
-def cursor_summary(ops: DataFrame) -> DataFrame:
+def cursor_summary(ops: DataFrame, across_files: bool = False) -> DataFrame:
     """Executions and latency per cursor handle, for traces that miss the parse records."""
-    stats = grouped_stats(stage(cursor_elapsed(ops).select("cursor_id", "ela"), "cursors"), ["cursor_id"], "ela")
+    spans = stage(cursor_elapsed(ops, across_files).select("cursor_id", "ela"), "cursors")
+    stats = grouped_stats(spans, ["cursor_id"], "ela")
     return (
         stats.join(sql_texts(ops, "cursor_id"), "cursor_id", "left")
         .select("cursor_id", "sql_text", F.col("n").alias("execs"), "median", "p99")
@@ -84,6 +87,7 @@ def outliers(
     where: Column | None = None,
     statistic: str = "elapsed_time",
     limit: int | None = DEFAULT_LIMIT,
+    across_files: bool = False,
 ) -> DataFrame:
     """Executions by the total of ``statistic`` (any numeric column), largest first.
 
@@ -91,8 +95,9 @@ def outliers(
     place of the first line is looked up afterwards, for the shown executions only, so the big
     aggregate carries integers alone.
     """
-    rows = _where(ops, where)
-    keys = ["cursor_id", "span_id"]
+    named = span_key(ops, across_files)
+    rows = _where(ops, where).select("*", *named[1:])
+    keys = ["cursor_id", "span_id", *(["_span_file"] if named[1:] else [])]
     total = F.col("_total")
     condition = threshold(limits, total)
     groups = (
@@ -102,9 +107,10 @@ def outliers(
     )
     top = _top(groups, "_total", [*keys, "_line"], limit)
     here = [F.col(f"h.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-    found = rows.alias("h").join(
-        top.alias("t"), here[0] & here[1] & (F.col("h.line") == F.col("t._line"))
-    )
+    same = F.col("h.line") == F.col("t._line")
+    for condition in here:
+        same = same & condition
+    found = rows.alias("h").join(top.alias("t"), same)
     return (
         found.groupBy("t.rownum", "t.cursor_id", "t._total", "t._line")
         .agg(F.min(F.struct("h.file_name", "h.ts")).alias("_at"))
@@ -127,14 +133,15 @@ def waits(
     slower_than: int | None = None,
     limit: int | None = DEFAULT_LIMIT,
     remove_idle: bool = False,
+    across_files: bool = False,
 ) -> DataFrame:
-    """Wait events; ``slower_than`` keeps only waits inside executions above that many µs."""
+    """Wait events; ``slower_than`` keeps only waits inside executions above that many µs. A filter of these
+    executions keeps nearly all other waits from being shuffled."""
     rows = _where(ops.where(F.col("ops") == "WAIT"), where)
     if slower_than is not None:
-        slow = span_elapsed(ops, remove_idle).where(F.col("ela") > slower_than)
-        rows = rows.where(F.col("cursor_id") != "#0").join(
-            slow.select("span_id"), "span_id", "left_semi"
-        )
+        slow = stage(slow_spans(ops, slower_than, remove_idle, across_files), "slow_spans")
+        inside = rows.where(F.col("cursor_id") != "#0").select("event_name", "cursor_id", "elapsed_time", *span_key(ops, across_files))
+        rows = semi_join(inside, slow, slow.columns)
     named = rows.select(
         wait_label(F.col("event_name"), F.col("cursor_id")).alias("wait"), "elapsed_time"
     )
@@ -152,14 +159,13 @@ def waits(
 
 
 def db_totals(ops: DataFrame) -> DataFrame:
-    """Rows, files, statements, cursors and time range of the whole table."""
+    """Rows, files, statements, cursors and time range of the whole table, from one scan: rows are combined by file,
+    statement and cursor, and the distinct counts read what is left."""
     keys = ["file_name", "sql_id", "cursor_id"]
     groups = ops.groupBy(*keys).agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
-    groups = stage(groups, "totals")
-    distinct = [groups.where(F.col(k).isNotNull()).groupBy(k).agg(F.lit(1)).agg(F.count("*")).scalar() for k in keys]
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        *[F.first(d).alias(name) for d, name in zip(distinct, ("files", "sql_ids", "cursors"), strict=True)],
+        *[F.count_distinct(k).alias(name) for k, name in zip(keys, ("files", "sql_ids", "cursors"), strict=True)],
         F.min("first").alias("first_timestamp"),
         F.max("last").alias("last_timestamp"),
     )
@@ -201,11 +207,12 @@ _METRIC_NAMES = {
 }
 
 
-def sql_metrics(ops: DataFrame, sql_id: str) -> DataFrame:
+def sql_metrics(ops: DataFrame, sql_id: str, across_files: bool = False) -> DataFrame:
     """Distribution of six per-execution totals of one statement, from a single scan."""
-    spans = span_metrics(ops.where(F.col("sql_id") == sql_id))
+    spans = span_metrics(ops.where(F.col("sql_id") == sql_id), across_files)
     renamed = spans.select("span_id", *[F.col(m).alias(_METRIC_NAMES[m]) for m in METRICS])
-    long = renamed.unpivot("span_id", list(_METRIC_NAMES.values()), "statistic", "value")
+    wide = stage(renamed, "metrics")
+    long = wide.unpivot("span_id", list(_METRIC_NAMES.values()), "statistic", "value")
     return grouped_stats(long, ["statistic"], "value").select(
         "statistic", F.col("total").alias("sum"), "median", "p99", "max"
     )
@@ -223,9 +230,8 @@ def shown_op(ops: Column) -> Column:
 def sql_ops(ops: DataFrame, sql_id: str) -> DataFrame:
     """CPU and elapsed time of one statement by operation."""
     rows = ops.where((F.col("sql_id") == sql_id) & F.col("ops").isin(_SHOWN_OPS))
-    long = rows.select("ops", "cpu_time", "elapsed_time").unpivot(
-        "ops", ["cpu_time", "elapsed_time"], "_measure", "_value"
-    )
+    timed = stage(rows.select("ops", "cpu_time", "elapsed_time"), "timed_calls")
+    long = timed.unpivot("ops", ["cpu_time", "elapsed_time"], "_measure", "_value")
     stats = grouped_stats(long, ["ops", "_measure"], "_value")
 
     def of(measure: str, stat: str) -> Column:
