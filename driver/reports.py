@@ -10,6 +10,8 @@ from spanloom.operators.render import shown_record
 from spanloom.plans import histogram as H
 from spanloom.plans import reports as R
 from spanloom.plans import views as V
+from spanloom.sources.stage import stage_path
+from spanloom.sources.store import read_clustered, write_clustered
 
 _V = f"with v as ({DUCK_OPS}) "
 _ELA = """, ela as (select sql_id, span_id, max(tim) - min(tim) as ela, min(ts) as ts, arg_min(client_id, line) as client_id
@@ -89,6 +91,24 @@ _DIST_COLS = """select name, value_high as value, level / 100.0::double as perce
   1.0::double / (1.0::double - level / 100.0::double) as inverse from m where upto < total or k = 1
   union all select name, value_high, 1.0::double, cast(upto as bigint), null from b where upto = total"""
 
+_FILTERED_SQL = _summary_sql(
+    "where ts >= timestamp '2024-01-03 00:00:00' and ts < timestamp '2024-01-25 12:00:00' "
+    "and client_id = 'c3' and sql_id in ('q3', 'q8', 'q13')",
+    2,
+    True,
+)
+_FILTERED = ("2024-01-03 00:00:00", "2024-01-25 12:00:00", "c3", "q3,q8,q13")
+
+
+def _summary_clustered(spark, sf_dir: str):
+    """``summary_filtered`` over a stored table that is laid out for it."""
+    path = stage_path(spark, "clustered_ops")
+    write_clustered(ops_view(spark, sf_dir), path, row_group_bytes=1 << 20)
+    start, end, _, ids = _FILTERED
+    part = read_clustered(spark, path, start, end, ids)
+    return R.summary(read_clustered(spark, path), preds(*_FILTERED), limit=2, remove_idle=True, executions=part)
+
+
 REPORT_QUERIES = {
     "read_ops_project": (
         lambda s, d: shown_record(ops_view(s, d)).select(
@@ -126,17 +146,13 @@ REPORT_QUERIES = {
     "summary_filtered": (
         lambda s, d: R.summary(
             ops_view(s, d),
-            preds("2024-01-03 00:00:00", "2024-01-25 12:00:00", "c3", "q3,q8,q13"),
+            preds(*_FILTERED),
             limit=2,
             remove_idle=True,
         ),
-        _summary_sql(
-            "where ts >= timestamp '2024-01-03 00:00:00' and ts < timestamp '2024-01-25 12:00:00' "
-            "and client_id = 'c3' and sql_id in ('q3', 'q8', 'q13')",
-            2,
-            True,
-        ),
+        _FILTERED_SQL,
     ),
+    "summary_clustered": (_summary_clustered, _FILTERED_SQL),
     "cursor_summary": (
         lambda s, d: R.cursor_summary(ops_view(s, d)),
         f"""{_V}{_CELA}, s as (select cursor_id, count(*) as execs, median(ela) as median,

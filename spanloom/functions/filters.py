@@ -15,8 +15,8 @@ WORDS = 1024
 BITS_A_KEY = 12
 MOST_SLICES = 1 << 12  # 32 MB
 
-_WORD = f"cast(pmod(shiftright(_hash, 12), {WORDS}) as int)"
-_MASK = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(_hash, {at}) & 63 as int))" for at in (24, 32, 40, 48))
+_WORD = f"cast(pmod(shiftright(_bloom_hash, 12), {WORDS}) as int)"
+_MASK = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(_bloom_hash, {at}) & 63 as int))" for at in (24, 32, 40, 48))
 
 
 def slices_for(keys: int) -> int:
@@ -26,25 +26,25 @@ def slices_for(keys: int) -> int:
 
 
 def bloom_filter(keys: DataFrame, columns: list[str], slices: int) -> DataFrame:
-    """``_slice, _words`` of the keys in ``columns``."""
-    hashed = keys.select(F.xxhash64(*columns).alias("_hash"))
-    bits = hashed.selectExpr(f"pmod(_hash, {slices}) as _slice", f"{_WORD} as _word", f"{_MASK} as _mask")
+    """``_bloom_slice, _bloom_words`` of the keys in ``columns``."""
+    hashed = keys.select(F.xxhash64(*columns).alias("_bloom_hash"))
+    bits = hashed.selectExpr(f"pmod(_bloom_hash, {slices}) as _bloom_slice", f"{_WORD} as _word", f"{_MASK} as _mask")
     # A row for every word, so that its place in the array is its number.
     every = keys.sparkSession.range(slices).selectExpr(
-        "id as _slice", f"explode(sequence(0, {WORDS - 1})) as _word", "0L as _mask"
+        "id as _bloom_slice", f"explode(sequence(0, {WORDS - 1})) as _word", "0L as _mask"
     )
-    words = bits.unionByName(every).groupBy("_slice", "_word").agg(F.expr("bit_or(_mask) as _bits"))
-    return words.groupBy("_slice").agg(
-        F.expr("transform(sort_array(collect_list(struct(_word, _bits))), x -> x._bits) as _words")
+    words = bits.unionByName(every).groupBy("_bloom_slice", "_word").agg(F.expr("bit_or(_mask) as _bits"))
+    return words.groupBy("_bloom_slice").agg(
+        F.expr("transform(sort_array(collect_list(struct(_word, _bits))), x -> x._bits) as _bloom_words")
     )
 
 
 def may_hold(rows: DataFrame, columns: list[str], made: DataFrame, slices: int) -> DataFrame:
     """Those of ``rows`` whose key may be in the filter: all that are, and few others."""
-    hashed = rows.select("*", F.xxhash64(*columns).alias("_hash")).selectExpr("*", f"pmod(_hash, {slices}) as _slice")
-    asked = hashed.join(F.broadcast(made), "_slice")  # MOST_SLICES at most
+    hashed = rows.select("*", F.xxhash64(*columns).alias("_bloom_hash")).selectExpr("*", f"pmod(_bloom_hash, {slices}) as _bloom_slice")
+    asked = hashed.join(F.broadcast(made), "_bloom_slice")  # MOST_SLICES at most
     kept = [F.col(f"`{c}`") for c in rows.columns]
-    return asked.where(f"(_words[{_WORD}] & ({_MASK})) = ({_MASK})").select(*kept)
+    return asked.where(f"(_bloom_words[{_WORD}] & ({_MASK})) = ({_MASK})").select(*kept)
 
 
 def semi_join(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:

@@ -27,14 +27,17 @@ def preds(
     if client_id is not None:
         parts.append(F.col("client_id") == F.lit(client_id))
     if sql_ids is not None:
-        ids = sql_ids.split(",") if isinstance(sql_ids, str) else list(sql_ids)
-        parts.append(F.col("sql_id").isin(ids))
+        parts.append(F.col("sql_id").isin(id_list(sql_ids)))
     out: Column | None = None
     for part in parts:
         out = part if out is None else out & part
     return out
 
 
+def id_list(sql_ids: str | Iterable[str]) -> list[str]:
+    return sql_ids.split(",") if isinstance(sql_ids, str) else list(sql_ids)
+
+
 def threshold(spec: str | int | Iterable[int] | None, value: Column) -> Column | None:
     """One number: above it. Two: between them, both included. None or '': no condition."""
     if spec is None or spec == "":

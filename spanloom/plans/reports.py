@@ -48,9 +48,15 @@ def summary(
     limit: int | None = DEFAULT_LIMIT,
     remove_idle: bool = False,
     across_files: bool = False,
+    executions: DataFrame | None = None,
 ) -> DataFrame:
-    """Executions and latency per statement; ``where`` filters executions (see ``preds``)."""
-    spans = stage(_where(span_elapsed(ops, remove_idle, across_files), where).select("sql_id", "ela"), "spans")
+    """Executions and latency per statement; ``where`` filters executions (see ``preds``).
+
+    ``executions`` are the rows to take executions from where ``where`` makes do with fewer than ``ops``
+    (see ``read_clustered``); statement texts come from ``ops``.
+    """
+    rows = ops if executions is None else executions
+    spans = stage(_where(span_elapsed(rows, remove_idle, across_files), where).select("sql_id", "ela"), "spans")
     stats = grouped_stats(spans, ["sql_id"], "ela")
     top = _top(stats, "n", ["sql_id"], limit)
     texts = sql_texts(ops, "sql_id", statement_label(F.col("event_raw")))
