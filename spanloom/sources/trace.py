@@ -9,7 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spanloom.sources.stage import stage
+
 _PACKED = (".xz", ".lzma")
+INDEX_ROWS = 1 << 20  # splits whose index is sent to the executors: 24 bytes each
 _LINES = "file_name string, line bigint, value string"
 
 
@@ -49,27 +52,47 @@ def number_lines(raw: DataFrame) -> DataFrame:
     """Line numbers without moving the text: ``raw`` has ``file_name, _split, _at, value``.
 
     The lines of one input split are consecutive in one task, so their distance ``_at`` to the first
-    one is known there; the number of lines in earlier splits of the file comes from one row per
-    split.
+    one is known there; the number of lines in earlier splits of the file comes from an index of one row per
+    split, which goes to the executors. With more than ``INDEX_ROWS`` splits the files are taken in as many parts
+    as it needs, each with an index of its own.
     """
+    index = _split_index(raw)
+    parts = -(-index.count() // INDEX_ROWS)
+    if parts <= 1:
+        return _with_lines(raw, index)
+    numbered = []
+    for part in range(parts):
+        some = raw.where(f"pmod(xxhash64(file_name), {parts}) = {part}")
+        numbered.append(_with_lines(some, _split_index(some)))  # its own: other splits share tasks in this scan
+    out = numbered[0]
+    for df in numbered[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _split_index(raw: DataFrame) -> DataFrame:
+    """``file_name, _split, _shift``: what makes a line number of ``_at`` in that split."""
     earlier = (
         Window.partitionBy("file_name")
         .orderBy("_split")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    splits = (
-        raw.groupBy("file_name", "_split")
-        .agg(F.count("*").alias("_n"), F.min("_at").alias("_from"))
-        .select(
-            "file_name",
-            "_split",
-            "_from",
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        )
-    )
-    return raw.join(splits, ["file_name", "_split"]).select(
-        "file_name", (F.col("_before") + F.col("_at") - F.col("_from") + 1).alias("line"), "value"
-    )
+    splits = raw.groupBy("file_name", "_split").agg(F.count("*").alias("_n"), F.min("_at").alias("_from"))
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    return stage(splits.select("file_name", "_split", (before - F.col("_from") + 1).alias("_shift")), "splits")
+
+
+def _with_lines(raw: DataFrame, index: DataFrame) -> DataFrame:
+    """Files go by a hash of their name, eight bytes instead of a path, if it tells them apart."""
+    code = F.xxhash64("file_name").alias("_code")
+    rows, different = index.agg(F.count("*"), F.count_distinct(code, "_split")).first()
+    named = [code] if rows == different else [F.col("file_name").alias("_code")]
+    found = index.select(*named, "_split", "_shift")
+    # A part whose one file has more splits than an index may hold is joined like any two tables.
+    found = F.broadcast(found) if rows <= 2 * INDEX_ROWS else found
+    # Outer: a plan that asks for no line may cut the files into other splits and still loses no row.
+    coded = raw.select("*", *named).join(found, ["_code", "_split"], "left")
+    return coded.select("file_name", (F.col("_at") + F.col("_shift")).alias("line"), "value")
 
 
 def _unpacked(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.plans.ingest import ingest, ingest_stats
+from spanloom.sources import trace
 from spanloom.sources.store import read_ops
 from spanloom.sources.trace import read_lines
 from spanloom.streaming.ingest import stream_ingest
@@ -196,6 +197,29 @@ def test_line_numbers_do_not_depend_on_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("most", [1 << 20, 7])
+def test_numbering_does_not_move_the_text(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(trace, "INDEX_ROWS", most)
+    for name in "abc":
+        (tmp_path / f"{name}.trc").write_text("".join(f"{name} {i}\n" for i in range(1, 901)))
+    kept = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in kept}
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+    try:
+        lines = read_lines(spark, str(tmp_path))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        if most > 7:
+            assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        name = F.regexp_extract("file_name", "([abc])[.]trc", 1)
+        assert lines.count() == 2700
+        assert lines.where(F.concat(name, F.lit(" "), "line") != F.col("value")).count() == 0
+        assert lines.where("line is null").count() == 0 and lines.where("file_name like '%b.trc'").count() == 900
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_two_streams_share_a_target(spark, tmp_path):
     for name, line in (("one", "EXEC #10:c=1,e=2,tim=3"), ("two", "EXEC #11:c=1,e=2,ti")):
         folder = tmp_path / name
