@@ -356,6 +356,25 @@ def _sequence(spark, sf_dir: str) -> DataFrame:
     ).drop("span_id")
 
 
+def _totals(spark, sf_dir: str) -> DataFrame:
+    """Totals of an ingest, and of the batches of a stream of the same text in files of a thousand events."""
+    whole = ingest(trace_view(spark, sf_dir)).totals
+    counts = ("lines", "records", "rejects", "orphans")
+    one = spark.createDataFrame([("batch", *[getattr(whole, c) for c in counts])], f"way string, {' bigint, '.join(counts)} bigint")
+    batches = spark.read.parquet(f"{_streamed(spark, sf_dir)}/_totals")
+    return one.unionByName(batches.select(F.lit("stream").alias("way"), *[F.sum(c).alias(c) for c in counts]))
+
+
+def _totals_sql(lines: str, way: str) -> str:
+    return f"""(with l as (select * from ({lines} select kind, {_BAD} as bad, {_GOOD} as good from d) x) select '{way}' as way,
+      count_if(kind <> 'ORPHAN' and kind <> 'RESET' and good) as records, count_if(kind <> 'ORPHAN' and not good) as rejects,
+      count_if(kind = 'ORPHAN') as orphans from l)"""
+
+
+_TOTALS_SQL = f"""select *, (select count(*) from ({DUCK_TRACE})) as lines from (
+  select * from {_totals_sql(_LINES, "batch")} union all select * from {_totals_sql(_FILE_LINES, "stream")})"""
+
+
 def _rejects(spark, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir).where("reject is not null")
 
@@ -531,6 +550,10 @@ TRACE_QUERIES = {
         select number * (1::bigint << 36) + min(line) as span_id, file_name, min(line) as first_line, max(line) as last_line
         from numbered group by file_name, number, span_cursor, first_line""",
     ),
+    "ingest_totals": (
+        _totals,
+        _TOTALS_SQL,
+    ),
     "ingest_rows": (
         lambda s, d: ingest(trace_view(s, d)).ops,
         None,

@@ -14,22 +14,27 @@ from spanloom.operators.carry import Mark, carry_forward
 MULTILINE = ["PARSING IN CURSOR", "BINDS", "PARSE ERROR"]
 
 
-def classify(lines: DataFrame) -> DataFrame:
+def classify(lines: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Add ``kind``, ``call`` (operation of a call line) and ``owner`` (record of a text line).
 
     Kinds: CALL, TEXT (continues the owner), END (of a statement), LOB, XCTEND, RESET, STAR,
     HEADER and ORPHAN. What a line means depends on the latest call line and on whether a statement
-    end has passed since, nothing else; both are carried forward. Blank and preamble lines go.
+    end has passed since, nothing else; both are carried forward, from the same lines as ``base`` if it is
+    given. Blank and preamble lines go.
     """
-    rows = lines.where(f"line > {X.PREAMBLE_LINES} and length(value) > 0").selectExpr(
-        "*", f"{X.call_op('value')} as call"
-    )
+
+    def called(some: DataFrame) -> DataFrame:
+        kept = some.where(f"line > {X.PREAMBLE_LINES} and length(value) > 0")
+        return kept.selectExpr("*", f"{X.call_op('value')} as call")
+
+    rows = called(lines)
     ends = f"startswith(value, '{X.STATEMENT_END}')"
     state = carry_forward(
         rows,
         ["file_name"],
         "line",
         {"_owner": Mark("call <> ''", "call"), "_end": Mark(ends, "true", strict=True)},
+        base=None if base is None else called(base),
     )
     in_statement = "_owner.value = 'PARSING IN CURSOR' and coalesce(_end.at, 0L) < _owner.at"
     kind = f"""case

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.operators.carry import carry_forward
@@ -28,6 +29,17 @@ from spanloom.sources.stage import stage
 from spanloom.sources.trace import read_lines
 
 
+@dataclass(frozen=True)
+class Totals:
+    """What one ingest read, and the seconds until its records were resolved; counted while its tables are written."""
+
+    lines: int
+    records: int
+    rejects: int
+    orphans: int
+    seconds: float
+
+
 @dataclass(frozen=True)
 class Ingest:
     """Results of one ingest: lazy reads of staged tables."""
@@ -36,6 +48,11 @@ class Ingest:
     rejects: DataFrame
     orphans: DataFrame
     records: DataFrame
+    totals: Totals
+
+
+# Records that go on to the fact table or to the operators that fill it.
+_STORED = "reject is null and kind <> 'ORPHAN'"
 
 
 def ingest(
@@ -61,13 +78,33 @@ def ingest(
     records with all running values of their file and cursor, which feed the span walk, the clock
     and the final projection; and the few lines where a repeated call starts a span.
     """
+    begun = time.monotonic()
     lines = source if isinstance(source, DataFrame) else read_lines(source, paths)
-    classified = stage(classify(lines), "lines")
-    records = stage(parse_records(assemble(classified), zone), "records")
-    stored = records.where("reject is null and kind <> 'ORPHAN'").drop(
-        "kind", "value", "reject"
+    seen, parsed = Observation(), Observation()
+    classified = stage(classify(lines.observe(seen, F.count(F.lit(1)).alias("lines")), base=lines), "lines")
+    counts = {
+        "records": f"{_STORED} and kind <> 'RESET'",
+        "rejects": "reject is not null",
+        "orphans": "kind = 'ORPHAN'",
+    }
+    records = parse_records(assemble(classified), zone)
+    records = stage(records.observe(parsed, *[F.expr(f"count_if({c}) as {n}") for n, c in counts.items()]), "records")
+    stored = records.where(_STORED).drop("kind", "value", "reject")
+    cut, segmented = resolve(stored, attach_lobs, stream_key)
+    ops = finish_spans(cut, segmented, ids, dictionary)
+    return Ingest(
+        ops=(ops if stream_key is None else out_of_sequence(ops)).select(*OPS_COLUMNS),
+        rejects=records.where(F.col("reject").isNotNull()).select(
+            "file_name", "line", "value", F.col("reject").alias("reason")
+        ),
+        orphans=records.where(F.col("kind") == "ORPHAN").select("file_name", "line", "value"),
+        records=records,
+        totals=Totals(**seen.get, **parsed.get, seconds=time.monotonic() - begun),
     )
 
+
+def resolve(stored: DataFrame, attach_lobs: bool = False, stream_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Accepted records with all running values, as a table, and the same cut into spans (file, cursor, mark)."""
     of_process = {**clock_marks(), **reset_marks()}
     if stream_key is None:
         base = stored
@@ -79,24 +116,17 @@ def ingest(
         running = carry_forward(in_sequence(with_context, places), ["file_name"], "line", of_process, base=base)
     running = resolve_sql_id(running, base=base)
     segmented = stage(only_line(running, "_reset"), "running")
+    return cut_spans(segmented, stage(repeated_starts(segmented), "starts"), attach_lobs), segmented
+
 
-    starts = stage(repeated_starts(segmented), "starts")
-    cut = cut_spans(segmented, starts, attach_lobs)
+def finish_spans(cut: DataFrame, segmented: DataFrame, ids: str, dictionary: str | None = None) -> DataFrame:
+    """Wall clock and ``span_id`` of records that are cut into spans."""
     resets = segmented.where("ops = 'RESET'").select("file_name", "line")
     numbers = None
     if ids == "unique":
         names = segmented.select("file_name")
         numbers = number_files(names) if dictionary is None else file_dictionary(names, dictionary)
-    ops = number_spans(finish_clock(cut), ids, resets, segmented, numbers)
-    ops = (ops if stream_key is None else out_of_sequence(ops)).select(*OPS_COLUMNS)
-    return Ingest(
-        ops=ops,
-        rejects=records.where(F.col("reject").isNotNull()).select(
-            "file_name", "line", "value", F.col("reject").alias("reason")
-        ),
-        orphans=records.where(F.col("kind") == "ORPHAN").select("file_name", "line", "value"),
-        records=records,
-    )
+    return number_spans(finish_clock(cut), ids, resets, segmented, numbers)
 
 
 def ingest_stats(lines: DataFrame, rejects: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from spanloom.sources.stage import remove_stages, stage_folder
 from spanloom.sources.store import write_ops
 from spanloom.sources.trace import number_lines
 
+_TOTALS = "lines bigint, records bigint, rejects bigint, orphans bigint, seconds double"
+
 
 def stream_ingest(
     spark: SparkSession,
@@ -26,8 +29,8 @@ def stream_ingest(
     attach_lobs: bool = False,
     **options: str,
 ) -> StreamingQuery:
-    """Append every new trace file of ``folder`` to the fact table at ``target``, and what was not stored to the
-    tables ``_rejects`` and ``_orphans`` in it.
+    """Append every new trace file of ``folder`` to the fact table at ``target``, what was not stored to the
+    tables ``_rejects`` and ``_orphans`` in it, and a row of totals per batch to ``_totals``.
 
     Files are independent of each other, so a batch needs no state of earlier ones: the whole batch
     ingest runs per micro-batch. Files must appear complete (moved into the folder), since the
@@ -50,12 +53,17 @@ def stream_ingest(
 
     def append(batch: DataFrame, batch_id: int) -> None:
         own = f"stream={stream}/batch={batch_id}"
+        begun = time.monotonic()
         with stage_folder(batch.sparkSession, f"{stream}-{batch_id}"):
             lines = number_lines(batch.withColumn("_at", F.monotonically_increasing_id()))
             done = ingest(lines, ids=ids, zone=zone, attach_lobs=attach_lobs)
             write_ops(done.ops, f"{target}/{own}", mode="overwrite", version_row=False)
             done.rejects.write.mode("overwrite").parquet(f"{target}/_rejects/{own}")
             done.orphans.write.mode("overwrite").parquet(f"{target}/_orphans/{own}")
+            t = done.totals
+            row = [(t.lines, t.records, t.rejects, t.orphans, time.monotonic() - begun)]
+            totals = batch.sparkSession.createDataFrame(row, _TOTALS)
+            totals.coalesce(1).write.mode("overwrite").parquet(f"{target}/_totals/{own}")
         remove_stages(batch.sparkSession, f"{stream}-{batch_id}")
 
     writer = text.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
