@@ -19,6 +19,7 @@ from spanloom.schema import OPS_SCHEMA
 from spanloom.sources.stage import stage, stage_path
 from spanloom.sources.store import RELATIONAL_NAMES, jdbc_rows, read_ops, write_ops
 from spanloom.sources.trace import read_lines
+from spanloom.streaming.follow import follow
 from spanloom.streaming.ingest import stream_ingest
 
 _CALL = X.CALL
@@ -356,6 +357,29 @@ def _sequence(spark, sf_dir: str) -> DataFrame:
     ).drop("span_id")
 
 
+def _followed(spark, sf_dir: str) -> DataFrame:
+    """Spans of files that grow in three rounds; each round writes the files anew, with more of their lines."""
+    out, state = stage_path(spark, "followed"), stage_path(spark, "follow_state")
+    lines = trace_view(spark, sf_dir).withColumn("part", F.expr("(line - 4) div 8000"))
+    for most in (2700, 5300, 8000):
+        path = stage_path(spark, "growing_text")
+        some = lines.where(F.expr(f"(line - 4) % 8000 < {most}"))
+        some.repartition("part").sortWithinPartitions("part", "line").select("part", "value").write.partitionBy("part").text(path)
+        follow(spark, f"{path}/*", out, state, name=r"concat('f', regexp_extract(file_name, 'part=(\\d+)', 1))")
+    follow(spark, f"{path}/*", out, state, name=r"concat('f', regexp_extract(file_name, 'part=(\\d+)', 1))", idle_rounds=1)
+    return _per_span(read_ops(spark, out))
+
+
+_FOLLOWED_SQL = _SPANS.replace("with recursive trace as (", "with recursive trace0 as (", 1).replace(
+    "\na as (",
+    """
+trace as (select 'f' || ((line - 4) // 8000) as file_name,
+  row_number() over (partition by (line - 4) // 8000 order by line) as line, value from trace0),
+a as (""",
+    1,
+) + _SPAN_ROWS.format(src="spn")
+
+
 def _totals(spark, sf_dir: str) -> DataFrame:
     """Totals of an ingest, and of the batches of a stream of the same text in files of a thousand events."""
     whole = ingest(trace_view(spark, sf_dir)).totals
@@ -550,6 +574,10 @@ TRACE_QUERIES = {
         select number * (1::bigint << 36) + min(line) as span_id, file_name, min(line) as first_line, max(line) as last_line
         from numbered group by file_name, number, span_cursor, first_line""",
     ),
+    "follow_ingest": (
+        _followed,
+        _FOLLOWED_SQL,
+    ),
     "ingest_totals": (
         _totals,
         _TOTALS_SQL,

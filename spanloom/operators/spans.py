@@ -20,8 +20,8 @@ from spanloom.schema import SINGLE_OPS, TRACKED_OPS
 from spanloom.sources.files import number_files
 from spanloom.sources.stage import stage
 
-_ONCE = [op for op in SINGLE_OPS if op != "PIC"]
-_STATES = 1 << len(_ONCE)
+ONCE_OPS = [op for op in SINGLE_OPS if op != "PIC"]
+_STATES = 1 << len(ONCE_OPS)
 _LETTERS = "".join(chr(ord("0") + s) for s in range(_STATES))
 WALK_LINES = 1 << 13
 WALK_LEVELS = 1
@@ -79,7 +79,7 @@ def _step(state: int, op: int) -> int:
 # SQL: per call kind, the letters of the states that follow the states ``_LETTERS``. Raw literals,
 # since one of the letters is the backslash.
 _FUNCTIONS = ", ".join(
-    "r'" + "".join(_LETTERS[_step(s, op)] for s in range(_STATES)) + "'" for op in range(len(_ONCE))
+    "r'" + "".join(_LETTERS[_step(s, op)] for s in range(_STATES)) + "'" for op in range(len(ONCE_OPS))
 )
 _START = _LETTERS[0]
 
@@ -122,7 +122,7 @@ def repeated_starts(
 ) -> DataFrame:
     """Lines that start a span because their kind is already in the current one."""
     keys = ["file_name", "cursor_id", "_segment"]
-    kinds = ", ".join(repr(op) for op in _ONCE)
+    kinds = ", ".join(repr(op) for op in ONCE_OPS)
     once = segmented.where(f"ops in ({kinds})").selectExpr(
         "file_name",
         "cursor_id",

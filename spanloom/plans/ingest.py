@@ -52,7 +52,7 @@ class Ingest:
 
 
 # Records that go on to the fact table or to the operators that fill it.
-_STORED = "reject is null and kind <> 'ORPHAN'"
+STORED = "reject is null and kind <> 'ORPHAN'"
 
 
 def ingest(
@@ -83,13 +83,13 @@ def ingest(
     seen, parsed = Observation(), Observation()
     classified = stage(classify(lines.observe(seen, F.count(F.lit(1)).alias("lines")), base=lines), "lines")
     counts = {
-        "records": f"{_STORED} and kind <> 'RESET'",
+        "records": f"{STORED} and kind <> 'RESET'",
         "rejects": "reject is not null",
         "orphans": "kind = 'ORPHAN'",
     }
     records = parse_records(assemble(classified), zone)
     records = stage(records.observe(parsed, *[F.expr(f"count_if({c}) as {n}") for n, c in counts.items()]), "records")
-    stored = records.where(_STORED).drop("kind", "value", "reject")
+    stored = records.where(STORED).drop("kind", "value", "reject")
     cut, segmented = resolve(stored, attach_lobs, stream_key)
     ops = finish_spans(cut, segmented, ids, dictionary)
     return Ingest(
