@@ -10,6 +10,7 @@ from spanloom.operators.render import shown_record
 from spanloom.plans import histogram as H
 from spanloom.plans import reports as R
 from spanloom.plans import views as V
+from spanloom.plans.histogram_table import add_batch, compact, hours_histogram
 from spanloom.sources.stage import stage_path
 from spanloom.sources.store import read_clustered, write_clustered
 
@@ -109,6 +110,25 @@ def _summary_clustered(spark, sf_dir: str):
     return R.summary(read_clustered(spark, path), preds(*_FILTERED), limit=2, remove_idle=True, executions=part)
 
 
+_HOURS = ("2024-01-05 03:00:00", "2024-01-19 17:00:00")
+
+
+def _histogram_hours(spark, sf_dir: str):
+    """Histograms of a range of hours from a stored table that took the spans in three batches."""
+    path = stage_path(spark, "hours")
+    ops = ops_view(spark, sf_dir)
+    for batch in range(3):
+        add_batch(ops.where(F.col("span_id") % 3 == batch), path, f"b{batch}")
+        if batch == 1:
+            compact(spark, path)
+    sql = hours_histogram(spark, path, "sql", *_HOURS, names="q1,q2,q3")
+    return sql.unionByName(hours_histogram(spark, path, "wait", *_HOURS))
+
+
+_HOURS_SQL = f"""{_V}{_ela()}, src as (select sql_id as name, ela as x from ela where sql_id in ('q1', 'q2', 'q3') and ts >= timestamp '{_HOURS[0]}' and ts < timestamp '{_HOURS[1]}'
+  union all select event_name, elapsed_time from v where ops = 'WAIT' and ts >= timestamp '{_HOURS[0]}' and ts < timestamp '{_HOURS[1]}'){_HIST} select * from h"""
+
+
 REPORT_QUERIES = {
     "read_ops_project": (
         lambda s, d: shown_record(ops_view(s, d)).select(
@@ -213,6 +233,7 @@ REPORT_QUERIES = {
         lambda s, d: H.histogram(ops_view(s, d), sql_ids="q1,q2,q3"),
         f"{_HIST_SPANS} select * from h",
     ),
+    "histogram_hours": (_histogram_hours, _HOURS_SQL),
     "histogram_wait": (
         lambda s, d: H.histogram(ops_view(s, d), wait_name="db file sequential read"),
         f"{_HIST_WAIT} select * from h",

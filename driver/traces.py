@@ -358,10 +358,10 @@ def _sequence(spark, sf_dir: str) -> DataFrame:
 
 
 def _followed(spark, sf_dir: str) -> DataFrame:
-    """Spans of files that grow in three rounds; each round writes the files anew, with more of their lines."""
+    """Spans of files that grow in two rounds and end in a third; each round writes the files anew, with more of their lines."""
     out, state = stage_path(spark, "followed"), stage_path(spark, "follow_state")
     lines = trace_view(spark, sf_dir).withColumn("part", F.expr("(line - 4) div 8000"))
-    for most in (2700, 5300, 8000):
+    for most in (4000, 8000):
         path = stage_path(spark, "growing_text")
         some = lines.where(F.expr(f"(line - 4) % 8000 < {most}"))
         some.repartition("part").sortWithinPartitions("part", "line").select("part", "value").write.partitionBy("part").text(path)
