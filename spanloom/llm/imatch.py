@@ -37,6 +37,7 @@ PENDING = 1 << 20  # terms that a task holds before it adds them up
 SENT = 100_000  # rows of a batch of added-up terms
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_PARTS = np.arange(PARTS + 1)
 _MIX = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1) for k in range(PARTS)], np.uint64)
 
 
@@ -47,19 +48,25 @@ class Terms:
         self.known: dict[str, int] = {}
 
     def __call__(self, text: str) -> np.ndarray:
-        found = set()
-        for raw in set(text.lower().split()):
-            own = self.known.get(raw)
-            if own is None:
-                if len(self.known) > WORDS:
-                    self.known.clear()
-                word = _EDGES.sub("", raw)
-                own = xxhash.xxh3_64_intdigest(word) if word else -1
-                if len(raw) < 100:
-                    self.known[raw] = own
-            found.add(own)
-        found.discard(-1)
-        return np.array(sorted(found), np.uint64)
+        raws = set(text.lower().split())
+        plain = list(filter(str.isalnum, raws))  # nothing to strip: hashed as they are, quicker than looked up
+        found = set(map(xxhash.xxh3_64_intdigest, plain))
+        if len(plain) < len(raws):
+            raws.difference_update(plain)
+            if len(self.known) > WORDS:
+                self.known.clear()
+            found.update(map(self._code, raws))
+            found.discard(-1)
+        return np.sort(np.fromiter(found, np.uint64, len(found)))
+
+    def _code(self, raw: str) -> int:
+        own = self.known.get(raw)
+        if own is None:
+            word = _EDGES.sub("", raw)
+            own = xxhash.xxh3_64_intdigest(word) if word else -1
+            if len(raw) < 100:
+                self.known[raw] = own
+        return own
 
 
 class Lexicon:
@@ -150,8 +157,12 @@ def fingerprint(terms: np.ndarray, known: Lexicon) -> str:
     level = len(own).bit_length() - 1
     said = []
     for at in (level, level + 1):
-        taken = (mixed & np.uint64((1 << at) - 1)) == 0
-        hashes = [xxhash.xxh3_64_hexdigest(own[t].tobytes())[:DIGITS] if t.any() else "." * DIGITS for t in taken]
+        part, place = np.nonzero((mixed & np.uint64((1 << at) - 1)) == 0)  # by part, then term
+        taken, ends = own[place].tobytes(), (8 * np.searchsorted(part, _PARTS)).tolist()
+        hashes = [
+            xxhash.xxh3_64_hexdigest(taken[start:stop])[:DIGITS] if start < stop else "." * DIGITS
+            for start, stop in zip(ends, ends[1:], strict=False)
+        ]
         said.append(f"{at}:" + "".join(hashes))
     return ";".join(said)
 
