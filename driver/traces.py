@@ -314,6 +314,50 @@ _RENDERED_OTHERS = rf"""case when d.ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE') t
 _OTHERS = "(d.ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE', 'PIC', 'PARSE ERROR') or kind in ('STAR', 'LOB'))"
 
 
+# The integers of a record: those of its kind's list, and 0 for all others.
+_INT_LISTS = [
+    ("d.ops in ('PARSE', 'EXEC', 'FETCH', 'CLOSE')", ",", _CALL_INTS),
+    ("d.kind = 'LOB'", ",", _LOB_INTS),
+    ("d.ops = 'PIC'", " ", _PIC_INTS),
+    ("d.ops in ('ERROR', 'PARSE ERROR')", " ", _ERR_INTS),
+    ("d.ops = 'XCTEND'", ",", [("rlbk", "rlbk", "integer"), ("rd_only", "rd_only", "integer")]),
+    ("d.ops = 'WAIT'", "", [("elapsed_time", None, "bigint")]),
+]
+_WAITED = f"coalesce(try_cast(regexp_extract(params, '{_WAIT_SQL}', 2) as bigint), 0)"
+
+
+def _listed(column: str) -> str:
+    cases = [
+        f"when {when} then {_int(key, sep, kind) if key else _WAITED}"
+        for when, sep, columns in _INT_LISTS
+        for name, key, kind in columns
+        if name == column
+    ]
+    return f"case {' '.join(cases)} else 0 end"
+
+
+_ROW_TEXTS = {
+    "event_name": rf"""case when d.ops = 'WAIT' then regexp_extract(params, '{_WAIT_SQL}', 1) when d.kind = 'STAR' then stars.event_name
+      when d.kind = 'HEADER' then 'Node name' else '' end""",
+    "event_raw": r"""case when d.ops in ('WAIT', 'STAT') then params when d.ops = 'BINDS' then params || coalesce(text, '')
+      when d.ops in ('PIC', 'PARSE ERROR') then coalesce(text, '') when d.kind = 'STAR' then stars.event_raw
+      when d.kind = 'HEADER' then regexp_extract(value, '^Node name:\s+(.*)', 1) else '' end""",
+    "ad": f"case when d.ops = 'PIC' then {_AD} else '' end",
+    "lobtype": "case when d.kind = 'LOB' then regexp_extract(params, '^type=([^,]*)', 1) else '' end",
+}
+_ROW = {
+    "span_id": "number * (1::bigint << 36) + first_line", "sql_id": "n.sql_id", "cursor_id": "n.cursor_id", "ops": "n.ops", "tim": "rec.tim",
+    "file_name": "n.file_name", "line": "n.line", "ts": "clk.ts", **_ROW_TEXTS, **{c: f"ctx.{c}" for c in CONTEXT},
+}
+_ROWS_SQL = f"""{_SPANS}, n as (select *, dense_rank() over (order by file_name) - 1 as number from spn),
+ctx as (select file_name, line, {_CONTEXT_SQL} from rec window w as (partition by file_name order by line)),
+clk as (with anc as {_CLOCK.split("anc as", 1)[1]})
+select {", ".join(f"cast({_ROW.get(f.name) or _listed(f.name)} as {_DUCK_TYPES[f.dataType.simpleString()]}) as {f.name}" for f in OPS_SCHEMA.fields)}
+from n join d on n.file_name = d.file_name and n.line = d.line join rec on n.file_name = rec.file_name and n.line = rec.line
+  join ctx on n.file_name = ctx.file_name and n.line = ctx.line join clk on n.file_name = clk.file_name and n.line = clk.line
+  left join t on n.file_name = t.file_name and n.line = t.line left join stars on n.file_name = stars.file_name and n.line = stars.line"""
+
+
 def _dense(ops: DataFrame) -> DataFrame:
     """Each span with its dense number."""
     return ops.groupBy("file_name", "span_id").agg(F.min("line").alias("first_line"), F.max("line").alias("last_line"))
@@ -583,8 +627,8 @@ TRACE_QUERIES = {
         _TOTALS_SQL,
     ),
     "ingest_rows": (
-        lambda s, d: ingest(trace_view(s, d)).ops,
-        None,
+        lambda s, d: ingest(trace_view(s, d), ids="unique").ops,
+        _ROWS_SQL,
     ),
     "ingest_stats": (
         lambda s, d: ingest_stats(trace_view(s, d), _rejects(s, d)),
