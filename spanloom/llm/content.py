@@ -59,6 +59,8 @@ class Page:
     def __init__(self, source: str):
         self.items: list[tuple[str, object, int, bool, bool]] = []
         self.open: list[tuple[str, bool, bool]] = []  # name, opens the main text, opens what is never main
+        self.names: Counter[str] = Counter()  # of open elements
+        self.around = [""]  # open elements that are blocks, or links
         self.main = self.never = self.block = 0
         at, size = 0, len(source)
         while at < size:
@@ -84,14 +86,14 @@ class Page:
         self.items.append(("text", html.unescape(raw), self.block, self.main > 0, self.never > 0))
 
     def _tag(self, name: str) -> None:
-        around = next((n for n, _, _ in reversed(self.open) if n not in INLINE or n == "a"), "")
+        around = self.around[-1]
         if name not in INLINE:
             self.block += 1
         self.items.append(("tag", (around, name), self.block, self.main > 0, self.never > 0))
 
     def _open(self, name: str, rest: str) -> None:
         if self.open and name not in INLINE and self.open[-1][0] in ("p", "b", "i", "em", "strong", "span", "a", "u"):
-            while self.open and self.open[-1][0] in INLINE and any(n == "p" for n, _, _ in self.open):
+            while self.open and self.open[-1][0] in INLINE and self.names["p"]:
                 self._pop()  # inline elements left open end with their paragraph
             if self.open and self.open[-1][0] == "p":
                 self._pop()
@@ -117,23 +119,33 @@ class Page:
             self.main -= main
             self.never -= never
         else:
-            self.open.append((name, main, never))
+            self._push(name, main, never)
+
+    def _push(self, name: str, main: bool, never: bool) -> None:
+        self.open.append((name, main, never))
+        self.names[name] += 1
+        if name not in INLINE or name == "a":
+            self.around.append(name)
 
     def _pop(self) -> None:
-        _, main, never = self.open.pop()
+        name, main, never = self.open.pop()
+        self.names[name] -= 1
+        if name not in INLINE or name == "a":
+            self.around.pop()
         self.main -= main
         self.never -= never
 
     def _close(self, name: str) -> None:
-        if not any(n == name for n, _, _ in self.open):
+        if not self.names[name]:
             return
         while self.open[-1][0] != name:
             self._pop()
-        kept = self.open[-1]
-        self.open.pop()
-        self._tag("/" + name if name not in INLINE else name)
-        self.open.append(kept)
+        inside = self.main, self.never
         self._pop()
+        after = self.main, self.never
+        self.main, self.never = inside  # its own tag still belongs to it
+        self._tag("/" + name if name not in INLINE else name)
+        self.main, self.never = after
 
 
 def tag_counts(source: str | None) -> Counter:
@@ -170,9 +182,7 @@ def fit_tags(pages: DataFrame, key: str = "page_id", text: str = "html", most: i
         flat_map(chosen, count, "around string, name string, main boolean, n long")
         .groupBy("around", "name")
         .agg(F.sum(F.when(F.col("main"), F.col("n")).otherwise(0)).alias("i"), F.sum(F.when(F.col("main"), 0).otherwise(F.col("n"))).alias("o"))
-        .orderBy(F.desc(F.col("i") + F.col("o")), "around", "name")
-        .limit(4096)
-        .collect()
+        .collect()  # the kinds of tags of the sample
     )
     whole: dict[str, list[int]] = {}
     for r in rows:
