@@ -54,13 +54,35 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return "/".join([stage_root(spark), "spanloom", *own, uuid.uuid4().hex, name])
 
 
-def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str, drop_shuffles: bool = False, **options: str) -> DataFrame:
     """Write ``df`` once as a table and read it back.
 
     It cuts the plan where several later branches need the same expensive rows: they read the few
     columns they want from the table, and lost executors cost no recomputation from the start. ``options`` go to the Parquet writer.
+    With ``drop_shuffles`` the shuffle files behind the table go as soon as it is written: chains of many
+    tables then hold little more than their tables.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None) if drop_shuffles else None
+    if before is not None:
+        spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(_CLEAN_UP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Remove tables that ``stage`` returned, once nothing that is still to run reads them."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table._staged)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
