@@ -26,16 +26,26 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.filters import bloom_filter, may_hold
+from spanloom.functions.filters import slices_for as core_slices
 from spanloom.llm.graph import components
 from spanloom.llm.rows import flat_map, map_rows
 from spanloom.llm.sketch import bloom, contains, row_counts, slices_for
-from spanloom.sources.stage import stage
+from spanloom.sources.stage import stage as _stage
+from spanloom.sources.stage import unstage
 
 COUNTERS = 1 << 22
 ROUNDS = 2
 BITS = 1024
 LEADERS = 4
-WORDS = 500_000  # words kept in a worker
+FEW = 2  # 64-bit integers of folded parity bits that travel with the lists
+MORE = 8  # and with those that are joined at last
+
+
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+    return _stage(df, name, drop_shuffles=True, **options)
+
+
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -45,28 +55,22 @@ class Shingles:
 
     def __init__(self, words: int):
         self.width = words
-        self.known: dict[bytes, int] = {}
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().translate(_LOWER).split()
         if not words:
             return np.zeros(0, np.uint64)
-        known = self.known
-        found = list(map(known.get, words))
-        if None in found:
-            if len(known) > WORDS:
-                known.clear()
-            for i, value in enumerate(found):
-                if value is None:
-                    found[i] = known[words[i]] = xxhash.xxh3_64_intdigest(words[i])
-        code = np.array(found, np.uint64)
+        code = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         width = min(self.width, len(words))
         with np.errstate(over="ignore"):
             mixed = np.full(len(words) - width + 1, width, np.uint64)
             for k in range(width):
                 mixed = (mixed ^ code[k : len(words) - width + 1 + k]) * _FACTOR
                 mixed ^= mixed >> np.uint64(31)
-        return np.unique(mixed)
+        mixed.sort()
+        first = np.ones(len(mixed), bool)
+        first[1:] = mixed[1:] != mixed[:-1]
+        return mixed[first]
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
@@ -171,7 +175,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
             own = prefix(shingles, counts.value)
             at = np.flatnonzero(contains(known.value, own))
             bits = parity_bits(shingles)
-            few = np.bitwise_xor.reduce(bits.reshape(-1, 2), axis=0)  # as if there were 128 bits
+            few = np.bitwise_xor.reduce(bits.reshape(-1, FEW), axis=0)  # as if there were 64 * FEW bits
             return len(shingles), name, own[at].view(np.int64).tolist(), at.tolist(), bits.tolist(), few.tolist()
 
         return one
@@ -181,13 +185,13 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
         describe,
         ["_text"],
         "_n long, _set long, _tokens array<long>, _places array<int>, _bits array<long>, _few array<long>",
-    ).drop("_text")
-    rows = stage(rows, "shingle_sets")
+    )
+    rows = stage(rows, "shingle_sets", compression="zstd")
     own = ["_n", "_tokens", "_places", "_bits", "_few"]
     sets = rows.where("size(_tokens) > 0").groupBy("_set").agg(*[F.first(c).alias(c) for c in own])
     sets = stage(sets, "candidate_sets")
     lists = sets.select("_set", "_n", "_few", F.explode(F.arrays_zip("_tokens", "_places")).alias("_t")).selectExpr(
-        "_t._tokens as _token", "_set", "_n", "_t._places as _place", "_few[0] as _few0", "_few[1] as _few1"
+        "_t._tokens as _token", "_set", "_n", "_t._places as _place", *[f"_few[{i}] as _few{i}" for i in range(FEW)]
     )
     shared = stage(
         lists.groupBy("_token").agg(F.min("_set").alias("_low"), F.max("_set").alias("_high")).where("_low < _high").select("_token"),
@@ -197,35 +201,19 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     sizes = stage(lists.select("_set").distinct(), "shared_sets")
     bits = sets.select("_set", "_n", "_bits")
 
-    def wanted():
-        return lambda part: part.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-
-    named = context.broadcast(bloom(sizes, wanted, slices_for(sizes.count()), twice=False))
-
-    def carry():
-        make, sent = Shingles(words), set()
-
-        def some(part: pa.RecordBatch):
-            names, bodies = [], []
-            for value in part.column(0).to_pylist():
-                shingles = make(value)
-                name = xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
-                if len(shingles) and name not in sent:
-                    sent.add(name)
-                    names.append(name)
-                    bodies.append(value)
-            if not names:
-                return None
-            kept = np.flatnonzero(contains(named.value, np.array(names, np.int64).view(np.uint64))).tolist()
-            return [names[i] for i in kept], [bodies[i] for i in kept]
-
-        return some
-
-    found = flat_map(texts, carry, "_set long, _text string")
+    # One text of each of these sets: a filter of their names picks the rows that move.
+    slices = core_slices(sizes.count())
+    named = rows.where("_set is not null").select("_set", "_text")
+    found = may_hold(named, ["_set"], bloom_filter(sizes, ["_set"], slices), slices) if slices else named.join(sizes, "_set", "left_semi")
     bodies = stage(found.groupBy("_set").agg(F.first("_text").alias("_text")), "shared_texts", compression="zstd")
+    whole, rows = rows, stage(rows.select("_key", "_n", "_set"), "set_of_row")
+    unstage(whole, shared, sizes)
+
+    def apart(count: int, name: str) -> str:
+        return f"9 * ({' + '.join(f'bit_count(x.{name}{i} ^ y.{name}{i})' for i in range(count))}) <= x._n + y._n"
 
-    need = """4 * (x._n + y._n) <= 9 * least(x._n - x._place, y._n - y._place)
-        and 9 * (bit_count(x._few0 ^ y._few0) + bit_count(x._few1 ^ y._few1)) <= x._n + y._n"""
+    need = f"4 * (x._n + y._n) <= 9 * least(x._n - x._place, y._n - y._place) and {apart(FEW, '_few')}"
+    own = ["_set", "_n", "_place", *[f"_few{i}" for i in range(FEW)]]
     pair = [F.expr("greatest(x._set, y._set)").alias("a"), F.expr("least(x._set, y._set)").alias("b")]
     links = tried = None
     for turn in range(ROUNDS + 1):
@@ -236,7 +224,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
             links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # as good as the links so far
             roots = roots.withColumnRenamed("node", "_set")
             grouped = stage(lists.join(roots, "_set", "left").withColumn("_root", F.coalesce("root", "_set")).drop("root"), "grouped_lists")
-        picks = [F.min(F.struct(F.xxhash64("_set", F.lit(LEADERS * turn + i)), "_set", "_n", "_place", "_few0", "_few1")) for i in range(LEADERS)]
+        picks = [F.min(F.struct(F.xxhash64("_set", F.lit(LEADERS * turn + i)), *own)) for i in range(LEADERS)]
         largest = (
             grouped.groupBy("_token", "_root")
             .agg(F.count("*").alias("_sets"), F.array_distinct(F.array(*picks)).alias("_leaders"))
@@ -251,12 +239,16 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
             x, y = grouped.alias("x"), leaders.alias("y")
             found = x.join(y, F.expr(f"x._token = y._token and x._root <> y._largest and {need}"))
         else:
-            inside = stage(grouped.join(largest.select("_token", "_largest"), "_token"), "open_lists")
+            folded = ["^".join(f"_bits[{j}]" for j in range(i, BITS // 64, MORE)) + f" as _more{i}" for i in range(MORE)]
+            inside = grouped.join(largest.select("_token", "_largest"), "_token").join(sets.selectExpr("_set", *folded), "_set")
+            inside = stage(inside, "open_lists")
+            need = f"{need} and {apart(MORE, '_more')}"
             x, y = inside.where("_root <> _largest").alias("x"), inside.alias("y")
             once = "(y._root = y._largest or x._set < y._set)"
             found = x.join(y, F.expr(f"x._token = y._token and x._root <> y._root and {need} and {once}"))
         pairs = found.select(pair).distinct()
         pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        unstage(largest, *([grouped] if links is not None else []), *([inside] if turn == ROUNDS else []))
         new = _verified(pairs, bits, bodies, words, "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
