@@ -6,14 +6,17 @@ similar sets share one of their first ``n - ceil(t n) + 1`` shingles, and the jo
 * Rarity is the number of documents on a hashed counter; any order that all sets share gives whole
   results, a better one only fewer candidates.
 * A Bloom filter of the prefix shingles of two rows or more keeps the others, nearly all, from moving.
-* Of each prefix shingle's list, the sets outside of its largest component are paired with ``LEADERS`` sets of that
-  component, under the length and positional filters; verified links make larger components. After
+* Prefix shingles of at most ``SMALL`` sets, nearly all, have their pairs taken at once, under the length and
+  positional filters: no more than half of ``SMALL`` pairs a set and shingle.
+* Of the list of a longer one, the sets outside of its largest component are paired with ``LEADERS`` sets of that
+  component, under the same filters; verified links make larger components. After
   ``ROUNDS`` such rounds the sets still outside are joined with all sets of the list that are in another
   component. So a group of copies, however large, is linked through few leaders and not paired with
   itself, and every pair that could join two components is verified.
 * Sets carry parity bits: bit i tells whether an odd number of their shingles hash to i. Two sets differ in
   at least as many shingles as in bits, so most pairs that can't be similar are known by a few words.
 * A pair is verified once, from the texts: a suffix filter bounds the common shingles before they are counted.
+  Texts move for the pairs that the parity bits leave, a filter of their sets picks them.
 
 Sets are named by 64-bit hashes of all their shingles.
 """
@@ -36,6 +39,7 @@ from spanloom.sources.stage import unstage
 
 COUNTERS = 1 << 22
 ROUNDS = 2
+SMALL = 8
 BITS = 1024
 LEADERS = 4
 FEW = 2  # 64-bit integers of folded parity bits that travel with the lists
@@ -108,12 +112,25 @@ def similar(one: np.ndarray, other: np.ndarray) -> bool:
     return len(np.intersect1d(one, other, assume_unique=True)) >= need
 
 
-def _verified(pairs: DataFrame, bits: DataFrame, texts: DataFrame, words: int, name: str) -> DataFrame:
+def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One text of each set of ``pairs``, and of few others, as a table."""
+    ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("_set")).distinct(), "paired_sets")
+    slices = core_slices(ends.count())
+    named = rows.where("_set is not null").select("_set", "_text")
+    found = may_hold(named, ["_set"], bloom_filter(ends, ["_set"], slices), slices) if slices else named
+    texts = stage(found.groupBy("_set").agg(F.first("_text").alias("_text")), "paired_texts", compression="zstd")
+    unstage(ends)
+    return texts
+
+
+def _verified(pairs: DataFrame, bits: DataFrame, rows: DataFrame, words: int, name: str) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``) whose sets are similar, as a table. The bits of all pairs are
     compared first, the texts of those that are left are brought together then."""
     left, right = (bits.select(F.col("_set").alias(c), F.col("_n").alias(f"_n{c}"), F.col("_bits").alias(f"_{c}")) for c in "ab")
     apart = "aggregate(zip_with(_a, _b, (x, y) -> bit_count(x ^ y)), 0, (sum, n) -> sum + n)"
-    pairs = pairs.join(left, "a").join(right, "b").where(f"9 * {apart} <= _na + _nb").select("a", "b")
+    near = pairs.join(left, "a").join(right, "b").where(f"9 * {apart} <= _na + _nb").select("a", "b")
+    near = stage(near, "near_pairs")
+    texts = _texts(rows, near)
 
     def check():
         make = Shingles(words)
@@ -131,7 +148,9 @@ def _verified(pairs: DataFrame, bits: DataFrame, texts: DataFrame, words: int, n
 
     one = texts.select(F.col("_set").alias("a"), F.col("_text").alias("_one"))
     other = texts.select(F.col("_set").alias("b"), F.col("_text").alias("_other"))
-    return stage(flat_map(pairs.join(one, "a").join(other, "b").select("a", "b", "_one", "_other"), check, "a long, b long"), name)
+    found = stage(flat_map(near.join(one, "a").join(other, "b").select("a", "b", "_one", "_other"), check, "a long, b long"), name)
+    unstage(near, texts)
+    return found
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
@@ -174,6 +193,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
             name = xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
             own = prefix(shingles, counts.value)
             at = np.flatnonzero(contains(known.value, own))
+            if not len(at):
+                return len(shingles), name, None, None, None, None
             bits = parity_bits(shingles)
             few = np.bitwise_xor.reduce(bits.reshape(-1, FEW), axis=0)  # as if there were 64 * FEW bits
             return len(shingles), name, own[at].view(np.int64).tolist(), at.tolist(), bits.tolist(), few.tolist()
@@ -193,28 +214,21 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     lists = sets.select("_set", "_n", "_few", F.explode(F.arrays_zip("_tokens", "_places")).alias("_t")).selectExpr(
         "_t._tokens as _token", "_set", "_n", "_t._places as _place", *[f"_few[{i}] as _few{i}" for i in range(FEW)]
     )
-    shared = stage(
-        lists.groupBy("_token").agg(F.min("_set").alias("_low"), F.max("_set").alias("_high")).where("_low < _high").select("_token"),
-        "shared_shingles",
-    )
-    lists = stage(lists.join(shared, "_token"), "shared_lists")
-    sizes = stage(lists.select("_set").distinct(), "shared_sets")
+    shared = stage(lists.groupBy("_token").agg(F.count("*").alias("_sets")).where("_sets > 1"), "shared_shingles")
+    few = lists.join(shared.where(f"_sets <= {SMALL}").select("_token"), "_token")
+    lists = stage(lists.join(shared.where(f"_sets > {SMALL}").select("_token"), "_token"), "long_lists")
     bits = sets.select("_set", "_n", "_bits")
 
-    # One text of each of these sets: a filter of their names picks the rows that move.
-    slices = core_slices(sizes.count())
-    named = rows.where("_set is not null").select("_set", "_text")
-    found = may_hold(named, ["_set"], bloom_filter(sizes, ["_set"], slices), slices) if slices else named.join(sizes, "_set", "left_semi")
-    bodies = stage(found.groupBy("_set").agg(F.first("_text").alias("_text")), "shared_texts", compression="zstd")
-    whole, rows = rows, stage(rows.select("_key", "_n", "_set"), "set_of_row")
-    unstage(whole, shared, sizes)
-
     def apart(count: int, name: str) -> str:
         return f"9 * ({' + '.join(f'bit_count(x.{name}{i} ^ y.{name}{i})' for i in range(count))}) <= x._n + y._n"
 
     need = f"4 * (x._n + y._n) <= 9 * least(x._n - x._place, y._n - y._place) and {apart(FEW, '_few')}"
     own = ["_set", "_n", "_place", *[f"_few{i}" for i in range(FEW)]]
     pair = [F.expr("greatest(x._set, y._set)").alias("a"), F.expr("least(x._set, y._set)").alias("b")]
+    x, y = few.alias("x"), few.alias("y")
+    small = x.join(y, F.expr(f"x._token = y._token and x._set < y._set and {need}")).select(pair).distinct()
+    small = stage(small, "small_pairs")
+    unstage(shared)
     links = tried = None
     for turn in range(ROUNDS + 1):
         if links is None:
@@ -246,13 +260,16 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
             x, y = inside.where("_root <> _largest").alias("x"), inside.alias("y")
             once = "(y._root = y._largest or x._set < y._set)"
             found = x.join(y, F.expr(f"x._token = y._token and x._root <> y._root and {need} and {once}"))
-        pairs = found.select(pair).distinct()
+        pairs = found.select(pair) if turn else found.select(pair).unionByName(small)
+        pairs = pairs.distinct()
         pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         unstage(largest, *([grouped] if links is not None else []), *([inside] if turn == ROUNDS else []))
-        new = _verified(pairs, bits, bodies, words, "links")
+        new = _verified(pairs, bits, rows, words, "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
 
+    whole, rows = rows, stage(rows.select("_key", "_n", "_set"), "set_of_row")
+    unstage(whole, sets, lists, small)
     of_set = rows.where("_set is not null").groupBy("_set").agg(F.min("_key").alias("_first"))
     joined = of_set.join(components(links).withColumnRenamed("node", "_set"), "_set", "left")
     joined = stage(joined.select("_set", "_first", F.coalesce("root", "_set").alias("_root")), "grouped_sets")

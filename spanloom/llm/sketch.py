@@ -1,7 +1,7 @@
 """Counters and Bloom filters over hashes of all rows, of a size that does not grow without bound.
 
-Each task keeps a whole table for its rows and sends it in compressed slices, which are merged by slice;
-no task holds the tables of all tasks. The merged table goes to the executors.
+Each task sends what its rows make in slices, which are merged by slice; no task holds the tables of all tasks.
+The merged table goes to the executors, and the shuffle files behind it go at once.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from spanloom.llm.rows import nullable, slices
+from spanloom.sources.stage import stage, unstage
 
 SLICE = 1 << 19  # bits of a slice of a filter
 MOST_BITS = 1 << 28  # 32 MB, the largest filter that is sent to the executors
@@ -29,18 +30,31 @@ def slices_for(items: int) -> int:
     return max(1, min(MOST_BITS, 1 << max(0, 8 * items - 1).bit_length()) // SLICE)
 
 
-def _places(hashes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slice of each hash, and its ``PROBES`` bits inside the slice."""
+def _codes(hashes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slice of each hash, and the 32 bits that name it inside the slice."""
     own = (hashes >> np.uint64(40)) % np.uint64(count)
-    step = (hashes >> np.uint64(20)) | np.uint64(1)
-    bits = (hashes[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) % np.uint64(SLICE)
-    return own.astype(np.int64), bits.astype(np.int64)
+    return own.astype(np.int64), hashes.astype(np.uint32)
 
 
-def _filled(bits: np.ndarray) -> bytes:
+def _bits(codes: np.ndarray) -> np.ndarray:
+    """The ``PROBES`` bits of each code inside its slice."""
+    step = (codes >> np.uint32(13)) | np.uint32(1)
+    return (codes[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint32)) % np.uint32(SLICE)
+
+
+def _filled(codes: np.ndarray) -> np.ndarray:
     plane = np.zeros(SLICE, bool)
-    plane[bits.ravel()] = True
-    return zlib.compress(np.packbits(plane).tobytes(), 1)
+    plane[_bits(codes).ravel()] = True
+    return np.packbits(plane)
+
+
+def _packed(codes: np.ndarray) -> bytes:
+    """Codes of a slice, or its bits where those are smaller."""
+    return codes.tobytes() if codes.nbytes < SLICE // 8 else _filled(codes).tobytes()
+
+
+def _plane(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint8).copy() if len(packed) == SLICE // 8 else _filled(np.frombuffer(packed, np.uint32))
 
 
 def bloom(df: DataFrame, hashes: Hashes, count: int, twice: bool) -> np.ndarray:
@@ -58,23 +72,20 @@ def bloom(df: DataFrame, hashes: Hashes, count: int, twice: bool) -> np.ndarray:
         if not found:
             return
         known, times = np.unique(np.concatenate(found), return_counts=True)
-        own, bits = _places(known, count)
+        own, codes = _codes(known, count)
         order = np.argsort(own, kind="stable")
-        own, bits, more = own[order], bits[order], times[order] > 1
+        own, codes, more = own[order], codes[order], times[order] > 1
         for at in np.unique(own).tolist():
             start, stop = np.searchsorted(own, [at, at + 1])
-            some = bits[start:stop]
-            again = _filled(some[more[start:stop]]) if twice else None
-            yield pa.RecordBatch.from_pylist([{"slice": at, "once": _filled(some), "again": again}], arrow)
+            some = codes[start:stop]
+            again = _packed(some[more[start:stop]]) if twice else b""
+            yield pa.RecordBatch.from_pylist([{"slice": at, "once": _packed(some), "again": again}], arrow)
 
     def merge(batches):
         planes = {}
         for batch in batches:
             for row in batch.to_pylist():
-                once, again = (
-                    np.frombuffer(zlib.decompress(row[c]), np.uint8).copy() if row[c] else np.zeros(SLICE // 8, np.uint8)
-                    for c in ("once", "again")
-                )
+                once, again = _plane(row["once"]), _plane(row["again"])
                 if row["slice"] in planes:
                     seen, seen_again = planes[row["slice"]]
                     seen_again |= again | (seen & once)
@@ -86,17 +97,25 @@ def bloom(df: DataFrame, hashes: Hashes, count: int, twice: bool) -> np.ndarray:
 
     tasks = min(count, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     merged = df.mapInArrow(local, schema).repartition(tasks, "slice").mapInArrow(merge, schema)
+    merged = stage(merged.select("slice", "once"), "filter_slices", drop_shuffles=True)
     whole = np.zeros((count, SLICE // 8), np.uint8)
-    for row in merged.select("slice", "once").collect():  # MOST_BITS at most
+    for row in merged.collect():  # MOST_BITS at most
         whole[row["slice"]] = np.frombuffer(row["once"], np.uint8)
+    unstage(merged)
     return whole
 
 
 def contains(planes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    own, bits = _places(hashes, len(planes))
+    own, codes = _codes(hashes, len(planes))
+    bits = _bits(codes)
     return ((planes[own[:, None], bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1).all(axis=1)
 
 
+def _counts(packed: bytes) -> np.ndarray:
+    plain = zlib.decompress(packed)
+    return np.frombuffer(plain, f"u{len(plain) // CELLS}")
+
+
 def row_counts(df: DataFrame, hashes: Callable, cells: int) -> tuple[np.ndarray, int]:
     """In how many rows hashes fall on each of ``cells`` counters, and the number of rows. ``hashes`` builds
     a function from the value of a row's first column to its hashes."""
@@ -107,7 +126,7 @@ def row_counts(df: DataFrame, hashes: Callable, cells: int) -> tuple[np.ndarray,
         yield pa.RecordBatch.from_pylist([{"slice": -1, "counts": b"", "n": rows}], arrow)
         for at, own in tables:
             if own.any():
-                counts = zlib.compress(own.astype(np.int64).tobytes(), 1)
+                counts = zlib.compress(own.astype(np.min_scalar_type(int(own.max()))).tobytes(), 1)
                 yield pa.RecordBatch.from_pylist([{"slice": at, "counts": counts, "n": 0}], arrow)
 
     def local(batches):
@@ -126,13 +145,15 @@ def row_counts(df: DataFrame, hashes: Callable, cells: int) -> tuple[np.ndarray,
                 rows += row["n"]
                 if row["slice"] >= 0:
                     own = sums.setdefault(row["slice"], np.zeros(CELLS, np.int64))
-                    own += np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+                    own += _counts(row["counts"]).astype(np.int64)
         yield from send(rows, sums.items())
 
     tasks = min(cells // CELLS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts, rows = np.zeros(cells, np.int64), 0
-    for row in df.mapInArrow(local, schema).repartition(tasks, "slice").mapInArrow(merge, schema).toLocalIterator():
+    merged = stage(df.mapInArrow(local, schema).repartition(tasks, "slice").mapInArrow(merge, schema), "row_counts", drop_shuffles=True)
+    for row in merged.toLocalIterator():
         rows += row["n"]
         if row["slice"] >= 0:
-            counts[row["slice"] * CELLS : (row["slice"] + 1) * CELLS] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+            counts[row["slice"] * CELLS : (row["slice"] + 1) * CELLS] = _counts(row["counts"])
+    unstage(merged)
     return counts, rows

@@ -67,14 +67,14 @@ def stage(df: DataFrame, name: str, drop_shuffles: bool = False, **options: str)
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    before = spark.conf.get(_CLEAN_UP, None) if drop_shuffles else None
-    if before is not None:
+    before = spark.conf.get(_CLEAN_UP, None)  # None where the session doesn't name it
+    if drop_shuffles:
         spark.conf.set(_CLEAN_UP, "true")
     try:
         df.write.options(**options).parquet(path)
     finally:
-        if before is not None:
-            spark.conf.set(_CLEAN_UP, before)
+        if drop_shuffles:
+            spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
     return out

@@ -7,7 +7,7 @@ import pytest
 
 from spanloom.llm.embed import Grid, _slack, near_vectors, unit, visits
 from spanloom.llm.graph import components
-from spanloom.llm.jaccard import Shingles, least_common, most_common, near_groups, parity_bits, similar
+from spanloom.llm.jaccard import SMALL, Shingles, least_common, most_common, near_groups, parity_bits, similar
 from tests.llm.tables import awkward_texts, crowded, documents, words
 
 
@@ -71,6 +71,23 @@ def test_near_groups(spark, rows):
     assert got == {d: (len(sets[d]), roots[d]) for d in ids}
 
 
+def test_near_groups_of_lists_about_the_small_size(spark):
+    pick = random.Random(8)
+    rows = []
+    for family, size in enumerate((2, SMALL - 1, SMALL, SMALL + 1, 3 * SMALL)):
+        base = words(2000 + family, 120, 10**6).split()
+        for i in range(size):  # a chain: each text changes one more word than the one before
+            base[i * 3 % 120] = f"c{family}_{i}"
+            rows.append((len(rows), " ".join(base)))
+            rows.append((len(rows), " ".join(base[:40] + [f"x{pick.random()}" for _ in range(40)] + base[80:])))
+
+    make = Shingles(5)
+    sets = {d: set(make(t).tolist()) for d, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    got = {r["doc_id"]: r["component_id"] for r in near_groups(documents(spark, rows)).collect()}
+    assert links and got == _roots(sets, links)
+
+
 def test_near_groups_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f"), (4, "A b c d e f"), (4, "A b c d e f"), (None, "alone"), (3, None), (2, "  ")]
     got = sorted(map(tuple, near_groups(documents(spark, rows)).collect()), key=repr)
