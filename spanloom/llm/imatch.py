@@ -17,12 +17,16 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from spanloom.llm.rows import hashed_sample, map_rows, nullable, slices
@@ -32,41 +36,46 @@ PARTS = 24  # random parts of the lexicon at each level
 DIGITS = 4  # hexadecimal digits of a hash
 BAND = (2.0, 12.0)  # natural logarithm of documents / document frequency
 LEAST = 8  # terms that a fingerprint takes at least, and two thirds of the text's terms
-WORDS = 400_000  # terms kept in a worker
 PENDING = 1 << 20  # terms that a task holds before it adds them up
-SENT = 100_000  # rows of a batch of added-up terms
+SENT = 100_000  # rows of a batch of added-up terms, and terms mixed at a time
+TOGETHER = 16_000_000  # bytes of texts that are read together, and one more text
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _PARTS = np.arange(PARTS + 1)
+_BEFORE = np.array([-1], np.int32)
 _MIX = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1) for k in range(PARTS)], np.uint64)
 
 
-class Terms:
-    """Distinct terms of a text as 64-bit hashes; words without letters or digits are none."""
+def _together(batches: Iterable[pa.RecordBatch], text: str | int = "_text") -> Iterator[pa.RecordBatch]:
+    """Slices whose texts (a column) are read together; long texts make shorter slices."""
+    for part in slices(batches):
+        ends = np.cumsum(pc.binary_length(part.column(text)).fill_null(0).to_numpy(), dtype=np.int64)
+        starts = [0, *(np.flatnonzero(np.diff(ends // TOGETHER)) + 1).tolist(), part.num_rows]
+        for start, stop in zip(starts, starts[1:], strict=False):
+            yield part.slice(start, stop - start)
 
-    def __init__(self):
-        self.known: dict[str, int] = {}
 
-    def __call__(self, text: str) -> np.ndarray:
-        raws = set(text.lower().split())
-        plain = list(filter(str.isalnum, raws))  # nothing to strip: hashed as they are, quicker than looked up
-        found = set(map(xxhash.xxh3_64_intdigest, plain))
-        if len(plain) < len(raws):
-            raws.difference_update(plain)
-            if len(self.known) > WORDS:
-                self.known.clear()
-            found.update(map(self._code, raws))
-            found.discard(-1)
-        return np.sort(np.fromiter(found, np.uint64, len(found)))
+def read_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The terms of some texts as ascending 64-bit hashes; the words of all texts as places among them, -1 for
+    words without letters or digits; where each text's words begin, and the last one's end.
 
-    def _code(self, raw: str) -> int:
-        own = self.known.get(raw)
-        if own is None:
-            word = _EDGES.sub("", raw)
-            own = xxhash.xxh3_64_intdigest(word) if word else -1
-            if len(raw) < 100:
-                self.known[raw] = own
-        return own
+    A word is hashed once, however many of the texts have it."""
+    words = pc.utf8_split_whitespace(texts)
+    coded = words.flatten().dictionary_encode()
+    lower = map(str.lower, coded.dictionary.to_numpy(zero_copy_only=False))
+    codes = [xxhash.xxh3_64_intdigest(w) if w.isalnum() else _inner_code(w) for w in lower]
+    terms, places = np.unique(np.array(codes, np.uint64), return_inverse=True)
+    none = int(len(terms) > 0 and terms[0] == 0)
+    places = (places - none).astype(np.int32)
+    return terms[none:], places[coded.indices.to_numpy()], words.offsets.to_numpy()
+
+
+def _inner_code(word: str) -> int:
+    """Hash of a word without signs at its ends, 0 if nothing is left."""
+    word = word.strip(punctuation)  # most signs; the pattern is slow
+    if not word.isalnum():
+        word = _EDGES.sub("", word)
+    return xxhash.xxh3_64_intdigest(word) if word else 0
 
 
 class Lexicon:
@@ -75,18 +84,12 @@ class Lexicon:
     def __init__(self, inside: np.ndarray, common: np.ndarray, counts: np.ndarray):
         self.inside, self.common, self.counts = inside, common, counts
 
-    def take(self, terms: np.ndarray) -> np.ndarray:
-        """All terms in the band, and the rarest others as long as there are fewer than ``LEAST``, or than
-        two thirds of the terms; terms rarer than the band are alike."""
-        held = _places(self.inside, terms) >= 0
-        missing = max(LEAST, (2 * len(terms) + 2) // 3) - int(held.sum())
-        if missing > 0:
-            others = np.flatnonzero(~held)
-            at = _places(self.common, terms[others])
-            rarity = np.zeros(len(others), np.int64)
-            rarity[at >= 0] = self.counts[at[at >= 0]]
-            held[others[np.lexsort((terms[others], rarity))[:missing]]] = True
-        return terms[held]
+    def rarity(self, terms: np.ndarray) -> np.ndarray:
+        """Terms are taken in this order: those in the band are -1, rarer ones 0, more common ones have their frequency."""
+        found = np.where(_places(self.inside, terms) >= 0, -1, 0)
+        at = _places(self.common, terms)
+        found[at >= 0] = self.counts[at[at >= 0]]
+        return found
 
 
 def _places(known: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -112,20 +115,25 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[DataFrame
 
     def summed(found, weights):
         names, own = np.unique(np.concatenate(found), return_inverse=True)
-        sums = np.bincount(own, np.repeat(weights, [len(f) for f in found]))
+        sums = np.bincount(own, np.concatenate(weights))
         for at in range(0, len(names), SENT):
             columns = names[at : at + SENT].view(np.int64), sums[at : at + SENT]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     def local(batches):
-        terms, (repeated, times) = Terms(), shared.value
+        repeated, times = shared.value
         found, weights, held = [], [], 0
-        for part in slices(batches):
+        for part in _together(batches):
             at = _places(repeated, part.column("_hash").to_numpy())
-            for value, i in zip(part.column("_text").to_pylist(), at.tolist(), strict=True):
-                found.append(terms(value))
-                weights.append(1.0 if i < 0 else 1 / int(times[i]))
-                held += len(found[-1])
+            each = np.ones(len(at))
+            each[at >= 0] = 1 / times[at[at >= 0]]
+            terms, places, ends = read_terms(part.column("_text"))
+            pairs = np.repeat(np.arange(len(at)) << 32, np.diff(ends)) | places  # text and term
+            pairs = np.sort(pairs[places >= 0])
+            pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+            found.append(terms)
+            weights.append(np.bincount(pairs & 0xFFFFFFFF, each[pairs >> 32], len(terms)))
+            held += len(terms)
             if held > PENDING:
                 yield from summed(found, weights)
                 found, weights, held = [], [], 0
@@ -146,25 +154,66 @@ def lexicon(counts: DataFrame, texts: int, band: tuple[float, float] = BAND) ->
     return Lexicon(names[n <= most], names[n > most], n[n > most])
 
 
-def fingerprint(terms: np.ndarray, known: Lexicon) -> str:
-    """``level:hashes;level:hashes``, a hash of dots for a part without terms; ``-`` without any term."""
-    own = known.take(terms)
-    if not len(own):
-        return "-"
-    with np.errstate(over="ignore"):
-        mixed = (own[None, :] ^ (own[None, :] >> np.uint64(29))) * _MIX[:, None]
-        mixed ^= mixed >> np.uint64(32)
-    level = len(own).bit_length() - 1
-    said = []
-    for at in (level, level + 1):
-        part, place = np.nonzero((mixed & np.uint64((1 << at) - 1)) == 0)  # by part, then term
-        taken, ends = own[place].tobytes(), (8 * np.searchsorted(part, _PARTS)).tolist()
-        hashes = [
-            xxhash.xxh3_64_hexdigest(taken[start:stop])[:DIGITS] if start < stop else "." * DIGITS
-            for start, stop in zip(ends, ends[1:], strict=False)
-        ]
-        said.append(f"{at}:" + "".join(hashes))
-    return ";".join(said)
+class Prints:
+    """Fingerprints of texts made of given pieces, of which none ends within a word. What they need of a term is
+    worked out once, however many of the pieces have it."""
+
+    def __init__(self, pieces: list[str], known: Lexicon):
+        terms, places, self.ends = read_terms(pa.array(pieces, pa.large_string()))
+        rarity = known.rarity(terms)
+        order = np.argsort(rarity, kind="stable")  # terms are numbered as they are taken: by rarity, then hash
+        self.codes, self.inside = terms[order], np.count_nonzero(rarity < 0)
+        numbers = np.full(len(terms) + 1, -1, np.int32)  # the last one is that of place -1
+        numbers[order] = np.arange(len(terms))
+        self.numbers = numbers[places]
+        self.zeros = np.empty((len(terms), PARTS), np.uint8)  # a part keeps a term up to this level
+        for at in range(0, len(terms), SENT):
+            codes = self.codes[at : at + SENT]
+            mixed = (codes ^ (codes >> np.uint64(29)))[:, None] * _MIX
+            mixed ^= mixed >> np.uint64(32)
+            self.zeros[at : at + SENT] = np.bitwise_count(~mixed & (mixed - np.uint64(1)))
+
+    def _taken(self, pieces: tuple[int, ...]) -> np.ndarray:
+        """All terms in the band, and the rarest others as long as there are fewer than ``LEAST``, or than
+        two thirds of the terms; terms rarer than the band are alike."""
+        found = np.concatenate([_BEFORE, *(self.numbers[self.ends[p] : self.ends[p + 1]] for p in pieces)])
+        found.sort()
+        found = found[1:][found[1:] != found[:-1]]
+        return found[: max(int(found.searchsorted(self.inside)), LEAST, (2 * len(found) + 2) // 3)]
+
+    def __call__(self, *pieces: int) -> str:
+        """``level:hashes;level:hashes``, a hash of dots for a part without terms; ``-`` without any term."""
+        own = self._taken(pieces)
+        if not len(own):
+            return "-"
+        level = len(own).bit_length() - 1
+        zeros = self.zeros[own].ravel()
+        found = np.flatnonzero(zeros >= level)
+        term, part = np.divmod(found, PARTS)
+        codes = self.codes[own[term]]
+        order = np.lexsort((codes, part))
+        zeros, part, codes = zeros[found][order], part[order], codes[order]
+        said = []
+        for at in (level, level + 1):
+            kept = zeros >= at
+            taken, ends = codes[kept].tobytes(), (8 * part[kept].searchsorted(_PARTS)).tolist()
+            hashes = [
+                xxhash.xxh3_64_hexdigest(taken[start:stop])[:DIGITS] if start < stop else "." * DIGITS
+                for start, stop in zip(ends, ends[1:], strict=False)
+            ]
+            said.append(f"{at}:" + "".join(hashes))
+        return ";".join(said)
+
+
+def _cut(text: str) -> tuple[str, str, str]:
+    """What an edited text keeps: up to the last word, and that word if the text is cut in it or behind it; the
+    last third (floor), which it replaces."""
+    at = len(text) - len(text) // 3
+    head, tail = text[:at], text[at:]
+    if not head or head[-1].isspace():
+        return head, "", tail
+    *before, word = head.rsplit(None, 1)
+    return "".join(before), word, tail
 
 
 def likeness(one: str, other: str) -> float:
@@ -188,12 +237,17 @@ def likeness(one: str, other: str) -> float:
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_fingerprint`` of the whole text (null: empty). Equal texts have equal ones."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon(*document_frequencies(docs, text)))
+    schema = nullable(T.StructType([*docs.schema.fields, T.StructField("_fingerprint", T.StringType())]))
+    arrow, place = to_arrow_schema(schema), docs.columns.index(text)
 
-    def one():
-        known, terms = shared.value, Terms()
-        return lambda value: (fingerprint(terms(value or ""), known),)
+    def run(batches):
+        for part in _together(batches, place):
+            prints = Prints([value or "" for value in part.column(place).to_pylist()], shared.value)
+            kept = [c.cast(f.type) for c, f in zip(part.columns, arrow, strict=False)]
+            said = pa.array([prints(i) for i in range(part.num_rows)], arrow[-1].type)
+            yield pa.RecordBatch.from_arrays([*kept, said], schema=arrow)
 
-    return map_rows(docs, one, [text], "_fingerprint string")
+    return docs.mapInArrow(run, schema)
 
 
 def _blocks(keys: DataFrame) -> tuple[list[tuple], dict[int, tuple]]:
@@ -256,23 +310,32 @@ def edited_and_next(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     arrow = to_arrow_schema(schema)
 
     def stream(batches):
-        known, terms = shared.value, Terms()
-        last = None  # key, text, and fingerprint of the row before, still without its next
-        for part in slices(batches):
-            out = []
+        last = None  # key and text of the row before, still without its next
+        for part in _together(batches):
+            rows, paired = [] if last is None else [last], []
             for row_key, value, extra in zip(*(part.column(c).to_pylist() for c in ("_key", "_text", "_extra")), strict=True):
                 if extra and last is None:
                     continue  # another copy of a block's first row
-                own = fingerprint(terms(value), known)
                 if last is not None:
-                    old_key, old, old_print = last
-                    cut = len(old) // 3
-                    edited = old[: len(old) - cut] + value[:cut]
-                    print_ = fingerprint(terms(edited), known)
-                    out.append((old_key, len(old), edited, old_print, print_, likeness(old_print, print_), likeness(old_print, own)))
-                last = None if extra else (row_key, value, own)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+                    paired.append(len(rows) - 1)
+                rows.append((row_key, value))
+                last = None if extra else rows[-1]
+            if not paired:
+                continue
+            cuts = [_cut(value) for _, value in rows]
+            new = [rows[i + 1][1][: len(cuts[i][2])] for i in paired]
+            prints = Prints(
+                [kept for kept, _, _ in cuts] + [word + tail for _, word, tail in cuts] + [cuts[i][1] + n for i, n in zip(paired, new, strict=True)],
+                shared.value,
+            )
+            own = [prints(i, len(rows) + i) for i in range(len(rows))]
+            out = []
+            for j, i in enumerate(paired):
+                row_key, value = rows[i]
+                edited = value[: len(value) - len(value) // 3] + new[j]
+                print_ = prints(i, 2 * len(rows) + j)
+                out.append((row_key, len(value), edited, own[i], print_, likeness(own[i], print_), likeness(own[i], own[i + 1])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
 
     rows = dealt.select("_key", "_text", "_extra").mapInArrow(stream, schema)
     return rows.withColumnRenamed("_key", key)

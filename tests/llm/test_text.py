@@ -1,16 +1,21 @@
 """BPE, line dedup, packing, fingerprints and shards against plain versions."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
+from spanloom.llm import imatch
 from spanloom.llm.bpe import ChunkCoder, cuts, encode_decode
-from spanloom.llm.imatch import _blocks, document_frequencies, edited_and_next, likeness
+from spanloom.llm.imatch import _blocks, document_frequencies, edited_and_next, fingerprints, likeness
 from spanloom.llm.lines import dedup_lines
 from spanloom.llm.pack import hilbert, pack, sequence_of
 from spanloom.llm.queries import TOKENIZER
@@ -166,6 +171,70 @@ def test_edited_texts_and_fingerprints(spark):
     assert np.mean([r["near_edited"] for r in got.values()]) > np.mean([r["near_next"] for r in got.values()]) + 0.2
 
 
+def _plain_terms(text):
+    stripped = (re.sub(r"^[\W_]+|[\W_]+$", "", word) for word in text.lower().split())
+    return {xxhash.xxh3_64_intdigest(word) for word in stripped if word}
+
+
+def _plain_print(text, counts, texts):
+    least, most = (texts / np.exp(b) for b in imatch.BAND[::-1])
+
+    def rarity(term):
+        n = counts[term]
+        return 0 if n < 2 or n < least else -1 if n <= most else n
+
+    terms = sorted(_plain_terms(text), key=lambda t: (rarity(t), t))
+    own = sorted(terms[: max(sum(rarity(t) < 0 for t in terms), imatch.LEAST, (2 * len(terms) + 2) // 3)])
+    said = []
+    for level in (len(own).bit_length() - 1, len(own).bit_length()):
+        hashes = ""
+        for k in range(imatch.PARTS):
+            kept = b""
+            for t in own:
+                mixed = (t ^ t >> 29) * (0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64
+                kept += t.to_bytes(8, "little") if (mixed ^ mixed >> 32) % 2**level == 0 else b""
+            hashes += xxhash.xxh3_64_hexdigest(kept)[: imatch.DIGITS] if kept else "." * imatch.DIGITS
+        said.append(f"{level}:{hashes}")
+    return ";".join(said) if own else "-"
+
+
+def test_fingerprints_are_the_plain_ones(spark):
+    rows = [r for r in awkward_texts() if r[0] not in (None, 5)]
+    rows += [(100 + i, words(300 + i, 40) + t) for i, t in enumerate(["", " ", " ΑΣ", "\x1cΟΔΟΣ\u2003Σ ", " İx, -- \"ẞ\" _a_ 'b'"])]
+    rows += [(200 + i, "x" * i + " (w1) y" + " " * i) for i in range(6)]
+    texts = {t or "" for _, t in rows}
+    counts = Counter(term for t in texts for term in _plain_terms(t))
+    got = edited_and_next(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    own = {r["doc_id"]: r["fingerprint"] for r in got}
+    assert own == {d: _plain_print(t or "", counts, len(texts)) for d, t in rows}
+    assert all(r["edited_fingerprint"] == _plain_print(r["edited"], counts, len(texts)) for r in got)
+    assert own == {r["doc_id"]: r["_fingerprint"] for r in fingerprints(documents(spark, rows)).collect()}
+
+
+def test_words_are_hashed_once_for_all_texts_read_together(spark, monkeypatch):
+    rows = [(i, words(i, 60)) for i in range(200, 0, -1)]
+    docs, given = documents(spark, rows), []
+    real = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **b: given.append(f) or real(self, f, *a, **b))
+    edited_and_next(docs)
+    hashed = []
+    counted = SimpleNamespace(xxh3_64_intdigest=lambda w: hashed.append(w) or xxhash.xxh3_64_intdigest(w), xxh3_64_hexdigest=xxhash.xxh3_64_hexdigest)
+    monkeypatch.setattr(imatch, "xxhash", counted)
+    columns = [pa.array(c) for c in zip(*((d, t, i == 199) for i, (d, t) in enumerate(rows)), strict=True)]
+    batches = list(given[-1](iter([pa.RecordBatch.from_arrays(columns, ["_key", "_text", "_extra"])])))
+    edited = [t for b in batches for t in b.column("edited").to_pylist()]
+    assert len(edited) == 199 and sorted(hashed) == sorted({w for t in [t for _, t in rows] + edited for w in t.split()})
+
+
+def test_long_texts_are_read_in_shorter_slices(monkeypatch):
+    monkeypatch.setattr(imatch, "TOGETHER", 1000)
+    texts = ["a" * (i * 7919 % 901) for i in range(1500)] + ["", "b" * 5000, "", "c"]
+    parts = [p.column("_text").to_pylist() for p in imatch._together([pa.RecordBatch.from_pydict({"_text": texts})])]
+    assert [t for p in parts for t in p] == texts and all(parts)
+    assert all(sum(map(len, p)) <= 1000 + len(p[0]) for p in parts)
+
+
 @pytest.mark.parametrize("near", [False, True])
 def test_copies_of_a_third_of_the_rows_stay_alike(spark, near):
     base = words(77, 120, 10**6).split()
